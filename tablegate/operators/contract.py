@@ -63,15 +63,26 @@ class Contract:
 
 
 def _violation(field_name: str, rule: str, message: str) -> Column:
-    return F.struct(
-        F.lit(field_name).alias("field"),
-        F.lit(rule).alias("rule"),
-        F.lit(message).alias("message"),
+    """A one-element violation array (folded to a literal by Catalyst)."""
+    return F.array(
+        F.struct(
+            F.lit(field_name).alias("field"),
+            F.lit(rule).alias("rule"),
+            F.lit(message).alias("message"),
+        )
     )
 
 
+def _no_violation() -> Column:
+    return F.array().cast(T.ArrayType(VIOLATION_TYPE))
+
+
 def _field_check(raw: Column, typed: Column, type_ok: Column, f: Field) -> Column:
-    """One CASE per field: required -> type -> rules; NULL when the field is fine."""
+    """One CASE per field: required -> type -> rules; an empty array when fine.
+
+    Arrays of zero or one element joined with ``concat`` keep the whole gate
+    in whole-stage codegen (a ``filter(array, lambda)`` would not be).
+    """
     chain = None
     if f.required:
         chain = F.when(raw.isNull(), _violation(f.name, "required", "is required"))
@@ -81,7 +92,7 @@ def _field_check(raw: Column, typed: Column, type_ok: Column, f: Field) -> Colum
     for rule in f.rules:
         bad = typed.isNotNull() & ~F.coalesce(rule(typed), F.lit(False))
         chain = chain.when(bad, _violation(f.name, rule.name, rule.message))
-    return chain
+    return chain.otherwise(_no_violation())
 
 
 def gate(df: DataFrame, contract: Contract) -> DataFrame:
@@ -108,9 +119,7 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
         typed_cols.append(typed.cast(f.dtype).alias(f.name))
         checks.append(_field_check(raw, typed, type_ok, f))
     extras = [F.col(c) for c in df.columns if c not in contract.field_names and c != VIOLATIONS]
-    violations = F.filter(F.array(*checks), lambda v: v.isNotNull()) if checks else F.array().cast(
-        T.ArrayType(VIOLATION_TYPE)
-    )
+    violations = F.concat(*checks) if checks else _no_violation()
     return df.select(*typed_cols, *extras, *raw_cols, violations.alias(VIOLATIONS))
 
 

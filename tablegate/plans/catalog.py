@@ -19,11 +19,32 @@ from tablegate.sources import dirty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Built plans (not data) per (session, folder): queries share one analysed
+# source / gate plan instead of rebuilding it through py4j each time.
+_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def _plan(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    key = (id(spark), sf_dir, name)
+    hit = _PLANS.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, build())
+        _PLANS[key] = hit
+    return hit[1]
+
+
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir, "customers", lambda: dirty.dirty_customers(spark, sf_dir))
+
+
+def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plan(spark, sf_dir, "transactions", lambda: dirty.dirty_transactions(spark, sf_dir))
+
 
 def _annotated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return (
-        contract.gate(dirty.dirty_customers(spark, sf_dir), CUSTOMER_CONTRACT),
-        contract.gate(dirty.dirty_transactions(spark, sf_dir), TRANSACTION_CONTRACT),
+        _plan(spark, sf_dir, "gate_c", lambda: contract.gate(_customers(spark, sf_dir), CUSTOMER_CONTRACT)),
+        _plan(spark, sf_dir, "gate_t", lambda: contract.gate(_transactions(spark, sf_dir), TRANSACTION_CONTRACT)),
     )
 
 
@@ -36,19 +57,19 @@ def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def gate_customers_clean(spark, sf_dir):
-    return contract.clean(contract.gate(dirty.dirty_customers(spark, sf_dir), CUSTOMER_CONTRACT))
+    return contract.clean(_annotated(spark, sf_dir)[0])
 
 
 def gate_customers_rejected(spark, sf_dir):
-    return contract.rejected(contract.gate(dirty.dirty_customers(spark, sf_dir), CUSTOMER_CONTRACT))
+    return contract.rejected(_annotated(spark, sf_dir)[0])
 
 
 def gate_transactions_clean(spark, sf_dir):
-    return contract.clean(contract.gate(dirty.dirty_transactions(spark, sf_dir), TRANSACTION_CONTRACT))
+    return contract.clean(_annotated(spark, sf_dir)[1])
 
 
 def gate_transactions_rejected(spark, sf_dir):
-    return contract.rejected(contract.gate(dirty.dirty_transactions(spark, sf_dir), TRANSACTION_CONTRACT))
+    return contract.rejected(_annotated(spark, sf_dir)[1])
 
 
 def rejections_by_field_rule(spark, sf_dir):
@@ -65,28 +86,28 @@ def gate_counts(spark, sf_dir):
 
 
 def rule_not_blank(spark, sf_dir):
-    c = dirty.dirty_customers(spark, sf_dir)
+    c = _customers(spark, sf_dir)
     nb = rules.not_blank()
     return c.select("customer_id", nb(F.col("name")).alias("name_not_blank"), nb(F.col("country")).alias("country_not_blank"))
 
 
 def rule_email(spark, sf_dir):
-    c = dirty.dirty_customers(spark, sf_dir)
+    c = _customers(spark, sf_dir)
     return c.select("customer_id", "email", rules.email()(F.col("email")).alias("email_valid"))
 
 
 def rule_positive_id(spark, sf_dir):
-    t = dirty.dirty_transactions(spark, sf_dir)
+    t = _transactions(spark, sf_dir)
     return t.select("transaction_id", "customer_id", rules.positive()(F.col("customer_id")).alias("customer_id_positive"))
 
 
 def rule_positive_amount(spark, sf_dir):
-    t = dirty.dirty_transactions(spark, sf_dir)
+    t = _transactions(spark, sf_dir)
     return t.select("transaction_id", "amount", rules.positive_amount()(F.col("amount")).alias("amount_positive"))
 
 
 def rule_iso_date(spark, sf_dir):
-    t = dirty.dirty_transactions(spark, sf_dir)
+    t = _transactions(spark, sf_dir)
     return t.select("transaction_id", "date", rules.iso_date()(F.col("date")).alias("date_valid"))
 
 
@@ -116,7 +137,7 @@ def _completeness(c: DataFrame, t: DataFrame) -> audit.AuditCheck:
 
 
 def completeness_raw(spark, sf_dir):
-    return _completeness(dirty.dirty_customers(spark, sf_dir), dirty.dirty_transactions(spark, sf_dir)).violations
+    return _completeness(_customers(spark, sf_dir), _transactions(spark, sf_dir)).violations
 
 
 def completeness_clean(spark, sf_dir):
@@ -124,7 +145,7 @@ def completeness_clean(spark, sf_dir):
 
 
 def uniqueness_raw(spark, sf_dir):
-    return audit.uniqueness(dirty.dirty_customers(spark, sf_dir), "email").violations
+    return audit.uniqueness(_customers(spark, sf_dir), "email").violations
 
 
 def uniqueness_clean(spark, sf_dir):
@@ -146,7 +167,7 @@ def orphan_rows(spark, sf_dir):
 
 
 def raw_totals(spark, sf_dir):
-    t, c = dirty.dirty_transactions(spark, sf_dir), dirty.dirty_customers(spark, sf_dir)
+    t, c = _transactions(spark, sf_dir), _customers(spark, sf_dir)
     return enrich.order_desc(reconcile.raw_totals(t, c, as_double=True), "raw_total", "country")
 
 
@@ -158,13 +179,13 @@ def _comparison(t_raw: DataFrame, c_raw: DataFrame, t_clean: DataFrame, c_clean:
 
 def reconciliation(spark, sf_dir):
     c, t = _clean(spark, sf_dir)
-    cmp = _comparison(dirty.dirty_transactions(spark, sf_dir), dirty.dirty_customers(spark, sf_dir), t, c)
+    cmp = _comparison(_transactions(spark, sf_dir), _customers(spark, sf_dir), t, c)
     return reconcile.to_double(reconcile.mismatches(cmp), ["raw_total", "clean_total"])
 
 
 def reconciliation_delta(spark, sf_dir):
     c, t = _clean(spark, sf_dir)
-    cmp = _comparison(dirty.dirty_transactions(spark, sf_dir), dirty.dirty_customers(spark, sf_dir), t, c)
+    cmp = _comparison(_transactions(spark, sf_dir), _customers(spark, sf_dir), t, c)
     out = reconcile.to_double(reconcile.deltas(cmp), ["raw_total", "clean_total", "delta"])
     return enrich.order_desc(out, "delta", "country")
 
@@ -194,7 +215,7 @@ def audit_checks(spark: SparkSession, sf_dir: str) -> list[audit.AuditCheck]:
         _completeness(c, t),
         audit.uniqueness(c, "email"),
         audit.referential_integrity(t, c, "customer_id"),
-        reconcile.reconciliation(dirty.dirty_transactions(spark, sf_dir), dirty.dirty_customers(spark, sf_dir), clean_totals),
+        reconcile.reconciliation(_transactions(spark, sf_dir), _customers(spark, sf_dir), clean_totals),
     ]
 
 
