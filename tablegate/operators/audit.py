@@ -7,7 +7,7 @@ check collects to the driver; the caller decides which action runs them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablegate.operators.contract import union_all
@@ -34,24 +34,14 @@ def null_counts(df: DataFrame, columns: list[str], entity: str, ordinal_base: in
     return df.agg(*aggs).select(F.lit(entity).alias("entity"), stacked)
 
 
-def completeness(tables: list[tuple[str, DataFrame, list[str]]]) -> AuditCheck:
-    """A1: NULL counts for the given ``(entity, frame, columns)``; pass iff all 0.
-
-    Details are ``{"null_counts": {column: n, ...}}`` in the given column
-    order; a column name used by two entities is written ``entity.column``.
-    """
-    names = [c for _, _, cols in tables for c in cols]
-    frames, base = [], 0
-    for entity, df, cols in tables:
-        frames.append(null_counts(df, cols, entity, base))
-        base += len(cols)
-    long = union_all(frames)
+def _completeness_check(long: DataFrame, names: list[str]) -> AuditCheck:
+    """Summary over long-form counts ``(entity, ordinal, column_name, null_count)``."""
     label = F.when(
         F.col("column_name").isin([n for n in set(names) if names.count(n) > 1]),
         F.concat_ws(".", "entity", "column_name"),
     ).otherwise(F.col("column_name"))
     agg = long.agg(
-        F.sum("null_count").alias("total"),
+        F.coalesce(F.sum("null_count"), F.lit(0)).alias("total"),
         F.sort_array(F.collect_list(F.struct("ordinal", label.alias("k"), F.col("null_count").alias("v")))).alias(
             "entries"
         ),
@@ -68,6 +58,31 @@ def completeness(tables: list[tuple[str, DataFrame, list[str]]]) -> AuditCheck:
     return AuditCheck("completeness", summary, long.drop("ordinal"))
 
 
+def completeness(tables: list[tuple[str, DataFrame, list[str]]]) -> AuditCheck:
+    """A1: NULL counts for the given ``(entity, frame, columns)``; pass iff all 0.
+
+    Details are ``{"null_counts": {column: n, ...}}`` in the given column
+    order; a column name used by two entities is written ``entity.column``.
+    """
+    names = [c for _, _, cols in tables for c in cols]
+    frames, base = [], 0
+    for entity, df, cols in tables:
+        frames.append(null_counts(df, cols, entity, base))
+        base += len(cols)
+    return _completeness_check(union_all(frames), names)
+
+
+def completeness_from_counts(spark: SparkSession, counts: list[tuple[str, str, int]]) -> AuditCheck:
+    """A1 from counts already observed elsewhere (e.g. during the gate write).
+
+    ``counts`` is ``[(entity, column, null_count), ...]`` -- one entry per
+    audited column, so the frame is bounded by the contract, not the data.
+    """
+    schema = "entity string, ordinal int, column_name string, null_count bigint"
+    long = spark.createDataFrame([(e, i, c, int(n)) for i, (e, c, n) in enumerate(counts)], schema)
+    return _completeness_check(long, [c for _, c, _ in counts])
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """A2 core: key values occurring more than once -> ``(*keys, n)``.
 

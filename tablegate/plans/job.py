@@ -4,11 +4,14 @@ Actions per run, whatever the data size (with AQE each shuffle stage of an
 action is submitted as its own Spark job, so ``AuditRun.jobs`` is larger but
 still a constant of the plan):
 
-1. customers gate, written once partitioned by outcome (+ counts observed);
+1. customers gate, written once partitioned by outcome; gate counts and the
+   completeness NULL counts are observed on that same write;
 2. transactions gate, likewise;
-3. exact group totals, written (one row per group);
-4. all four audits and the report, written as ONE row (one plan, shared
-   scans of the written splits);
+3. clean AND raw group totals in one pass over the two written splits
+   (``fused_totals``), written (one row per group) -- the raw sources are
+   never scanned again;
+4. uniqueness, referential integrity, reconciliation and the report,
+   written as ONE row (one plan over the written splits and totals);
 5. the JSON report, 6. the outbox, plus a one-row read of the verdict.
 
 Everything between steps goes through files under the shared checkpoint
@@ -102,35 +105,42 @@ def run_audit(
     except Exception:
         sc = None
     try:
-        dims = write_split(gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name)
-        facts = write_split(gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name)
+        dims = write_split(
+            gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name,
+            cfg.completeness.get(cfg.dims_name, []),
+        )
+        facts = write_split(
+            gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name,
+            cfg.completeness.get(cfg.facts_name, []),
+        )
         if cfg.mask_columns:
             dims.rejected = mask(dims.rejected, list(cfg.mask_columns))
             facts.rejected = mask(facts.rejected, list(cfg.mask_columns))
 
         enriched = enrich.enrich(facts.clean, dims.clean, cfg.key)
-        totals = materialize(
-            enrich.group_totals(
-                facts.clean, dims.clean, cfg.key, cfg.group, cfg.amount,
-                precision=cfg.precision, scale=cfg.scale, as_double=False,
+        # Clean and raw totals in one pass over each written split (no second
+        # scan of the sources); one row per group.
+        fused = materialize(
+            reconcile.fused_totals(
+                facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale
             ),
             f"{root}/totals",
         )
+        totals = reconcile.clean_side(fused, cfg.group, "total_amount")
         clean_for_checks = dims.clean
         if cfg.mask_columns:
             clean_for_checks = mask(dims.clean, [c for c in cfg.mask_columns if c in cfg.unique_keys])
+        observed = [
+            (name, col, split.clean_null_counts[col])
+            for name, split in ((cfg.dims_name, dims), (cfg.facts_name, facts))
+            for col in cfg.completeness.get(name, [])
+        ]
         checks = [
-            audit.completeness(
-                [
-                    (cfg.dims_name, dims.clean, cfg.completeness.get(cfg.dims_name, [])),
-                    (cfg.facts_name, facts.clean, cfg.completeness.get(cfg.facts_name, [])),
-                ]
-            ),
+            audit.completeness_from_counts(spark, observed),
             audit.uniqueness(clean_for_checks, list(cfg.unique_keys), cfg.sample_size),
             audit.referential_integrity(facts.clean, dims.clean, cfg.key, cfg.sample_size),
-            reconcile.reconciliation(
-                raw_facts, raw_dims, totals, cfg.key, cfg.group, cfg.amount, "total_amount",
-                cfg.tolerance, cfg.precision, cfg.scale, cfg.sample_size,
+            reconcile.reconciliation_from(
+                reconcile.fused_comparison(fused, cfg.group, cfg.scale), cfg.group, cfg.tolerance, cfg.sample_size
             ),
         ]
         gate_rows = spark.createDataFrame(

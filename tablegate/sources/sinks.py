@@ -27,26 +27,41 @@ class Split:
     """Outcome of a materialised gate."""
 
     path: str
+    annotated: DataFrame
     clean: DataFrame
     rejected: DataFrame
     clean_rows: int
     rejected_rows: int
+    clean_null_counts: dict[str, int]
 
 
-def write_split(annotated: DataFrame, path: str, entity: str = "records") -> Split:
+def write_split(
+    annotated: DataFrame,
+    path: str,
+    entity: str = "records",
+    null_columns: list[str] | tuple[str, ...] = (),
+) -> Split:
     """Write clean and rejected rows under ``path/_gate=clean|rejected``.
 
     Clean rows keep typed values (their ``_raw_`` copies are nulled, so cost
-    nothing in parquet); rejected rows keep what arrived.
+    nothing in parquet); rejected rows keep what arrived. The observation on
+    the write also counts NULLs among the clean rows for ``null_columns``
+    (the completeness audit), so no later scan is needed for them.
+    ``Split.annotated`` is the whole written table (both halves).
     """
     obs = Observation(f"gate_{entity}_{uuid.uuid4().hex[:8]}")
     ok = is_clean()
     cols = [
         F.when(~ok, F.col(c)).alias(c) if c.startswith("_raw_") else F.col(c) for c in annotated.columns
     ]
+    present = set(annotated.columns)
+    null_metrics = [
+        F.count_if(ok & (F.col(c).isNull() if c in present else F.lit(True))).alias(f"null:{c}")
+        for c in null_columns
+    ]
     tagged = annotated.select(
         *cols, F.when(ok, F.lit("clean")).otherwise(F.lit("rejected")).alias(GATE_COLUMN)
-    ).observe(obs, *gate_count_columns())
+    ).observe(obs, *gate_count_columns(), *null_metrics)
     tagged.write.mode("overwrite").partitionBy(GATE_COLUMN).parquet(path)
     counts = obs.get
     spark = annotated.sparkSession
@@ -56,10 +71,12 @@ def write_split(annotated: DataFrame, path: str, entity: str = "records") -> Spl
     logger.info("%s: %d clean, %d rejected", entity, counts["clean_rows"], counts["rejected_rows"])
     return Split(
         path=path,
+        annotated=written.drop(GATE_COLUMN),
         clean=clean(clean_part),
         rejected=rejected(rejected_part),
         clean_rows=int(counts["clean_rows"]),
         rejected_rows=int(counts["rejected_rows"]),
+        clean_null_counts={c: int(counts[f"null:{c}"]) for c in null_columns},
     )
 
 
