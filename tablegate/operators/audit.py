@@ -108,13 +108,19 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "customer_id") -
     """A3 core: distinct child keys with no parent row -> ``(key)``.
 
     Both sides are reduced to distinct keys first (partial aggregation), so
-    the anti join sees each key once and a hot key cannot skew it. A NULL
+    each key crosses the shuffle once per task and a hot key cannot skew the
+    join. Written as a left join + ``IS NULL`` rather than a left anti join:
+    Catalyst pushes an anti join below the child's ``distinct``, which would
+    shuffle every raw child key whenever the join is not broadcast. A NULL
     child key never matches and is reported as an orphan.
     """
+    parent_keys = parent.select(key).distinct().select(F.col(key), F.lit(True).alias("_has_parent"))
     return (
         child.select(key)
         .distinct()
-        .join(parent.select(key).distinct(), on=key, how="left_anti")
+        .join(parent_keys, on=key, how="left")
+        .filter(F.col("_has_parent").isNull())
+        .select(key)
     )
 
 
