@@ -92,3 +92,16 @@ def test_write_split_restores_raw_values(spark, scratch):
     split = write_split(gate(df, CUSTOMER_CONTRACT), scratch + "/s", "c")
     assert [r.customer_id for r in split.clean.collect()] == [7]
     assert [r.customer_id for r in split.rejected.collect()] == ["x"]
+
+
+def test_quotes_in_field_names_and_messages(spark):
+    from pyspark.sql import types as T
+
+    from tablegate.functions.rules import Rule
+    from tablegate.operators.contract import Contract, Field
+
+    odd = Rule("it's", "can't be 'x' \\ here", lambda c: c != "x")
+    c = Contract("odd", (Field("we'ird", T.StringType(), (odd,)),))
+    df = spark.createDataFrame([("x",), ("y",)], "`we'ird` string")
+    rows = rejected(gate(df, c)).collect()
+    assert [r.rejection_reason for r in rows] == ["we'ird: can't be 'x' \\ here"]
