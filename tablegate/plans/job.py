@@ -59,6 +59,7 @@ class AuditConfig:
     tolerance: float = 0.0
     sample_size: int = DEFAULT_SAMPLE
     mask_columns: tuple[str, ...] = ()
+    write_enriched: bool = False
     webhook_url: str = report.DEFAULT_WEBHOOK_URL
     email_to: str = report.DEFAULT_EMAIL_TO
     subject: str = report.DEFAULT_SUBJECT
@@ -118,6 +119,8 @@ def run_audit(
             facts.rejected = mask(facts.rejected, list(cfg.mask_columns))
 
         enriched = enrich.enrich(facts.clean, dims.clean, cfg.key)
+        if cfg.write_enriched:  # optional: the joined table is as large as the clean facts
+            enriched = materialize(enriched, f"{root}/enriched")
         # Clean and raw totals in one pass over each written split (no second
         # scan of the sources); one row per group.
         fused = materialize(
@@ -161,7 +164,7 @@ def run_audit(
         save_report(report_df, f"{root}/audit_report.json")
         outbox = report.alert_outbox(report_df, cfg.webhook_url, cfg.email_to, cfg.subject)
         overall_pass = bool(report_df.select("overall_pass").first()[0])
-        actions = 6
+        actions = 7 if cfg.write_enriched else 6
         if not overall_pass:
             write_outbox(outbox, f"{root}/outbox")
             actions += 1
@@ -187,3 +190,55 @@ def run_audit(
 def audit_details(run: AuditRun) -> DataFrame:
     """The per-check rows of a run's report, flattened (one row per check)."""
     return run.report.select(F.explode("audit_checks").alias("c")).select("c.*")
+
+
+def main(argv: list[str] | None = None) -> int:
+    """``spark-submit`` entry: audit two tables, print the verdict as one JSON line.
+
+    Inputs are paths read with ``--format`` (default parquet), or ``--sf-dir``
+    to derive the dirty customer / transaction sources from the driver tables.
+    Exit code 0 when every check passed, 2 when one failed.
+    """
+    import argparse
+    import json
+
+    from tablegate.session import build_session
+    from tablegate.sources import dirty
+
+    ap = argparse.ArgumentParser(prog="tablegate-audit")
+    ap.add_argument("--customers")
+    ap.add_argument("--transactions")
+    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--sf-dir", help="derive dirty sources from <dir>/{customer,nation,orders}.parquet")
+    ap.add_argument("--output", help="output folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--mask", default="", help="comma-separated PII columns to hash in outputs")
+    ap.add_argument("--write-enriched", action="store_true")
+    args = ap.parse_args(argv)
+
+    spark = build_session()
+    if args.sf_dir:
+        dims, facts = dirty.dirty_customers(spark, args.sf_dir), dirty.dirty_transactions(spark, args.sf_dir)
+    elif args.customers and args.transactions:
+        dims = spark.read.format(args.format).load(args.customers)
+        facts = spark.read.format(args.format).load(args.transactions)
+    else:
+        ap.error("give --sf-dir or both --customers and --transactions")
+    cfg = AuditConfig(
+        mask_columns=tuple(c for c in args.mask.split(",") if c), write_enriched=args.write_enriched
+    )
+    run = run_audit(spark, dims, facts, cfg, args.output)
+    print(
+        json.dumps(
+            {
+                "path": run.path,
+                "overall_pass": run.overall_pass,
+                "rejected": {cfg.dims_name: run.dims.rejected_rows, cfg.facts_name: run.facts.rejected_rows},
+                "clean": {cfg.dims_name: run.dims.clean_rows, cfg.facts_name: run.facts.clean_rows},
+            }
+        )
+    )
+    return 0 if run.overall_pass else 2
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

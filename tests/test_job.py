@@ -117,3 +117,12 @@ def test_job_matches_catalog_queries(spark):
     details = {r.check_name: (r.passed, r.violation_count) for r in audit_details(run).collect()}
     assert details == summary
     assert (run.dims.rejected_rows, run.facts.rejected_rows) == (348, 1023)
+
+
+def test_cli_entry(spark, capsys):
+    from tablegate.plans.job import main
+
+    assert main(["--sf-dir", SF_SMALL]) == 2
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert out["overall_pass"] is False
+    assert out["clean"]["customers"] + out["rejected"]["customers"] == 150
