@@ -126,3 +126,42 @@ def test_cli_entry(spark, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert out["overall_pass"] is False
     assert out["clean"]["customers"] + out["rejected"]["customers"] == 150
+
+
+def test_all_rejected_input_still_reports(spark):
+    """The reference fails on an empty clean list (schema inference); here outputs stay typed."""
+    from tablegate.sources.mock import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
+
+    c = spark.createDataFrame([(1, None, "a@b.co", "X"), (2, "B", None, "Y")], CUSTOMER_SCHEMA)
+    t = spark.createDataFrame([(1, 1, -5.0, "2025-01-01")], TRANSACTION_SCHEMA)
+    run = run_audit(spark, c, t)
+    assert (run.dims.clean_rows, run.facts.clean_rows) == (0, 0)
+    assert run.totals.count() == 0 and run.enriched.count() == 0
+    assert run.totals.columns == ["country", "total_amount"]
+    checks = {r.check_name: r.passed for r in audit_details(run).collect()}
+    # raw side: amount -5 joined to country X; clean side empty -> mismatch
+    assert checks == {
+        "completeness": True,
+        "uniqueness": True,
+        "referential_integrity": True,
+        "reconciliation": False,
+    }
+
+
+def test_empty_input(spark):
+    from tablegate.sources.mock import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
+
+    run = run_audit(spark, spark.createDataFrame([], CUSTOMER_SCHEMA), spark.createDataFrame([], TRANSACTION_SCHEMA))
+    assert run.overall_pass is True
+    assert run.report.first().rejected_at_gate == {"customers": 0, "transactions": 0}
+
+
+def test_unwritable_report_path_raises(spark, scratch):
+    from tablegate.operators import report
+    from tablegate.sources.sinks import save_report
+
+    blocker = scratch + "/a_file"
+    open(blocker, "w").close()
+    rows = spark.createDataFrame([(0, "c", True, 0, "{}")], "ordinal int, check_name string, passed boolean, violation_count bigint, details string")
+    with pytest.raises(Exception):
+        save_report(report.build_report(rows), blocker + "/report")
