@@ -177,13 +177,20 @@ def _comparison(t_raw: DataFrame, c_raw: DataFrame, t_clean: DataFrame, c_clean:
     return reconcile.compare_totals(raw, clean)
 
 
+def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clean and raw totals in one pass over each gated source."""
+    c, t = _annotated(spark, sf_dir)
+    return _plan(spark, sf_dir, "fused", lambda: reconcile.fused_totals(t, c))
+
+
 def reconciliation(spark, sf_dir):
-    c, t = _clean(spark, sf_dir)
-    cmp = _comparison(_transactions(spark, sf_dir), _customers(spark, sf_dir), t, c)
+    """A5 via ``fused_totals``: each source is scanned once for both sides."""
+    cmp = reconcile.fused_comparison(_fused(spark, sf_dir))
     return reconcile.to_double(reconcile.mismatches(cmp), ["raw_total", "clean_total"])
 
 
 def reconciliation_delta(spark, sf_dir):
+    """A6 via the explicit formulation: raw totals FULL OUTER JOIN clean totals."""
     c, t = _clean(spark, sf_dir)
     cmp = _comparison(_transactions(spark, sf_dir), _customers(spark, sf_dir), t, c)
     out = reconcile.to_double(reconcile.deltas(cmp), ["raw_total", "clean_total", "delta"])
@@ -192,8 +199,10 @@ def reconciliation_delta(spark, sf_dir):
 
 def reconciliation_passing(spark, sf_dir):
     """The passing variant: the clean tables are the raw side too; every delta is 0."""
-    c, t = _clean(spark, sf_dir)
-    out = reconcile.to_double(reconcile.deltas(_comparison(t, c, t, c)), ["raw_total", "clean_total", "delta"])
+    c, t = _annotated(spark, sf_dir)
+    ok = contract.is_clean()
+    fused = reconcile.fused_totals(t.filter(ok), c.filter(ok))
+    out = reconcile.to_double(reconcile.deltas(reconcile.fused_comparison(fused)), ["raw_total", "clean_total", "delta"])
     return enrich.order_desc(out, "delta", "country")
 
 
@@ -210,12 +219,11 @@ def masked_rejects(spark, sf_dir):
 def audit_checks(spark: SparkSession, sf_dir: str) -> list[audit.AuditCheck]:
     """The four reference checks over the gated dirty sources."""
     c, t = _clean(spark, sf_dir)
-    clean_totals = enrich.group_totals(t, c, as_double=False)
     return [
         _completeness(c, t),
         audit.uniqueness(c, "email"),
         audit.referential_integrity(t, c, "customer_id"),
-        reconcile.reconciliation(_transactions(spark, sf_dir), _customers(spark, sf_dir), clean_totals),
+        reconcile.reconciliation_from(reconcile.fused_comparison(_fused(spark, sf_dir))),
     ]
 
 
