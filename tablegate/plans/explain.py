@@ -21,13 +21,18 @@ import sys
 from pyspark.sql import DataFrame
 
 
-def formatted(df: DataFrame) -> str:
+def plan_text(df: DataFrame, mode: str = "simple") -> str:
+    """The text ``df.explain(mode)`` prints."""
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
-        df.explain("formatted")
+        df.explain(mode=mode)
     return buf.getvalue()
 
 
+def formatted(df: DataFrame) -> str:
+    return plan_text(df, "formatted")
+
+
 def summarize(plan: str) -> dict:
     tree = plan.split("\n\n", 1)[0]
     scans = []

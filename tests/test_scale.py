@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 from tablegate.operators import audit, enrich, reconcile
+from tablegate.plans.explain import plan_text
 from tablegate.sources import dirty
 
 from .conftest import SF_MID, SF_SMALL
@@ -32,7 +33,7 @@ def _hot_dims(spark, sf):
 
 
 def _plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df, "simple")
 
 
 def _exchanges_sit_on_partial_aggregates(plan: str) -> bool:
