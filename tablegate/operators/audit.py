@@ -99,31 +99,37 @@ def uniqueness(df: DataFrame, keys: list[str] | str = "email", sample_size: int
     dups = duplicate_keys(df, keys)
     sample_key = "duplicate_" + "_".join(keys) + "s"
     summary = sampled_summary(
-        "uniqueness", dups, keys, sample_key, sample_size, flatten=keys[0] if len(keys) == 1 else None
+        "uniqueness", dups, keys, sample_key, sample_size,
+        flatten=keys[0] if len(keys) == 1 else None, sums={"duplicate_rows": "n"},
     )
     return AuditCheck("uniqueness", summary, dups)
 
 
-def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
-    """A3 core: distinct child keys with no parent row -> ``(key)``.
+def orphan_key_counts(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
+    """A3 core: child keys with no parent row and their child row counts -> ``(key, n_rows)``.
 
-    Both sides are reduced to distinct keys first (partial aggregation), so
-    each key crosses the shuffle once per task and a hot key cannot skew the
-    join. Written as a left join + ``IS NULL`` rather than a left anti join:
-    Catalyst pushes an anti join below the child's ``distinct``, which would
+    Both sides are reduced per key first (partial aggregation), so each key
+    crosses the shuffle once per task and a hot key cannot skew the join.
+    Written as a left join + ``IS NULL`` rather than a left anti join:
+    Catalyst pushes an anti join below the child's aggregation, which would
     shuffle every raw child key whenever the join is not broadcast. A NULL
     child key never matches and is reported as an orphan.
     """
     parent_keys = parent.select(key).distinct().select(F.col(key), F.lit(True).alias("_has_parent"))
     return (
-        child.select(key)
-        .distinct()
+        child.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
         .join(parent_keys, on=key, how="left")
         .filter(F.col("_has_parent").isNull())
-        .select(key)
+        .select(key, "n_rows")
     )
 
 
+def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Distinct orphan keys -> ``(key)``."""
+    return orphan_key_counts(child, parent, key).select(key)
+
+
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
     """A3: every child row whose key has no parent (left anti join)."""
     return child.join(parent.select(key).distinct(), on=key, how="left_anti")
@@ -135,9 +141,14 @@ def referential_integrity(
     key: str = "customer_id",
     sample_size: int = DEFAULT_SAMPLE,
 ) -> AuditCheck:
-    """A3: pass iff every child key exists in the parent."""
-    orphans = orphan_keys(child, parent, key)
+    """A3: pass iff every child key exists in the parent.
+
+    Details: distinct orphan keys (``violation_count``), orphan child rows
+    (``orphan_rows``) and a bounded sample of keys. Violations: ``(key, n_rows)``.
+    """
+    orphans = orphan_key_counts(child, parent, key)
     summary = sampled_summary(
-        "referential_integrity", orphans, [key], f"orphan_{key}s", sample_size, flatten=key
+        "referential_integrity", orphans, [key], f"orphan_{key}s", sample_size,
+        flatten=key, sums={"orphan_rows": "n_rows"},
     )
     return AuditCheck("referential_integrity", summary, orphans)

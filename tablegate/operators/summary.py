@@ -32,25 +32,37 @@ def sample_and_count(
     violations: DataFrame,
     order: list[str],
     sample_size: int = DEFAULT_SAMPLE,
+    sums: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One row ``(violation_count bigint, sample array<struct<order...>>)``.
+    """One row ``(violation_count bigint, sample array<struct<order...>>, *sums)``.
 
     Counting and sampling are two branches unioned into one global
     aggregate (no join of one-row frames); both branches read the same
-    violations plan, which Spark's exchange reuse shares.
+    violations plan, which Spark's exchange reuse shares. ``sums`` maps an
+    output name to a numeric violations column summed over all violations.
     """
+    sums = sums or {}
     item = F.struct(*[F.col(c) for c in order])
     item_type = violations.select(item.alias("s")).schema["s"].dataType
-    counted = violations.select(F.lit(1).alias("_n"), F.lit(None).cast(item_type).alias("_s"))
+    counted = violations.select(
+        F.lit(1).alias("_n"),
+        F.lit(None).cast(item_type).alias("_s"),
+        *[F.col(src).cast("bigint").alias(f"_sum_{out}") for out, src in sums.items()],
+    )
     sampled = (
         violations.select(item.alias("_s"))
         .orderBy(*[F.col("_s." + c).asc_nulls_first() for c in order])
         .limit(sample_size)
-        .select(F.lit(0).alias("_n"), "_s")
+        .select(
+            F.lit(0).alias("_n"),
+            "_s",
+            *[F.lit(None).cast("bigint").alias(f"_sum_{out}") for out in sums],
+        )
     )
     return counted.unionByName(sampled).agg(
         F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violation_count"),
         F.sort_array(F.collect_list("_s")).alias("sample"),
+        *[F.coalesce(F.sum(f"_sum_{out}"), F.lit(0)).cast("bigint").alias(out) for out in sums],
     )
 
 
@@ -70,15 +82,18 @@ def sampled_summary(
     sample_key: str,
     sample_size: int = DEFAULT_SAMPLE,
     flatten: str | None = None,
+    sums: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Summary whose details are ``{"violation_count": n, sample_key: [...]}``.
+    """Summary whose details are ``{"violation_count": n, *sums, sample_key: [...]}``.
 
     ``flatten`` names a single struct field to list bare values instead of
     objects (e.g. ``["a@x.com", ...]`` rather than ``[{"email": ...}]``).
     """
-    agg = sample_and_count(violations, order, sample_size)
+    agg = sample_and_count(violations, order, sample_size, sums)
     sample = F.col("sample")
     if flatten is not None:
         sample = F.transform(sample, lambda s: s[flatten])
-    details = F.to_json(F.struct(F.col("violation_count"), sample.alias(sample_key)))
+    details = F.to_json(
+        F.struct(F.col("violation_count"), *[F.col(out) for out in (sums or {})], sample.alias(sample_key))
+    )
     return agg.select(*summary_row(check_name, F.col("violation_count") == 0, F.col("violation_count"), details))

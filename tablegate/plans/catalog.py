@@ -155,7 +155,7 @@ def uniqueness_clean(spark, sf_dir):
 
 def orphan_keys(spark, sf_dir):
     c, t = _clean(spark, sf_dir)
-    return audit.referential_integrity(t, c, "customer_id").violations
+    return audit.orphan_keys(t, c, "customer_id")
 
 
 def orphan_rows(spark, sf_dir):

@@ -111,3 +111,15 @@ def test_orphan_keys_distinct_orphan_rows_all(spark):
     c = _c(spark, CLEAN_C + CLEAN_C)  # duplicate parent keys do not matter
     assert [r.customer_id for r in audit.orphan_keys(t, c).collect()] == [7]
     assert sorted(r.transaction_id for r in audit.orphan_rows(t, c).collect()) == [1, 2]
+
+
+def test_referential_integrity_counts_orphan_rows(spark):
+    t = _t(spark, [(1, 7, 5.0, "d"), (2, 7, 6.0, "d"), (3, 8, 1.0, "d"), (4, 1, 1.0, "d")])
+    passed, n, details = _summary(audit.referential_integrity(t, _c(spark, CLEAN_C)))
+    assert (passed, n, details["orphan_rows"], details["orphan_customer_ids"]) == (False, 2, 3, [7, 8])
+
+
+def test_uniqueness_counts_duplicate_rows(spark):
+    rows = [(1, "a", "x@y.co", "X"), (2, "b", "x@y.co", "X"), (3, "c", "x@y.co", "X"), (4, "d", "z@y.co", "X")]
+    _, n, details = _summary(audit.uniqueness(_c(spark, rows), "email"))
+    assert (n, details["duplicate_rows"]) == (1, 3)
