@@ -94,3 +94,16 @@ def test_mask_sha256(spark):
     assert out[0].email == hashlib.sha256(b"a@b.co").hexdigest()
     assert mask(df, ["email"], suffix="_sha256").columns == ["k", "email_sha256"]
     assert df.select(F.sha2("email", 256)).first()[0] == out[0].email
+
+
+def test_save_report_file_single_json_indent_2(spark, scratch):
+    from tablegate.sources.sinks import save_report_file
+
+    r = report.build_report(_summaries(spark, ONE_FAILING), _gates(spark, 3, 1))
+    doc = save_report_file(r, scratch + "/audit_report.json")
+    text = open(scratch + "/audit_report.json", encoding="utf-8").read()
+    assert text.startswith('{\n  "timestamp"')
+    assert json.loads(text) == doc and doc["overall_pass"] is False
+    assert doc["audit_checks"][1]["details"] == {"duplicate_emails": ["x@y.com"]}
+    with pytest.raises(OSError):
+        save_report_file(r, scratch + "/no/such/dir/report.json")
