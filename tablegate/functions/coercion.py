@@ -13,10 +13,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions.rules import whitespace_chars
+
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
+def _strip(raw: Column) -> Column:
+    """Strip the characters Python's ``str.strip()`` removes (``trim`` strips spaces only)."""
+    return F.btrim(raw, F.lit(whitespace_chars()))
+
+
 def coerce(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
     """Return ``(typed_value, type_ok)`` for one field.
 
@@ -35,10 +42,10 @@ def coerce(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column,
             value = F.when(whole, raw.try_cast(target))
             return value, value.isNotNull()
         if isinstance(source, T.StringType):
-            value = F.trim(raw).try_cast(target)
+            value = _strip(raw).try_cast(target)
             return value, value.isNotNull()
     if isinstance(target, _FRACTIONAL) and isinstance(source, T.StringType):
-        value = F.trim(raw).try_cast(target)
+        value = _strip(raw).try_cast(target)
         return value, value.isNotNull()
     if isinstance(target, T.StringType):
         # A string field accepts strings only: numbers, dates, ... are rejected.
