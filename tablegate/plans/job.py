@@ -108,15 +108,12 @@ def run_audit(
     try:
         dims = write_split(
             gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name,
-            cfg.completeness.get(cfg.dims_name, []),
+            cfg.completeness.get(cfg.dims_name, []), cfg.mask_columns,
         )
         facts = write_split(
             gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name,
-            cfg.completeness.get(cfg.facts_name, []),
+            cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns,
         )
-        if cfg.mask_columns:
-            dims.rejected = mask(dims.rejected, list(cfg.mask_columns))
-            facts.rejected = mask(facts.rejected, list(cfg.mask_columns))
 
         enriched = enrich.enrich(facts.clean, dims.clean, cfg.key)
         if cfg.write_enriched:  # optional: the joined table is as large as the clean facts

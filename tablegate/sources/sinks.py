@@ -40,6 +40,7 @@ def write_split(
     path: str,
     entity: str = "records",
     null_columns: list[str] | tuple[str, ...] = (),
+    mask_rejected: list[str] | tuple[str, ...] = (),
 ) -> Split:
     """Write clean and rejected rows under ``path/_gate=clean|rejected``.
 
@@ -48,12 +49,25 @@ def write_split(
     the write also counts NULLs among the clean rows for ``null_columns``
     (the completeness audit), so no later scan is needed for them.
     ``Split.annotated`` is the whole written table (both halves).
+
+    ``mask_rejected`` names PII columns (string-typed) written as SHA-256
+    digests in rejected rows, so the quarantine files never hold them in
+    clear; clean rows keep their values. Never mask the key, group or amount.
     """
     obs = Observation(f"gate_{entity}_{uuid.uuid4().hex[:8]}")
     ok = is_clean()
-    cols = [
-        F.when(~ok, F.col(c)).alias(c) if c.startswith("_raw_") else F.col(c) for c in annotated.columns
-    ]
+    types = dict(annotated.dtypes)
+    masked = {c for c in mask_rejected for c in (c, "_raw_" + c) if types.get(c) == "string"}
+
+    def out(c: str):
+        col = F.col(c)
+        if c in masked:
+            col = F.when(ok, col).otherwise(F.sha2(col, 256))
+        if c.startswith("_raw_"):
+            col = F.when(~ok, col)
+        return col.alias(c)
+
+    cols = [out(c) for c in annotated.columns]
     present = set(annotated.columns)
     null_metrics = [
         F.count_if(ok & (F.col(c).isNull() if c in present else F.lit(True))).alias(f"null:{c}")

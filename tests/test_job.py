@@ -1,6 +1,7 @@
 """End-to-end audit job (E1) on the mock data and on the driver tables."""
 
 import glob
+import hashlib
 import json
 
 import pytest
@@ -73,6 +74,10 @@ def test_quarantine_masking(spark):
     )
     rej = {r.customer_id: r for r in run.dims.rejected.collect()}
     assert rej[2].email is None and len(rej[3].email) == 64 and rej[5].name is None
+    on_disk = spark.read.parquet(run.dims.path + "/_gate=rejected").collect()
+    assert "laura_gomez@email.com" not in {r.email for r in on_disk}
+    assert {r.name for r in on_disk if r.name} == {hashlib.sha256(n.encode()).hexdigest() for n in ("Juan Pérez", "Laura Gómez")}
+    assert {r.email for r in run.dims.clean.collect()} == {"ana@email.com", "juanperez@email.com"}
 
 
 def test_job_on_driver_tables(spark):
