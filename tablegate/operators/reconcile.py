@@ -10,7 +10,7 @@ unless a ``tolerance`` is given.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,6 +128,7 @@ def fused_totals(
     amount: str = "amount",
     precision: int = DEFAULT_PRECISION,
     scale: int = DEFAULT_SCALE,
+    clean_flag: Column | None = None,
 ) -> DataFrame:
     """Clean AND raw totals per group in one pass over each gated table.
 
@@ -140,9 +141,11 @@ def fused_totals(
     ``*_pairs`` is the number of joined rows, so ``clean_pairs > 0`` is exactly
     "the group appears in the clean join" and ``raw_pairs > 0`` "in the raw
     join". Equal to ``group_totals`` on the clean halves and ``raw_totals`` on
-    the raw rows, without scanning the sources a second time.
+    the raw rows, without scanning the sources a second time. ``clean_flag``
+    replaces the ``_violations`` test when the outcome is already a column
+    (e.g. the partition value of a written split).
     """
-    ok = is_clean()
+    ok = is_clean() if clean_flag is None else clean_flag
     amt = exact(amount, precision, scale)
     facts = facts_annotated.groupBy(key).agg(
         F.count_if(ok).alias("_clean_n"),

@@ -36,7 +36,7 @@ from tablegate.operators.contract import Contract, gate
 from tablegate.operators.summary import DEFAULT_SAMPLE, AuditCheck
 from tablegate.plans.contracts import COMPLETENESS_COLUMNS, CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
 from tablegate.session import materialize, run_folder
-from tablegate.sources.sinks import Split, save_report, write_outbox, write_split
+from tablegate.sources.sinks import Split, clean_flag, save_report, write_outbox, write_split
 
 logger = logging.getLogger(__name__)
 
@@ -122,7 +122,8 @@ def run_audit(
         # scan of the sources); one row per group.
         fused = materialize(
             reconcile.fused_totals(
-                facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale
+                facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale,
+                clean_flag=clean_flag(),
             ),
             f"{root}/totals",
         )

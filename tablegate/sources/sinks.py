@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tablegate.operators.contract import clean, gate_count_columns, is_clean, rejected
+from tablegate.operators.contract import VIOLATIONS, gate_count_columns, is_clean, rejected
 
 logger = logging.getLogger(__name__)
 
@@ -48,7 +48,8 @@ def write_split(
     nothing in parquet); rejected rows keep what arrived. The observation on
     the write also counts NULLs among the clean rows for ``null_columns``
     (the completeness audit), so no later scan is needed for them.
-    ``Split.annotated`` is the whole written table (both halves).
+    ``Split.annotated`` is the whole written table (both halves, with the
+    ``_gate`` outcome column; see ``clean_flag``).
 
     ``mask_rejected`` names PII columns (string-typed) written as SHA-256
     digests in rejected rows, so the quarantine files never hold them in
@@ -82,13 +83,15 @@ def write_split(
     counts = obs.get
     spark = annotated.sparkSession
     written = spark.read.schema(tagged.schema).parquet(path)
-    clean_part = written.filter(F.col(GATE_COLUMN) == "clean").drop(GATE_COLUMN)
+    # The partition value is the outcome: clean reads never touch ``_violations``.
+    raw_copies = [c for c in written.columns if c.startswith("_raw_")]
+    clean_part = written.filter(F.col(GATE_COLUMN) == "clean").drop(GATE_COLUMN, VIOLATIONS, *raw_copies)
     rejected_part = written.filter(F.col(GATE_COLUMN) == "rejected").drop(GATE_COLUMN)
     logger.info("%s: %d clean, %d rejected", entity, counts["clean_rows"], counts["rejected_rows"])
     return Split(
         path=path,
-        annotated=written.drop(GATE_COLUMN),
-        clean=clean(clean_part),
+        annotated=written,
+        clean=clean_part,
         rejected=rejected(rejected_part),
         clean_rows=int(counts["clean_rows"]),
         rejected_rows=int(counts["rejected_rows"]),
@@ -96,6 +99,11 @@ def write_split(
     )
 
 
+def clean_flag():
+    """Outcome of a row of ``Split.annotated`` read from the partition value (free)."""
+    return F.col(GATE_COLUMN) == "clean"
+
+
 def save_report(report: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the one-row report as JSON (``mode='append'`` keeps history).
 
