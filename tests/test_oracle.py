@@ -26,3 +26,17 @@ def test_entry_smoke(spark):
     assert df.columns == ["country", "total_amount"] and len(rows) > 0
     totals = [r.total_amount for r in rows]
     assert totals == sorted(totals, reverse=True)
+
+
+def test_import_creates_no_session():
+    import subprocess
+    import sys
+
+    code = (
+        "import sys; sys.path.insert(0, '.'); import tablegate, __spark_entry__; "
+        "from pyspark import SparkContext; assert SparkContext._active_spark_context is None"
+    )
+    import os
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    assert subprocess.run([sys.executable, "-c", code], cwd=repo, timeout=120).returncode == 0
