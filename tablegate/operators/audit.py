@@ -131,8 +131,17 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "customer_id") -
 
 
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
-    """A3: every child row whose key has no parent (left anti join)."""
-    return child.join(parent.select(key).distinct(), on=key, how="left_anti")
+    """A3: every child row whose key has no parent row.
+
+    Same rows as ``child LEFT ANTI JOIN parent``, planned for scale: the
+    compact set of orphan keys is found first (pre-aggregated on both
+    sides), then the child rows are semi-joined to it with a NULL-safe key
+    match (a NULL key is an orphan). Orphans are usually few, so AQE can
+    broadcast that set after measuring it and the child rows never shuffle;
+    a large set falls back to a sort-merge semi join.
+    """
+    orphans = orphan_keys(child, parent, key).withColumnRenamed(key, "_orphan_key")
+    return child.join(orphans, child[key].eqNullSafe(orphans["_orphan_key"]), "left_semi")
 
 
 def referential_integrity(

@@ -123,3 +123,11 @@ def test_uniqueness_counts_duplicate_rows(spark):
     rows = [(1, "a", "x@y.co", "X"), (2, "b", "x@y.co", "X"), (3, "c", "x@y.co", "X"), (4, "d", "z@y.co", "X")]
     _, n, details = _summary(audit.uniqueness(_c(spark, rows), "email"))
     assert (n, details["duplicate_rows"]) == (1, 3)
+
+
+def test_orphan_rows_keep_null_keys_and_duplicates(spark):
+    t = _t(spark, [(1, None, 5.0, "d"), (2, None, 6.0, "d"), (3, 9, 1.0, "d"), (4, 9, 2.0, "d"), (5, 1, 1.0, "d")])
+    rows = sorted(r.transaction_id for r in audit.orphan_rows(t, _c(spark, CLEAN_C)).collect())
+    assert rows == [1, 2, 3, 4]
+    plain = sorted(r.transaction_id for r in t.join(_c(spark, CLEAN_C).select("customer_id"), "customer_id", "left_anti").collect())
+    assert rows == plain
