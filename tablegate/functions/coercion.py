@@ -1,10 +1,20 @@
 """Lax type coercion for contract fields.
 
 Mirrors the lax mode of the contract library the reference uses: integers
-accept integral numbers, booleans, whole floats and numeric strings (with
-surrounding whitespace); floats accept numbers and numeric strings; strings
-accept strings only. Everything is ``try_cast`` based, because ANSI mode
-(on by default in Spark 4) makes a plain ``cast`` throw on bad input.
+accept integral numbers, booleans, whole floats and integer strings; floats
+accept numbers, booleans and float strings (NaN / infinity included);
+strings accept strings only. Numeric strings follow that library's grammar,
+checked here with regular expressions before a ``try_cast`` (ANSI mode, on
+by default in Spark 4, makes a plain ``cast`` throw on bad input):
+
+- surrounding Unicode ``White_Space`` is ignored;
+- integers: ``[+-]digits``, single underscores between digits, optionally a
+  fraction of zeros (``"1.00"``); no exponent;
+- floats: ``nan`` / ``inf`` / ``infinity`` in any case with an optional
+  sign, or a decimal float with optional exponent; single underscores are
+  allowed except at the start or the end; no hex floats or type suffixes.
+
+Integers are 64-bit here: a value beyond ``bigint`` is a type violation.
 """
 
 from __future__ import annotations
@@ -13,15 +23,41 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.functions.rules import whitespace_chars
-
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
+# --- Fixed values: numeric string grammar of the lax contract mode ------------
+_EDGE_WS = r"^\p{IsWhite_Space}+|\p{IsWhite_Space}+$"
+_INT_STRING = r"^[+-]?[0-9]+(_[0-9]+)*(\.0+)?$"
+_FLOAT_SPECIAL_NAN = r"(?i)^[+-]?nan$"
+_FLOAT_SPECIAL_POS_INF = r"(?i)^\+?inf(inity)?$"
+_FLOAT_SPECIAL_NEG_INF = r"(?i)^-inf(inity)?$"
+_FLOAT_STRING = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+# -----------------------------------------------------------------------------
+
 
 def _strip(raw: Column) -> Column:
-    """Strip the characters Python's ``str.strip()`` removes (``trim`` strips spaces only)."""
-    return F.btrim(raw, F.lit(whitespace_chars()))
+    """Drop leading / trailing Unicode White_Space (``trim`` strips spaces only)."""
+    return F.regexp_replace(raw, _EDGE_WS, "")
+
+
+def int_from_string(raw: Column, target: T.DataType) -> Column:
+    s = _strip(raw)
+    digits = F.regexp_replace(F.regexp_replace(s, "_", ""), r"\.0+$", "")
+    return F.when(s.rlike(_INT_STRING), digits.try_cast(target))
+
+
+def float_from_string(raw: Column, target: T.DataType) -> Column:
+    s = _strip(raw)
+    plain = F.regexp_replace(s, "_", "")
+    underscores_ok = ~s.startswith("_") & ~s.endswith("_") & ~s.contains("__")
+    value = (
+        F.when(s.rlike(_FLOAT_SPECIAL_NAN), F.lit(float("nan")))
+        .when(s.rlike(_FLOAT_SPECIAL_POS_INF), F.lit(float("inf")))
+        .when(s.rlike(_FLOAT_SPECIAL_NEG_INF), F.lit(float("-inf")))
+        .when(underscores_ok & plain.rlike(_FLOAT_STRING), plain.try_cast("double"))
+    )
+    return value if isinstance(target, T.DoubleType) else value.try_cast(target)
 
 
 def coerce(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column, Column]:
@@ -42,10 +78,10 @@ def coerce(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column,
             value = F.when(whole, raw.try_cast(target))
             return value, value.isNotNull()
         if isinstance(source, T.StringType):
-            value = _strip(raw).try_cast(target)
+            value = int_from_string(raw, target)
             return value, value.isNotNull()
     if isinstance(target, _FRACTIONAL) and isinstance(source, T.StringType):
-        value = _strip(raw).try_cast(target)
+        value = float_from_string(raw, target)
         return value, value.isNotNull()
     if isinstance(target, T.StringType):
         # A string field accepts strings only: numbers, dates, ... are rejected.
