@@ -23,7 +23,7 @@ pydantic = pytest.importorskip("pydantic")
 
 pytestmark = pytest.mark.unit
 
-SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+SETTINGS = settings(max_examples=10, deadline=None, derandomize=True, suppress_health_check=list(HealthCheck))
 
 
 class _I(pydantic.BaseModel):
