@@ -23,6 +23,7 @@ from tablegate.functions.rules import Rule
 VIOLATIONS = "_violations"
 REASON = "rejection_reason"
 RAW_PREFIX = "_raw_"
+RESERVED = (VIOLATIONS, "_gate")  # columns the gate and the split write add
 
 VIOLATION_TYPE = T.StructType(
     [
@@ -55,6 +56,12 @@ class Contract:
     name: str
     fields: tuple[Field, ...] = field(default_factory=tuple)
 
+    def __post_init__(self) -> None:
+        names = [f.name for f in self.fields]
+        dup = sorted({n for n in names if names.count(n) > 1})
+        if dup:
+            raise ValueError(f"contract {self.name!r} repeats fields {dup}")
+
     @property
     def field_names(self) -> list[str]:
         return [f.name for f in self.fields]
@@ -106,6 +113,9 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
     type (so rejected rows can show what arrived), every other input column
     unchanged, and ``_violations``.
     """
+    clash = [c for c in df.columns if c in RESERVED or c.startswith(RAW_PREFIX)]
+    if clash:
+        raise ValueError(f"input columns {clash} use names reserved by the gate; rename them first")
     types = {f.name: f.dataType for f in df.schema.fields}
     typed_cols: list[Column] = []
     raw_cols: list[Column] = []
@@ -121,7 +131,7 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
             typed, type_ok = F.lit(None).cast(f.dtype), F.lit(True)
         typed_cols.append(typed.cast(f.dtype).alias(f.name))
         checks.append(_field_check(raw, typed, type_ok, f))
-    extras = [F.col(c) for c in df.columns if c not in contract.field_names and c != VIOLATIONS]
+    extras = [F.col(c) for c in df.columns if c not in contract.field_names]
     violations = F.concat(*checks) if checks else _no_violation()
     return df.select(*typed_cols, *extras, *raw_cols, violations.alias(VIOLATIONS))
 

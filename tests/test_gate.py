@@ -105,3 +105,17 @@ def test_quotes_in_field_names_and_messages(spark):
     df = spark.createDataFrame([("x",), ("y",)], "`we'ird` string")
     rows = rejected(gate(df, c)).collect()
     assert [r.rejection_reason for r in rows] == ["we'ird: can't be 'x' \\ here"]
+
+
+def test_reserved_input_columns_fail_fast(spark):
+    for name in ("_violations", "_gate", "_raw_email"):
+        df = spark.createDataFrame([(1, "x")], f"customer_id bigint, `{name}` string")
+        with pytest.raises(ValueError, match="reserved"):
+            gate(df, CUSTOMER_CONTRACT)
+
+
+def test_duplicate_contract_fields_rejected():
+    from tablegate.operators.contract import Contract, Field
+
+    with pytest.raises(ValueError, match="repeats"):
+        Contract("x", (Field("a", T.LongType()), Field("a", T.StringType())))
