@@ -78,3 +78,38 @@ def test_exact_totals_equal_python_decimal_sum(spark, rows, parts):
         g = f"G{k % 2}"
         want[g] = want.get(g, Decimal(0)) + Decimal(repr(float(a))).quantize(Decimal("0.01"), ROUND_HALF_UP)
     assert got == want
+
+
+KEYS = st.one_of(st.none(), st.integers(1, 6))
+GROUPS = st.one_of(st.none(), st.sampled_from(["A", "B", " ", "C"]))
+AMTS = st.one_of(st.none(), st.sampled_from([-5.0, 0.0, 1.25, 10.0, 99.99]))
+
+
+@SETTINGS
+@given(
+    st.lists(st.tuples(KEYS, AMTS), min_size=0, max_size=60),
+    st.lists(st.tuples(KEYS, GROUPS), min_size=0, max_size=12),
+)
+def test_fused_totals_equal_explicit_joins(spark, facts_rows, dims_rows):
+    """One-pass clean+raw totals == raw LEFT JOIN + clean INNER JOIN + FULL OUTER compare."""
+    from tablegate.operators import reconcile
+    from tablegate.operators.contract import clean, gate
+    from tablegate.plans.contracts import CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
+
+    facts = spark.createDataFrame(
+        [(i, k, a, "2025-01-01") for i, (k, a) in enumerate(facts_rows)],
+        "transaction_id bigint, customer_id bigint, amount double, date string",
+    )
+    dims = spark.createDataFrame(
+        [(k, "n", f"u{i}@x.co", g) for i, (k, g) in enumerate(dims_rows)],
+        "customer_id bigint, name string, email string, country string",
+    )
+    tf, td = gate(facts, TRANSACTION_CONTRACT), gate(dims, CUSTOMER_CONTRACT)
+    fused = reconcile.fused_comparison(reconcile.fused_totals(tf, td))
+    explicit = reconcile.compare_totals(
+        reconcile.raw_totals(facts, dims), enrich.group_totals(clean(tf), clean(td), as_double=False)
+    )
+    def rows(df):
+        return sorted(((r.country, r.raw_total, r.clean_total) for r in df.collect()), key=lambda t: (t[0] is None, t[0] or ""))
+
+    assert rows(fused) == rows(explicit)
