@@ -76,6 +76,7 @@ class AuditRun:
     report: DataFrame
     outbox: DataFrame
     overall_pass: bool
+    inexact_amounts: int
     actions: int
     jobs: int
 
@@ -110,10 +111,22 @@ def run_audit(
             gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name,
             cfg.completeness.get(cfg.dims_name, []), cfg.mask_columns,
         )
+        # Amounts present but not summable exactly (NaN, +/-inf, beyond the
+        # decimal type) are excluded from both totals alike; count them on the
+        # same write so they are reported, not silently dropped.
+        amt = F.col(cfg.amount)
+        inexact = F.count_if(amt.isNotNull() & enrich.exact(amt, cfg.precision, cfg.scale).isNull())
         facts = write_split(
             gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name,
-            cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns,
+            cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns, [inexact.alias("inexact_amounts")],
         )
+        inexact_amounts = facts.metrics["inexact_amounts"]
+        if inexact_amounts:
+            logger.warning(
+                "%d %s rows have an amount that cannot be summed exactly (NaN, infinity or beyond "
+                "decimal(%d,%d)); they are excluded from both totals",
+                inexact_amounts, cfg.facts_name, cfg.precision, cfg.scale,
+            )
 
         enriched = enrich.enrich(facts.clean, dims.clean, cfg.key)
         if cfg.write_enriched:  # optional: the joined table is as large as the clean facts
@@ -180,6 +193,7 @@ def run_audit(
         report=report_df,
         outbox=outbox,
         overall_pass=overall_pass,
+        inexact_amounts=inexact_amounts,
         actions=actions,
         jobs=_jobs_in_group(spark, group_id),
     )

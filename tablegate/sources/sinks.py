@@ -12,7 +12,7 @@ import logging
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tablegate.operators.contract import VIOLATIONS, gate_count_columns, is_clean, rejected
@@ -33,6 +33,7 @@ class Split:
     clean_rows: int
     rejected_rows: int
     clean_null_counts: dict[str, int]
+    metrics: dict[str, int]
 
 
 def write_split(
@@ -41,6 +42,7 @@ def write_split(
     entity: str = "records",
     null_columns: list[str] | tuple[str, ...] = (),
     mask_rejected: list[str] | tuple[str, ...] = (),
+    extra_metrics: list[Column] | tuple[Column, ...] = (),
 ) -> Split:
     """Write clean and rejected rows under ``path/_gate=clean|rejected``.
 
@@ -54,6 +56,8 @@ def write_split(
     ``mask_rejected`` names PII columns (string-typed) written as SHA-256
     digests in rejected rows, so the quarantine files never hold them in
     clear; clean rows keep their values. Never mask the key, group or amount.
+    ``extra_metrics`` are more aliased aggregate columns for the same
+    observation; their values land in ``Split.metrics``.
     """
     obs = Observation(f"gate_{entity}_{uuid.uuid4().hex[:8]}")
     ok = is_clean()
@@ -76,7 +80,7 @@ def write_split(
     ]
     tagged = annotated.select(
         *cols, F.when(ok, F.lit("clean")).otherwise(F.lit("rejected")).alias(GATE_COLUMN)
-    ).observe(obs, *gate_count_columns(), *null_metrics)
+    ).observe(obs, *gate_count_columns(), *null_metrics, *extra_metrics)
     # The observation sits in the write's result stage (the gate adds no
     # shuffle), so each task's counts are merged exactly once, retries included.
     tagged.write.mode("overwrite").partitionBy(GATE_COLUMN).parquet(path)
@@ -96,6 +100,7 @@ def write_split(
         clean_rows=int(counts["clean_rows"]),
         rejected_rows=int(counts["rejected_rows"]),
         clean_null_counts={c: int(counts[f"null:{c}"]) for c in null_columns},
+        metrics={k: int(v) for k, v in counts.items()},
     )
 
 

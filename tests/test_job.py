@@ -170,3 +170,17 @@ def test_unwritable_report_path_raises(spark, scratch):
     rows = spark.createDataFrame([(0, "c", True, 0, "{}")], "ordinal int, check_name string, passed boolean, violation_count bigint, details string")
     with pytest.raises(Exception):
         save_report(report.build_report(rows), blocker + "/report")
+
+
+def test_inexact_amounts_are_counted_not_hidden(spark):
+    from tablegate.sources.mock import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
+
+    c = spark.createDataFrame([(1, "A", "a@b.co", "X")], CUSTOMER_SCHEMA)
+    t = spark.createDataFrame(
+        [(1, 1, 10.0, "2025-01-01"), (2, 1, float("nan"), "2025-01-01"), (3, 1, float("inf"), "2025-01-01"),
+         (4, 1, 1e20, "2025-01-01"), (5, 1, None, "2025-01-01")],
+        TRANSACTION_SCHEMA,
+    )
+    run = run_audit(spark, c, t)
+    assert run.inexact_amounts == 3
+    assert [(r.country, r.total_amount) for r in run.totals.collect()] == [("X", 10.0)]
