@@ -6,7 +6,7 @@ still a constant of the plan):
 
 1. customers gate, written once partitioned by outcome; gate counts and the
    completeness NULL counts are observed on that same write;
-2. transactions gate, likewise;
+2. transactions gate, likewise, submitted together with 1 (independent jobs);
 3. clean AND raw group totals in one pass over the two written splits
    (``fused_totals``), written (one row per group) -- the raw sources are
    never scanned again;
@@ -24,9 +24,11 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,20 +108,25 @@ def run_audit(
         sc.setJobGroup(group_id, "tablegate audit run")
     except Exception:
         sc = None
+    in_thread = inheritable_thread_target(spark)  # job group / tags follow the worker threads
     try:
-        dims = write_split(
-            gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name,
-            cfg.completeness.get(cfg.dims_name, []), cfg.mask_columns,
-        )
         # Amounts present but not summable exactly (NaN, +/-inf, beyond the
         # decimal type) are excluded from both totals alike; count them on the
         # same write so they are reported, not silently dropped.
         amt = F.col(cfg.amount)
         inexact = F.count_if(amt.isNotNull() & enrich.exact(amt, cfg.precision, cfg.scale).isNull())
-        facts = write_split(
-            gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name,
-            cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns, [inexact.alias("inexact_amounts")],
-        )
+        # The two gate writes are independent jobs: submit them together so the
+        # smaller one runs on executors the larger one leaves idle.
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            dims_job = pool.submit(in_thread(write_split),
+                gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name,
+                cfg.completeness.get(cfg.dims_name, []), cfg.mask_columns,
+            )
+            facts_job = pool.submit(in_thread(write_split),
+                gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name,
+                cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns, [inexact.alias("inexact_amounts")],
+            )
+            dims, facts = dims_job.result(), facts_job.result()
         inexact_amounts = facts.metrics["inexact_amounts"]
         if inexact_amounts:
             logger.warning(
@@ -129,17 +136,18 @@ def run_audit(
             )
 
         enriched = enrich.enrich(facts.clean, dims.clean, cfg.key)
-        if cfg.write_enriched:  # optional: the joined table is as large as the clean facts
-            enriched = materialize(enriched, f"{root}/enriched")
         # Clean and raw totals in one pass over each written split (no second
-        # scan of the sources); one row per group.
-        fused = materialize(
-            reconcile.fused_totals(
-                facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale,
-                clean_flag=clean_flag(),
-            ),
-            f"{root}/totals",
+        # scan of the sources); one row per group. The optional enriched table
+        # (as large as the clean facts) is written alongside, as its own job.
+        totals_plan = reconcile.fused_totals(
+            facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale,
+            clean_flag=clean_flag(),
         )
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            fused_job = pool.submit(in_thread(materialize), totals_plan, f"{root}/totals")
+            if cfg.write_enriched:
+                enriched = pool.submit(in_thread(materialize), enriched, f"{root}/enriched").result()
+            fused = fused_job.result()
         totals = reconcile.clean_side(fused, cfg.group, "total_amount")
         clean_for_checks = dims.clean
         if cfg.mask_columns:
