@@ -107,3 +107,14 @@ def iso_date() -> Rule:
         & ~c.startswith(ZERO_YEAR_PREFIX)
         & c.try_cast("date").isNotNull(),
     )
+
+
+# Rule constructors by name, for contracts loaded from configuration.
+RULES: dict[str, Callable[[], Rule]] = {
+    "not_blank": not_blank,
+    "email": email,
+    "positive": positive,
+    "positive_amount": positive_amount,
+    "finite": finite,
+    "iso_date": iso_date,
+}

@@ -62,6 +62,35 @@ class Contract:
         if dup:
             raise ValueError(f"contract {self.name!r} repeats fields {dup}")
 
+    @classmethod
+    def from_spec(cls, spec: dict) -> "Contract":
+        """Build a contract from plain data, e.g. a parsed JSON / YAML file::
+
+            {"name": "customers",
+             "fields": [{"name": "customer_id", "type": "bigint"},
+                        {"name": "email", "type": "string", "rules": ["email"]},
+                        {"name": "nickname", "type": "string", "required": false}]}
+
+        ``type`` is a Spark DDL type string; ``rules`` name constructors in
+        ``tablegate.functions.rules.RULES``.
+        """
+        from tablegate.functions.rules import RULES
+
+        fields = []
+        for f in spec["fields"]:
+            unknown = [r for r in f.get("rules", []) if r not in RULES]
+            if unknown:
+                raise ValueError(f"unknown rules {unknown} for field {f['name']!r}; known: {sorted(RULES)}")
+            fields.append(
+                Field(
+                    f["name"],
+                    _simple_type(f["type"]),
+                    tuple(RULES[r]() for r in f.get("rules", [])),
+                    bool(f.get("required", True)),
+                )
+            )
+        return cls(spec["name"], tuple(fields))
+
     @property
     def field_names(self) -> list[str]:
         return [f.name for f in self.fields]
@@ -74,6 +103,25 @@ def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_SIMPLE_TYPES = {
+    "tinyint": T.ByteType, "byte": T.ByteType, "smallint": T.ShortType, "short": T.ShortType,
+    "int": T.IntegerType, "integer": T.IntegerType, "bigint": T.LongType, "long": T.LongType,
+    "float": T.FloatType, "double": T.DoubleType, "string": T.StringType, "boolean": T.BooleanType,
+    "date": T.DateType, "timestamp": T.TimestampType,
+}
+
+
+def _simple_type(name: str) -> T.DataType:
+    """A field type from its Spark SQL name (``bigint``, ``decimal(18,2)``, ...)."""
+    key = name.strip().lower().replace(" ", "")
+    if key in _SIMPLE_TYPES:
+        return _SIMPLE_TYPES[key]()
+    if key.startswith("decimal(") and key.endswith(")"):
+        precision, scale = (int(x) for x in key[len("decimal("):-1].split(","))
+        return T.DecimalType(precision, scale)
+    raise ValueError(f"unsupported field type {name!r}")
+
+
 def _violation(field_name: str, rule: str, message: str) -> Column:
     """A one-element violation array literal (one expression, one driver call)."""
     reason = f"{field_name}: {message}"

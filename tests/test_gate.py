@@ -119,3 +119,27 @@ def test_duplicate_contract_fields_rejected():
 
     with pytest.raises(ValueError, match="repeats"):
         Contract("x", (Field("a", T.LongType()), Field("a", T.StringType())))
+
+
+def test_contract_from_spec_equals_builtin(spark):
+    import json
+
+    from tablegate.operators.contract import Contract
+    from tablegate.sources.mock import mock_customers
+
+    spec = json.loads(
+        """{"name": "customers", "fields": [
+             {"name": "customer_id", "type": "bigint"},
+             {"name": "name", "type": "string", "rules": ["not_blank"]},
+             {"name": "email", "type": "string", "rules": ["email"]},
+             {"name": "country", "type": "string", "rules": ["not_blank"]}]}"""
+    )
+    c = Contract.from_spec(spec)
+    assert c.schema() == CUSTOMER_CONTRACT.schema()
+    mine = {r.customer_id: r.rejection_reason for r in rejected(gate(mock_customers(spark), c)).collect()}
+    builtin = {r.customer_id: r.rejection_reason for r in rejected(gate(mock_customers(spark), CUSTOMER_CONTRACT)).collect()}
+    assert mine == builtin
+    with pytest.raises(ValueError, match="unknown rules"):
+        Contract.from_spec({"name": "x", "fields": [{"name": "a", "type": "string", "rules": ["nope"]}]})
+    opt = Contract.from_spec({"name": "x", "fields": [{"name": "a", "type": "decimal(10, 2)", "required": False}]})
+    assert opt.fields[0].dtype == T.DecimalType(10, 2) and opt.fields[0].required is False
