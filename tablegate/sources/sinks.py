@@ -142,6 +142,10 @@ def save_report_file(report: DataFrame, path: str) -> dict:
     return doc
 
 
-def write_outbox(outbox: DataFrame, path: str) -> None:
-    """Append alert rows for a delivery process to drain."""
-    outbox.write.mode("append").json(path)
+def write_outbox(outbox: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write the alert rows for a delivery process to drain.
+
+    Overwrite by default, like every other output of a run, so re-running a
+    run into the same folder is idempotent; ``mode='append'`` for a shared outbox.
+    """
+    outbox.write.mode(mode).json(path)

@@ -184,3 +184,11 @@ def test_inexact_amounts_are_counted_not_hidden(spark):
     run = run_audit(spark, c, t)
     assert run.inexact_amounts == 3
     assert [(r.country, r.total_amount) for r in run.totals.collect()] == [("X", 10.0)]
+
+
+def test_rerun_into_same_folder_is_idempotent(spark, scratch):
+    for _ in range(2):
+        run = run_audit(spark, mock_customers(spark), mock_transactions(spark), output_dir=scratch + "/run")
+    assert spark.read.json(scratch + "/run/outbox").count() == 2
+    assert spark.read.json(scratch + "/run/audit_report.json").count() == 1
+    assert run.dims.clean.count() == 2
