@@ -12,7 +12,8 @@ still a constant of the plan):
    never scanned again;
 4. uniqueness, referential integrity, reconciliation and the report,
    written as ONE row (one plan over the written splits and totals);
-5. the JSON report, 6. the outbox, plus a one-row read of the verdict.
+5. the JSON report, 6. the outbox (empty when the run passed), 7. a one-row
+   read of the verdict.
 
 Everything between steps goes through files under the shared checkpoint
 folder, so a lost executor costs a task retry on the last written table,
@@ -183,10 +184,10 @@ def run_audit(
         save_report(report_df, f"{root}/audit_report.json")
         outbox = report.alert_outbox(report_df, cfg.webhook_url, cfg.email_to, cfg.subject)
         overall_pass = bool(report_df.select("overall_pass").first()[0])
-        actions = 7 if cfg.write_enriched else 6
-        if not overall_pass:
-            write_outbox(outbox, f"{root}/outbox")
-            actions += 1
+        # Written on every run (empty when the run passed), so a re-run into the
+        # same folder never leaves a previous run's alerts behind.
+        write_outbox(outbox, f"{root}/outbox")
+        actions = 8 if cfg.write_enriched else 7
         logger.info("Audit %s: overall_pass=%s", root, overall_pass)
     finally:
         if sc is not None:

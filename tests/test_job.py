@@ -192,3 +192,15 @@ def test_rerun_into_same_folder_is_idempotent(spark, scratch):
     assert spark.read.json(scratch + "/run/outbox").count() == 2
     assert spark.read.json(scratch + "/run/audit_report.json").count() == 1
     assert run.dims.clean.count() == 2
+
+
+def test_passing_rerun_clears_old_alerts(spark, scratch):
+    run_audit(spark, mock_customers(spark), mock_transactions(spark), output_dir=scratch + "/r")
+    c = dirty.clean_customers_source(spark, SF_SMALL)
+    t = dirty.clean_transactions_source(spark, SF_SMALL).filter("customer_id > 0")
+    run = run_audit(spark, c, t, output_dir=scratch + "/r")
+    assert run.overall_pass is True and run.actions == 7
+    import os
+
+    outbox = _local(scratch + "/r/outbox")
+    assert not any(open(os.path.join(outbox, f)).read().strip() for f in os.listdir(outbox) if f.startswith("part-"))
