@@ -29,9 +29,9 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.util import inheritable_thread_target
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from tablegate.functions.masking import mask
 from tablegate.operators import audit, enrich, reconcile, report
@@ -234,6 +234,12 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--output", help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--mask", default="", help="comma-separated PII columns to hash in outputs")
     ap.add_argument("--write-enriched", action="store_true")
+    ap.add_argument("--customers-contract", help="JSON contract spec (Contract.from_spec) for the first table")
+    ap.add_argument("--transactions-contract", help="JSON contract spec for the second table")
+    ap.add_argument("--key", default="customer_id")
+    ap.add_argument("--group", default="country")
+    ap.add_argument("--amount", default="amount")
+    ap.add_argument("--unique", default="email", help="comma-separated uniqueness key columns")
     args = ap.parse_args(argv)
 
     spark = build_session()
@@ -244,8 +250,21 @@ def main(argv: list[str] | None = None) -> int:
         facts = spark.read.format(args.format).load(args.transactions)
     else:
         ap.error("give --sf-dir or both --customers and --transactions")
+    def load(path, default):
+        if not path:
+            return default
+        with open(path, encoding="utf-8") as fh:
+            return Contract.from_spec(json.load(fh))
+
     cfg = AuditConfig(
-        mask_columns=tuple(c for c in args.mask.split(",") if c), write_enriched=args.write_enriched
+        dims_contract=load(args.customers_contract, CUSTOMER_CONTRACT),
+        facts_contract=load(args.transactions_contract, TRANSACTION_CONTRACT),
+        key=args.key,
+        group=args.group,
+        amount=args.amount,
+        unique_keys=tuple(c for c in args.unique.split(",") if c),
+        mask_columns=tuple(c for c in args.mask.split(",") if c),
+        write_enriched=args.write_enriched,
     )
     run = run_audit(spark, dims, facts, cfg, args.output)
     print(

@@ -204,3 +204,17 @@ def test_passing_rerun_clears_old_alerts(spark, scratch):
 
     outbox = _local(scratch + "/r/outbox")
     assert not any(open(os.path.join(outbox, f)).read().strip() for f in os.listdir(outbox) if f.startswith("part-"))
+
+
+def test_cli_with_contract_files(spark, scratch, capsys):
+    from tablegate.plans.job import main
+
+    spec = {"name": "customers", "fields": [
+        {"name": "customer_id", "type": "bigint"},
+        {"name": "country", "type": "string", "rules": ["not_blank"]}]}
+    with open(scratch + "/c.json", "w", encoding="utf-8") as fh:
+        json.dump(spec, fh)
+    assert main(["--sf-dir", SF_SMALL, "--customers-contract", scratch + "/c.json", "--unique", "customer_id"]) == 2
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    # only customer_id and country are checked now: fewer customers rejected than with the full contract
+    assert out["rejected"]["customers"] < 37 and out["clean"]["customers"] + out["rejected"]["customers"] == 150
