@@ -266,6 +266,14 @@ def main(argv: list[str] | None = None) -> int:
         mask_columns=tuple(c for c in args.mask.split(",") if c),
         write_enriched=args.write_enriched,
     )
+    # With a contract from a file, completeness covers that contract's fields
+    # (except the join key) instead of the reference's column names.
+    for name, path, contract in (
+        (cfg.dims_name, args.customers_contract, cfg.dims_contract),
+        (cfg.facts_name, args.transactions_contract, cfg.facts_contract),
+    ):
+        if path:
+            cfg.completeness[name] = [f for f in contract.field_names if f != cfg.key]
     run = run_audit(spark, dims, facts, cfg, args.output)
     print(
         json.dumps(
