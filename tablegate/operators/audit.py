@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegate.operators.contract import union_all
 from tablegate.operators.summary import DEFAULT_SAMPLE, AuditCheck, sampled_summary, summary_row
@@ -78,8 +79,17 @@ def completeness_from_counts(spark: SparkSession, counts: list[tuple[str, str, i
     ``counts`` is ``[(entity, column, null_count), ...]`` -- one entry per
     audited column, so the frame is bounded by the contract, not the data.
     """
-    schema = "entity string, ordinal int, column_name string, null_count bigint"
-    long = spark.createDataFrame([(e, i, c, int(n)) for i, (e, c, n) in enumerate(counts)], schema)
+    from tablegate.session import literal_rows
+
+    schema = T.StructType(
+        [
+            T.StructField("entity", T.StringType()),
+            T.StructField("ordinal", T.IntegerType()),
+            T.StructField("column_name", T.StringType()),
+            T.StructField("null_count", T.LongType()),
+        ]
+    )
+    long = literal_rows(spark, schema, [(e, i, c, int(n)) for i, (e, c, n) in enumerate(counts)])
     return _completeness_check(long, [c for _, c, _ in counts])
 
 

@@ -38,7 +38,7 @@ from tablegate.operators import audit, enrich, reconcile, report
 from tablegate.operators.contract import Contract, gate
 from tablegate.operators.summary import DEFAULT_SAMPLE, AuditCheck
 from tablegate.plans.contracts import COMPLETENESS_COLUMNS, CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
-from tablegate.session import materialize, run_folder
+from tablegate.session import literal_rows, materialize, run_folder
 from tablegate.sources.sinks import Split, clean_flag, save_report, write_outbox, write_split
 
 logger = logging.getLogger(__name__)
@@ -166,11 +166,8 @@ def run_audit(
                 reconcile.fused_comparison(fused, cfg.group, cfg.scale), cfg.group, cfg.tolerance, cfg.sample_size
             ),
         ]
-        gate_rows = spark.createDataFrame(
-            [
-                (cfg.dims_name, dims.clean_rows, dims.rejected_rows),
-                (cfg.facts_name, facts.clean_rows, facts.rejected_rows),
-            ],
+        gate_rows = literal_rows(
+            spark,
             T.StructType(
                 [
                     T.StructField("entity", T.StringType(), False),
@@ -178,6 +175,10 @@ def run_audit(
                     T.StructField("rejected_rows", T.LongType(), False),
                 ]
             ),
+            [
+                (cfg.dims_name, dims.clean_rows, dims.rejected_rows),
+                (cfg.facts_name, facts.clean_rows, facts.rejected_rows),
+            ],
         )
         built = report.build_report(report.summaries(checks), gate_rows)
         report_df = materialize(built, f"{root}/report")

@@ -11,6 +11,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Settings that matter at any scale: AQE re-plans joins from measured sizes
 # (broadcast only under the threshold, sort-merge otherwise), splits skewed
@@ -83,3 +85,18 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def literal_rows(spark: SparkSession, schema: T.StructType, rows: list[tuple]) -> DataFrame:
+    """A small table of driver-side values, built from literals in the JVM.
+
+    ``createDataFrame(list)`` ships the rows through a Python RDD, so every
+    task starts a Python worker; for a handful of counters that dwarfs the
+    work. Only for bounded data (a few rows per contract / entity).
+    """
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    structs = [
+        F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(row, schema.fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
