@@ -56,28 +56,28 @@ def _clean(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 # --- gate (C7-C10) -------------------------------------------------------------
 
 
-def gate_customers_clean(spark, sf_dir):
+def gate_customers_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.clean(_annotated(spark, sf_dir)[0])
 
 
-def gate_customers_rejected(spark, sf_dir):
+def gate_customers_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.rejected(_annotated(spark, sf_dir)[0])
 
 
-def gate_transactions_clean(spark, sf_dir):
+def gate_transactions_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.clean(_annotated(spark, sf_dir)[1])
 
 
-def gate_transactions_rejected(spark, sf_dir):
+def gate_transactions_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contract.rejected(_annotated(spark, sf_dir)[1])
 
 
-def rejections_by_field_rule(spark, sf_dir):
+def rejections_by_field_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _annotated(spark, sf_dir)
     return contract.violation_counts(c, "customers").unionByName(contract.violation_counts(t, "transactions"))
 
 
-def gate_counts(spark, sf_dir):
+def gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _annotated(spark, sf_dir)
     return contract.gate_counts(c, "customers").unionByName(contract.gate_counts(t, "transactions"))
 
@@ -85,28 +85,28 @@ def gate_counts(spark, sf_dir):
 # --- single rules (C2-C6): predicate per row, NULL where the value is NULL ---------
 
 
-def rule_not_blank(spark, sf_dir):
+def rule_not_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _customers(spark, sf_dir)
     nb = rules.not_blank()
     return c.select("customer_id", nb(F.col("name")).alias("name_not_blank"), nb(F.col("country")).alias("country_not_blank"))
 
 
-def rule_email(spark, sf_dir):
+def rule_email(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _customers(spark, sf_dir)
     return c.select("customer_id", "email", rules.email()(F.col("email")).alias("email_valid"))
 
 
-def rule_positive_id(spark, sf_dir):
+def rule_positive_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _transactions(spark, sf_dir)
     return t.select("transaction_id", "customer_id", rules.positive()(F.col("customer_id")).alias("customer_id_positive"))
 
 
-def rule_positive_amount(spark, sf_dir):
+def rule_positive_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _transactions(spark, sf_dir)
     return t.select("transaction_id", "amount", rules.positive_amount()(F.col("amount")).alias("amount_positive"))
 
 
-def rule_iso_date(spark, sf_dir):
+def rule_iso_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = _transactions(spark, sf_dir)
     return t.select("transaction_id", "date", rules.iso_date()(F.col("date")).alias("date_valid"))
 
@@ -114,12 +114,12 @@ def rule_iso_date(spark, sf_dir):
 # --- enrich (J1, G1, O1) -----------------------------------------------------------
 
 
-def enriched_transactions(spark, sf_dir):
+def enriched_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _clean(spark, sf_dir)
     return enrich.enrich(t, c, "customer_id")
 
 
-def spend_by_country(spark, sf_dir):
+def spend_by_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _clean(spark, sf_dir)
     return enrich.order_desc(enrich.group_totals(t, c), "total_amount", "country")
 
@@ -136,29 +136,29 @@ def _completeness(c: DataFrame, t: DataFrame) -> audit.AuditCheck:
     )
 
 
-def completeness_raw(spark, sf_dir):
+def completeness_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(_customers(spark, sf_dir), _transactions(spark, sf_dir)).violations
 
 
-def completeness_clean(spark, sf_dir):
+def completeness_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _completeness(*_clean(spark, sf_dir)).violations
 
 
-def uniqueness_raw(spark, sf_dir):
+def uniqueness_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.uniqueness(_customers(spark, sf_dir), "email").violations
 
 
-def uniqueness_clean(spark, sf_dir):
+def uniqueness_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, _ = _clean(spark, sf_dir)
     return audit.uniqueness(c, "email").violations
 
 
-def orphan_keys(spark, sf_dir):
+def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _clean(spark, sf_dir)
     return audit.orphan_keys(t, c, "customer_id")
 
 
-def orphan_rows(spark, sf_dir):
+def orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _clean(spark, sf_dir)
     return audit.orphan_rows(t, c, "customer_id")
 
@@ -166,7 +166,7 @@ def orphan_rows(spark, sf_dir):
 # --- reconciliation (A4-A6) ----------------------------------------------------------
 
 
-def raw_totals(spark, sf_dir):
+def raw_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     t, c = _transactions(spark, sf_dir), _customers(spark, sf_dir)
     return enrich.order_desc(reconcile.raw_totals(t, c, as_double=True), "raw_total", "country")
 
@@ -183,13 +183,13 @@ def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plan(spark, sf_dir, "fused", lambda: reconcile.fused_totals(t, c))
 
 
-def reconciliation(spark, sf_dir):
+def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 via ``fused_totals``: each source is scanned once for both sides."""
     cmp = reconcile.fused_comparison(_fused(spark, sf_dir))
     return reconcile.to_double(reconcile.mismatches(cmp), ["raw_total", "clean_total"])
 
 
-def reconciliation_delta(spark, sf_dir):
+def reconciliation_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6 via the explicit formulation: raw totals FULL OUTER JOIN clean totals."""
     c, t = _clean(spark, sf_dir)
     cmp = _comparison(_transactions(spark, sf_dir), _customers(spark, sf_dir), t, c)
@@ -197,7 +197,7 @@ def reconciliation_delta(spark, sf_dir):
     return enrich.order_desc(out, "delta", "country")
 
 
-def reconciliation_passing(spark, sf_dir):
+def reconciliation_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The passing variant: the clean tables are the raw side too; every delta is 0."""
     c, t = _annotated(spark, sf_dir)
     ok = contract.is_clean()
@@ -209,7 +209,7 @@ def reconciliation_passing(spark, sf_dir):
 # --- masking, summary, report, alerts (A7, A8, R1, L1-L3) -----------------------------
 
 
-def masked_rejects(spark, sf_dir):
+def masked_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     rej = gate_customers_rejected(spark, sf_dir)
     return masking.mask(rej, ["name", "email"], suffix="_sha256").select(
         "customer_id", "name_sha256", "email_sha256", "country", "rejection_reason"
@@ -227,16 +227,16 @@ def audit_checks(spark: SparkSession, sf_dir: str) -> list[audit.AuditCheck]:
     ]
 
 
-def audit_summary(spark, sf_dir):
+def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = report.summaries(audit_checks(spark, sf_dir))
     return rows.select("check_name", "passed", report.status_label().alias("status"), "violation_count")
 
 
-def _report(spark, sf_dir):
+def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.build_report(report.summaries(audit_checks(spark, sf_dir)), gate_counts(spark, sf_dir))
 
 
-def audit_report(spark, sf_dir):
+def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = _report(spark, sf_dir)
     return r.select(
         "overall_pass",
@@ -247,7 +247,7 @@ def audit_report(spark, sf_dir):
     )
 
 
-def alert_outbox(spark, sf_dir):
+def alert_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.alert_outbox(_report(spark, sf_dir)).select("channel", "target", "subject")
 
 
