@@ -63,6 +63,7 @@ class AuditConfig:
     sample_size: int = DEFAULT_SAMPLE
     mask_columns: tuple[str, ...] = ()
     write_enriched: bool = False
+    rejected_files: int | None = None  # also write a compact quarantine table in this many files
     webhook_url: str = report.DEFAULT_WEBHOOK_URL
     email_to: str = report.DEFAULT_EMAIL_TO
     subject: str = report.DEFAULT_SUBJECT
@@ -128,6 +129,12 @@ def run_audit(
                 cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns, [inexact.alias("inexact_amounts")],
             )
             dims, facts = dims_job.result(), facts_job.result()
+        if cfg.rejected_files:
+            # The single-pass split leaves one rejected file per input task; a
+            # compact quarantine table (rows + reasons) merges them without a
+            # shuffle. Consumers read this; the split stays internal.
+            for name, split in ((cfg.dims_name, dims), (cfg.facts_name, facts)):
+                split.rejected = materialize(split.rejected.coalesce(cfg.rejected_files), f"{root}/{name}_rejected")
         inexact_amounts = facts.metrics["inexact_amounts"]
         if inexact_amounts:
             logger.warning(
@@ -188,7 +195,7 @@ def run_audit(
         # Written on every run (empty when the run passed), so a re-run into the
         # same folder never leaves a previous run's alerts behind.
         write_outbox(outbox, f"{root}/outbox")
-        actions = 8 if cfg.write_enriched else 7
+        actions = 7 + int(cfg.write_enriched) + (2 if cfg.rejected_files else 0)
         logger.info("Audit %s: overall_pass=%s", root, overall_pass)
     finally:
         if sc is not None:

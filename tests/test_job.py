@@ -218,3 +218,14 @@ def test_cli_with_contract_files(spark, scratch, capsys):
     out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     # only customer_id and country are checked now: fewer customers rejected than with the full contract
     assert out["rejected"]["customers"] < 37 and out["clean"]["customers"] + out["rejected"]["customers"] == 150
+
+
+def test_compact_quarantine_table(spark):
+    run = run_audit(
+        spark, dirty.dirty_customers(spark, SF_SMALL), dirty.dirty_transactions(spark, SF_SMALL),
+        AuditConfig(rejected_files=1),
+    )
+    assert run.actions == 9
+    assert run.facts.rejected.count() == run.facts.rejected_rows and "rejection_reason" in run.facts.rejected.columns
+    files = [f for f in run.facts.rejected.inputFiles() if f.endswith(".parquet")]
+    assert len(files) == 1 and "transactions_rejected" in files[0]
