@@ -242,6 +242,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--output", help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--mask", default="", help="comma-separated PII columns to hash in outputs")
     ap.add_argument("--write-enriched", action="store_true")
+    ap.add_argument("--rejected-files", type=int, help="also write a compact quarantine table in N files")
     ap.add_argument("--customers-contract", help="JSON contract spec (Contract.from_spec) for the first table")
     ap.add_argument("--transactions-contract", help="JSON contract spec for the second table")
     ap.add_argument("--key", default="customer_id")
@@ -273,6 +274,7 @@ def main(argv: list[str] | None = None) -> int:
         unique_keys=tuple(c for c in args.unique.split(",") if c),
         mask_columns=tuple(c for c in args.mask.split(",") if c),
         write_enriched=args.write_enriched,
+        rejected_files=args.rejected_files,
     )
     # With a contract from a file, completeness covers that contract's fields
     # (except the join key) instead of the reference's column names.
