@@ -85,3 +85,32 @@ def test_float_strings_match_contract_library(spark, values):
     for v, g in zip(values, got):
         ok, want = _oracle(_F, v)
         assert _same(g, want if ok else None), (v, g, want)
+
+
+def test_non_string_sources_match_contract_library(spark):
+    """bool / decimal / int sources into int and float fields, and dates into a str field."""
+    from datetime import date
+    from decimal import Decimal
+
+    cases = [
+        ("boolean", [True, False], T.LongType(), _I),
+        ("decimal(10,2)", [Decimal("2.00"), Decimal("2.50"), Decimal("-3.00")], T.LongType(), _I),
+        ("bigint", [1, -7, 0], T.DoubleType(), _F),
+        ("boolean", [True, False], T.DoubleType(), _F),
+        ("double", [2.0, 2.5, float("inf")], T.LongType(), _I),
+    ]
+    for dtype, values, target, model in cases:
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {dtype}")
+        typed, _ = coerce(F.col("v"), df.schema["v"].dataType, target)
+        got = [r.t for r in sorted(df.select("i", typed.alias("t")).collect(), key=lambda r: r.i)]
+        for v, g in zip(values, got):
+            ok, want = _oracle(model, v)
+            assert _same(g, want if ok else None), (dtype, v, g, want)
+
+    class _S(pydantic.BaseModel):
+        v: str
+
+    df = spark.createDataFrame([(date(2025, 1, 1),)], "v date")
+    typed, ok = coerce(F.col("v"), T.DateType(), T.StringType())
+    row = df.select(typed.alias("t"), ok.alias("ok")).first()
+    assert (row.t, row.ok) == (None, False) and not _oracle(_S, date(2025, 1, 1))[0]
