@@ -2,7 +2,7 @@
 
 ``python -m tablegate.plans.check /root/testdata/sf0.01 [name ...]`` prints
 one line per query: rows on each side, column names, and whether the
-order-insensitive multiset of rows is equal. Used by the tests and by hand;
+order-insensitive multiset of rows is exactly equal. Used by the tests and by hand;
 results are small enough to compare in the driver process of this tool.
 """
 
@@ -21,12 +21,11 @@ TABLES = [
 
 
 def _norm(v):
-    if isinstance(v, float):
-        if math.isnan(v):
-            return "NaN"
-        return float(f"{v:.10g}")
+    """Exact comparison; only NaN (never equal to itself) and Decimal vs float are normalised."""
+    if isinstance(v, float) and math.isnan(v):
+        return "NaN"
     if isinstance(v, Decimal):
-        return float(f"{float(v):.10g}")
+        return float(v)
     return v
 
 
