@@ -21,10 +21,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Built plans (not data) per (session, folder): queries share one analysed
 # source / gate plan instead of rebuilding it through py4j each time.
-_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
+_PLANS: dict[tuple[int, str, str], tuple[SparkSession, object]] = {}
 
 
-def _plan(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+def _plan(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
     key = (id(spark), sf_dir, name)
     hit = _PLANS.get(key)
     if hit is None or hit[0] is not spark:
@@ -217,14 +217,18 @@ def masked_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_checks(spark: SparkSession, sf_dir: str) -> list[audit.AuditCheck]:
-    """The four reference checks over the gated dirty sources."""
-    c, t = _clean(spark, sf_dir)
-    return [
-        _completeness(c, t),
-        audit.uniqueness(c, "email"),
-        audit.referential_integrity(t, c, "customer_id"),
-        reconcile.reconciliation_from(reconcile.fused_comparison(_fused(spark, sf_dir))),
-    ]
+    """The four reference checks over the gated dirty sources (plans built once)."""
+
+    def build() -> list[audit.AuditCheck]:
+        c, t = _clean(spark, sf_dir)
+        return [
+            _completeness(c, t),
+            audit.uniqueness(c, "email"),
+            audit.referential_integrity(t, c, "customer_id"),
+            reconcile.reconciliation_from(reconcile.fused_comparison(_fused(spark, sf_dir))),
+        ]
+
+    return _plan(spark, sf_dir, "checks", build)
 
 
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,7 +237,10 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.build_report(report.summaries(audit_checks(spark, sf_dir)), gate_counts(spark, sf_dir))
+    return _plan(
+        spark, sf_dir, "report",
+        lambda: report.build_report(report.summaries(audit_checks(spark, sf_dir)), gate_counts(spark, sf_dir)),
+    )
 
 
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
