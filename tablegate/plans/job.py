@@ -92,6 +92,14 @@ def _jobs_in_group(spark: SparkSession, group_id: str) -> int:
         return -1
 
 
+def _check_columns(df: DataFrame, contract: Contract, needed: list[str], entity: str) -> None:
+    """Fail before any job when a configured column is neither in the input nor the contract."""
+    known = set(df.columns) | set(contract.field_names)
+    missing = [c for c in needed if c not in known]
+    if missing:
+        raise ValueError(f"{entity}: columns {missing} are configured but not in the input or its contract")
+
+
 def run_audit(
     spark: SparkSession,
     raw_dims: DataFrame,
@@ -102,6 +110,8 @@ def run_audit(
     """Run the whole audit; outputs land under ``output_dir`` (default: a
     fresh folder under ``spark.checkpoint.dir``)."""
     cfg = config or AuditConfig()
+    _check_columns(raw_dims, cfg.dims_contract, [cfg.key, cfg.group, *cfg.unique_keys], cfg.dims_name)
+    _check_columns(raw_facts, cfg.facts_contract, [cfg.key, cfg.amount], cfg.facts_name)
     root = output_dir or run_folder(spark, "audit")
     group_id = f"tablegate-audit-{uuid.uuid4().hex[:8]}"
     sc = None

@@ -229,3 +229,8 @@ def test_compact_quarantine_table(spark):
     assert run.facts.rejected.count() == run.facts.rejected_rows and "rejection_reason" in run.facts.rejected.columns
     files = [f for f in run.facts.rejected.inputFiles() if f.endswith(".parquet")]
     assert len(files) == 1 and "transactions_rejected" in files[0]
+
+
+def test_missing_configured_column_fails_fast(spark):
+    with pytest.raises(ValueError, match="region"):
+        run_audit(spark, mock_customers(spark), mock_transactions(spark), AuditConfig(group="region"))
