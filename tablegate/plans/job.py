@@ -64,6 +64,7 @@ class AuditConfig:
     mask_columns: tuple[str, ...] = ()
     write_enriched: bool = False
     rejected_files: int | None = None  # also write a compact quarantine table in this many files
+    write_violations: bool = False  # write every check's full violations under <run>/violations/<check>
     webhook_url: str = report.DEFAULT_WEBHOOK_URL
     email_to: str = report.DEFAULT_EMAIL_TO
     subject: str = report.DEFAULT_SUBJECT
@@ -198,14 +199,23 @@ def run_audit(
             ],
         )
         built = report.build_report(report.summaries(checks), gate_rows)
-        report_df = materialize(built, f"{root}/report")
+        with ThreadPoolExecutor(max_workers=4) as pool:
+            report_job = pool.submit(in_thread(materialize), built, f"{root}/report")
+            if cfg.write_violations:  # the full lists behind the report's bounded samples
+                written = {
+                    c.name: pool.submit(in_thread(materialize), c.violations, f"{root}/violations/{c.name}")
+                    for c in checks
+                }
+                for c in checks:
+                    c.violations = written[c.name].result()
+            report_df = report_job.result()
         save_report(report_df, f"{root}/audit_report.json")
         outbox = report.alert_outbox(report_df, cfg.webhook_url, cfg.email_to, cfg.subject)
         overall_pass = bool(report_df.select("overall_pass").first()[0])
         # Written on every run (empty when the run passed), so a re-run into the
         # same folder never leaves a previous run's alerts behind.
         write_outbox(outbox, f"{root}/outbox")
-        actions = 7 + int(cfg.write_enriched) + (2 if cfg.rejected_files else 0)
+        actions = 7 + int(cfg.write_enriched) + (2 if cfg.rejected_files else 0) + (4 if cfg.write_violations else 0)
         logger.info("Audit %s: overall_pass=%s", root, overall_pass)
     finally:
         if sc is not None:
@@ -253,6 +263,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--mask", default="", help="comma-separated PII columns to hash in outputs")
     ap.add_argument("--write-enriched", action="store_true")
     ap.add_argument("--rejected-files", type=int, help="also write a compact quarantine table in N files")
+    ap.add_argument("--write-violations", action="store_true", help="write every check's full violations")
     ap.add_argument("--customers-contract", help="JSON contract spec (Contract.from_spec) for the first table")
     ap.add_argument("--transactions-contract", help="JSON contract spec for the second table")
     ap.add_argument("--key", default="customer_id")
@@ -285,6 +296,7 @@ def main(argv: list[str] | None = None) -> int:
         mask_columns=tuple(c for c in args.mask.split(",") if c),
         write_enriched=args.write_enriched,
         rejected_files=args.rejected_files,
+        write_violations=args.write_violations,
     )
     # With a contract from a file, completeness covers that contract's fields
     # (except the join key) instead of the reference's column names.

@@ -234,3 +234,16 @@ def test_compact_quarantine_table(spark):
 def test_missing_configured_column_fails_fast(spark):
     with pytest.raises(ValueError, match="region"):
         run_audit(spark, mock_customers(spark), mock_transactions(spark), AuditConfig(group="region"))
+
+
+def test_write_violations_keeps_full_lists(spark):
+    run = run_audit(
+        spark, dirty.dirty_customers(spark, SF_SMALL), dirty.dirty_transactions(spark, SF_SMALL),
+        AuditConfig(write_violations=True, sample_size=3),
+    )
+    assert run.actions == 11
+    details = {r.check_name: r for r in audit_details(run).collect()}
+    ri = run.checks[2].violations
+    assert ri.inputFiles() and "violations/referential_integrity" in ri.inputFiles()[0]
+    assert ri.count() == details["referential_integrity"].violation_count > 3  # whole list, sample capped at 3
+    assert run.checks[1].violations.count() == details["uniqueness"].violation_count
