@@ -6,9 +6,9 @@ page) is that line's boilerplate ratio. Lines above ``max_ratio`` on at least
 are made per task before anything is shuffled (a host that holds a third of
 all pages sends one row per task and line), on a 64-bit hash of the line; the
 hashes of a host's boilerplate, at most (mean lines a page / max_ratio) of
-them, come to its pages by a join that Spark broadcasts only if it is small,
-and that it can split where one host is large otherwise. Texts are not
-shuffled in the first case and never exploded with their lines.
+them, are written and come to its pages by a join: Spark broadcasts them if
+their size allows it, and then no text is shuffled; else it can split a large
+host's rows. Texts are never exploded with their lines.
 
 Defined results: a null host is a host of its own; a null text stays null and
 has no lines; blank lines are never counted nor removed; a page whose every
@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.base import quoted
+from tablegate.llm.base import quoted, save, workspace
 
 MAX_RATIO = 0.08
 MIN_PAGES = 5
@@ -57,7 +57,8 @@ def remove_boilerplate(
 ) -> DataFrame:
     """``pages`` without boilerplate lines, with ``n_lines`` and ``n_removed`` (lines that are not blank)."""
     of = F.col(quoted(host)) if isinstance(host, str) else host
-    found = boilerplate(pages, of, text, max_ratio, min_pages)
+    # Written, so that Spark knows its size before it plans the join and need not shuffle the texts for it.
+    found = save(boilerplate(pages, of, text, max_ratio, min_pages), f"{workspace(pages.sparkSession, 'lines')}/found")
     found = found.select(F.col("host").alias(_HOST), F.col("hashes").alias(_GONE))
     joined = pages.join(found, of.eqNullSafe(F.col(_HOST)), "left").drop(_HOST)
     body = F.col(quoted(text))
