@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablegate.llm.base import quoted, remainder, workspace
+from tablegate.llm.base import quoted, remainder, save, workspace
 from tablegate.llm.features import contrast, document_counts, matrix, sampled, scored
 
 RATED = 12_000
@@ -124,7 +124,7 @@ def fit(
         only = next(iter(sizes), grades - 1)
         cuts = np.array([-_FAR if k < only else _FAR for k in range(grades - 1)])
         return QualityModel(np.zeros(0, np.uint64), np.zeros(0), cuts)
-    counts = document_counts(rows, grades)
+    counts = save(document_counts(rows, grades), f"{path}/counts")  # read once for each threshold
     apart = []
     for k in range(grades - 1):
         low, high = range(k + 1), range(k + 1, grades)
