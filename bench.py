@@ -64,7 +64,6 @@ def main() -> None:
                 "queries": times,
                 "sf": _sf(sf_dir),
                 "cpus": cpus,
-                "e2e_actions": run.actions,
                 "e2e_spark_jobs": run.jobs,
             }
         ),

@@ -12,7 +12,7 @@ from tablegate.operators.enrich import enrich, group_totals, order_desc
 from tablegate.operators.reconcile import compare_totals, deltas, fused_totals, raw_totals, reconciliation
 from tablegate.operators.report import alert_outbox, build_report, summaries
 from tablegate.plans.job import AuditConfig, AuditRun, run_audit
-from tablegate.sources.sinks import save_report, save_report_file, write_split
+from tablegate.sources.sinks import save_report, write_split
 
 __version__ = "0.1.0"
 

@@ -10,6 +10,8 @@ by default in Spark 4, makes a plain ``cast`` throw on bad input):
 - surrounding Unicode ``White_Space`` is ignored;
 - integers: ``[+-]digits``, single underscores between digits, optionally a
   fraction of zeros (``"1.00"``); no exponent;
+- decimals: as floats, but read digit by digit; a value that the type would
+  round, NaN and infinity are type violations;
 - floats: ``nan`` / ``inf`` / ``infinity`` in any case with an optional
   sign, or a decimal float with optional exponent; single underscores are
   allowed except at the start or the end; no hex floats or type suffixes.
@@ -51,6 +53,12 @@ def float_from_string(raw: Column, target: T.DataType) -> Column:
     s = _strip(raw)
     plain = F.regexp_replace(s, "_", "")
     underscores_ok = ~s.startswith("_") & ~s.endswith("_") & ~s.contains("__")
+    if isinstance(target, T.DecimalType):
+        # Straight to the decimal, never through a double; a value that would be rounded is refused.
+        exact = plain.try_cast(target)
+        wide = plain.try_cast(T.DecimalType(38, max(target.scale, 18)))
+        digits = plain.rlike(r"^[+-]?[0-9]*\.?[0-9]{0,%d}0*$" % target.scale)
+        return F.when(underscores_ok & plain.rlike(_FLOAT_STRING) & (digits | F.coalesce(wide == exact, F.lit(False))), exact)
     value = (
         F.when(s.rlike(_FLOAT_SPECIAL_NAN), F.lit(float("nan")))
         .when(s.rlike(_FLOAT_SPECIAL_POS_INF), F.lit(float("inf")))
@@ -73,8 +81,11 @@ def coerce(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column,
             value = raw.try_cast(target)
             return value, value.isNotNull()
         if isinstance(source, _FRACTIONAL):
-            as_double = raw.cast("double")
-            whole = ~F.isnan(as_double) & (F.floor(as_double) == as_double)
+            if isinstance(source, T.DecimalType):
+                whole = F.floor(raw) == raw  # in decimal: a double would lose digits
+            else:
+                as_double = raw.cast("double")
+                whole = ~F.isnan(as_double) & (F.floor(as_double) == as_double)
             value = F.when(whole, raw.try_cast(target))
             return value, value.isNotNull()
         if isinstance(source, T.StringType):
@@ -83,8 +94,20 @@ def coerce(raw: Column, source: T.DataType, target: T.DataType) -> tuple[Column,
     if isinstance(target, _FRACTIONAL) and isinstance(source, T.StringType):
         value = float_from_string(raw, target)
         return value, value.isNotNull()
-    if isinstance(target, T.StringType):
-        # A string field accepts strings only: numbers, dates, ... are rejected.
-        return F.lit(None).cast(target), F.lit(False)
-    value = raw.try_cast(target)
-    return value, value.isNotNull()
+    if isinstance(target, T.DecimalType) and isinstance(source, (*_INTEGRAL, *_FRACTIONAL)):
+        value = raw.try_cast(target)
+        same = value == raw  # a value that the decimal would round is refused
+        return F.when(same, value), F.coalesce(same, F.lit(False))
+    if isinstance(target, (T.FloatType, T.DoubleType)) and isinstance(source, (*_INTEGRAL, *_FRACTIONAL)):
+        value = raw.try_cast(target)
+        return value, value.isNotNull()
+    if isinstance(target, _FRACTIONAL) and isinstance(source, T.BooleanType):
+        value = raw.cast("int").try_cast(target)
+        return value, value.isNotNull()
+    if isinstance(target, (T.DateType, T.TimestampType, T.BooleanType)) and isinstance(source, T.StringType):
+        value = raw.try_cast(target)
+        return value, value.isNotNull()
+    if isinstance(target, T.TimestampType) and isinstance(source, T.DateType):
+        return raw.cast(target), F.lit(True)
+    # No other pair of types is converted: a string field takes strings only, a number no dates or arrays.
+    return F.lit(None).cast(target), F.lit(False)

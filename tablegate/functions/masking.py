@@ -19,12 +19,13 @@ def mask(df: DataFrame, columns: list[str], suffix: str = "") -> DataFrame:
     """Replace each column in ``columns`` by its SHA-256 digest.
 
     With a ``suffix`` the digest is written to ``column + suffix`` and the
-    clear column is dropped.
+    clear column is dropped. A column that does not exist is an error.
     """
+    unknown = [c for c in columns if c not in df.columns]
+    if unknown:
+        raise ValueError(f"columns to mask that are not there: {unknown}")
     out = df
     for c in columns:
-        if c not in df.columns:
-            continue
         if suffix:
             out = out.withColumn(c + suffix, sha256(c)).drop(c)
         else:

@@ -30,6 +30,14 @@ EMAIL_PATTERN = (
     r"\p{L}([\p{L}\p{N}-]*[\p{L}\p{N}])?\z"
 )
 EMAIL_MAX_LENGTH = 254
+LOCAL_PART_MAX_LENGTH = 64
+LABEL_MAX_LENGTH = 63
+# Domains that name no mail host: reserved top-level names.
+SPECIAL_USE_DOMAINS = ("arpa", "invalid", "local", "localhost", "onion", "test")
+# ``Display name <address>``, the name bare words or quoted.
+NAMED_ADDRESS_PATTERN = (
+    r"^(?:[\p{L}\p{N}_!#$%&'*+/=?^`{|}~-]+(?:\s+[\p{L}\p{N}_!#$%&'*+/=?^`{|}~-]+)*|\"[^\"]+\")?\s*<([^<>]+)>\z"
+)
 # strptime('%Y-%m-%d'): four-digit year, one- or two-digit month and day.
 DATE_PATTERN = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\z"
 ZERO_YEAR_PREFIX = "0000"
@@ -70,15 +78,32 @@ def not_blank() -> Rule:
     return Rule("not_blank", "must be a non-empty string", lambda c: c.rlike(pattern))
 
 
-def email() -> Rule:
-    """E-mail syntax (documented subset of RFC 5322, see README)."""
-    return Rule(
-        "email",
-        "must be a valid e-mail address",
-        lambda c: (F.length(c) <= EMAIL_MAX_LENGTH) & c.rlike(EMAIL_PATTERN),
+def _address(value: Column) -> Column:
+    """The address in an e-mail value: outer white space and a display name go."""
+    bare = F.btrim(value, F.lit(whitespace_chars()))
+    return F.btrim(F.when(bare.rlike(NAMED_ADDRESS_PATTERN), F.regexp_extract(bare, NAMED_ADDRESS_PATTERN, 1)).otherwise(bare), F.lit(whitespace_chars()))
+
+
+def _valid_address(value: Column) -> Column:
+    address = _address(value)
+    domain = F.lower(F.substring_index(address, "@", -1))
+    long_label = domain.rlike(r"[^.]{%d,}" % (LABEL_MAX_LENGTH + 1))
+    special = F.substring_index(domain, ".", -1).isin(*SPECIAL_USE_DOMAINS)
+    local = F.length(F.substring_index(address, "@", 1))
+    return (
+        (F.length(address) <= EMAIL_MAX_LENGTH)
+        & address.rlike(EMAIL_PATTERN)
+        & (local <= LOCAL_PART_MAX_LENGTH)
+        & ~long_label
+        & ~special
     )
 
 
+def email() -> Rule:
+    """An address, bare or with a display name (limits and reserved domains: the fixed values above)."""
+    return Rule("email", "must be a valid e-mail address", _valid_address)
+
+
 def positive() -> Rule:
     """C4: strictly greater than zero (integer ids)."""
     return Rule("positive", "must be > 0", lambda c: c > 0)

@@ -153,6 +153,11 @@ def _field_check(raw: Column, typed: Column, type_ok: Column, f: Field) -> Colum
     return chain.otherwise(_no_violation())
 
 
+def quoted(name: str) -> str:
+    """A column name that Spark reads as one name, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def gate(df: DataFrame, contract: Contract) -> DataFrame:
     """Annotate every row with its contract violations.
 
@@ -164,13 +169,17 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
     clash = [c for c in df.columns if c in RESERVED or c.startswith(RAW_PREFIX)]
     if clash:
         raise ValueError(f"input columns {clash} use names reserved by the gate; rename them first")
+    lower = [c.lower() for c in [*contract.field_names, *(c for c in df.columns if c not in contract.field_names)]]
+    alike = sorted({c for c in lower if lower.count(c) > 1})
+    if alike:
+        raise ValueError(f"columns {alike} differ in upper and lower case only; rename them first")
     types = {f.name: f.dataType for f in df.schema.fields}
     typed_cols: list[Column] = []
     raw_cols: list[Column] = []
     checks: list[Column] = []
     for f in contract.fields:
         if f.name in types:
-            raw = F.col(f.name)
+            raw = F.col(quoted(f.name))
             typed, type_ok = coerce(raw, types[f.name], f.dtype)
             if types[f.name] != f.dtype:
                 raw_cols.append(raw.alias(RAW_PREFIX + f.name))
@@ -179,7 +188,7 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
             typed, type_ok = F.lit(None).cast(f.dtype), F.lit(True)
         typed_cols.append(typed.cast(f.dtype).alias(f.name))
         checks.append(_field_check(raw, typed, type_ok, f))
-    extras = [F.col(c) for c in df.columns if c not in contract.field_names]
+    extras = [F.col(quoted(c)) for c in df.columns if c not in contract.field_names]
     violations = F.concat(*checks) if checks else _no_violation()
     return df.select(*typed_cols, *extras, *raw_cols, violations.alias(VIOLATIONS))
 
@@ -218,7 +227,7 @@ def rejected(annotated: DataFrame, keep_violations: bool = False) -> DataFrame:
     """
     raws = {c[len(RAW_PREFIX):]: c for c in _raw_fields(annotated)}
     cols = [
-        F.col(raws[c]).alias(c) if c in raws else F.col(c)
+        F.col(quoted(raws[c])).alias(c) if c in raws else F.col(quoted(c))
         for c in annotated.columns
         if c not in (VIOLATIONS, REASON) and not c.startswith(RAW_PREFIX)
     ]

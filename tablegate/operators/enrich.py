@@ -11,6 +11,8 @@ key inside each task, so a key holding a third of all rows costs one row per
 task in the shuffle), counts dimension copies per (key, group), joins the two
 compact frames and sums ``key_total * copies`` per group. That is exactly
 ``sum(amount)`` over the inner join, fan-out of duplicate keys included.
+Amounts that are no such decimal (NaN, infinite, out of range, more digits)
+are counted and summed apart as doubles: they are never dropped or rounded.
 """
 
 from __future__ import annotations
@@ -24,11 +26,33 @@ DEFAULT_SCALE = 2
 
 
 def exact(amount: Column | str, precision: int = DEFAULT_PRECISION, scale: int = DEFAULT_SCALE) -> Column:
-    """Amount as an exact decimal; NaN, infinity and overflow become NULL."""
+    """Amount as a decimal: rounded to ``scale``, NULL for NaN, infinity and overflow (see ``inexact``)."""
     c = F.col(amount) if isinstance(amount, str) else amount
     return c.try_cast(T.DecimalType(precision, scale))
 
 
+def inexact(amount: Column | str, precision: int = DEFAULT_PRECISION, scale: int = DEFAULT_SCALE) -> Column:
+    """Whether an amount is present but not kept whole by ``exact``: NaN, infinite, out of range or rounded."""
+    c = F.col(amount) if isinstance(amount, str) else amount
+    e = exact(c, precision, scale)
+    return c.isNotNull() & (e.isNull() | (e != c))
+
+
+def times_copies(total: str, copies: str, precision: int) -> Column:
+    """A key's exact total times its copies, at the total's own scale.
+
+    A product of decimals keeps its scale while its precisions add up to less
+    than 38 digits, so the copies get the digits that a sum leaves free; a key
+    with more copies than those hold stops the job instead of losing digits.
+    """
+    digits = 38 - min(38, precision + 10) - 1
+    if digits < 1:
+        raise ValueError(f"precision {precision} leaves no digits for the copies of a key; use 26 at most")
+    n = F.col(copies)
+    fits = F.when(n < 10**digits, n).otherwise(F.raise_error(F.lit(f"a join key has 10^{digits} copies or more")).cast("bigint"))
+    return F.col(total) * fits.cast(T.DecimalType(digits, 0))
+
+
 def enrich(facts: DataFrame, dims: DataFrame, key: str = "customer_id") -> DataFrame:
     """Inner equi-join on ``key`` with one merged key column.
 
@@ -47,8 +71,17 @@ def key_sums(
     precision: int = DEFAULT_PRECISION,
     scale: int = DEFAULT_SCALE,
 ) -> DataFrame:
-    """Per-key exact sum of ``amount`` -> ``(key, _key_total)``."""
-    return facts.groupBy(key).agg(F.sum(exact(amount, precision, scale)).alias("_key_total"))
+    """Per-key sums -> ``(key, _key_total, _key_rest, _key_inexact)``.
+
+    ``_key_total`` adds the amounts that are exact decimals; the others are
+    counted and added as doubles (``_key_rest``), so none is lost or rounded.
+    """
+    odd = inexact(amount, precision, scale)
+    return facts.groupBy(key).agg(
+        F.sum(F.when(~odd, exact(amount, precision, scale))).alias("_key_total"),
+        F.sum(F.when(odd, F.col(amount).try_cast("double"))).alias("_key_rest"),
+        F.count_if(odd).alias("_key_inexact"),
+    )
 
 
 def key_groups(dims: DataFrame, key: str, group: str) -> DataFrame:
@@ -66,22 +99,32 @@ def group_totals(
     precision: int = DEFAULT_PRECISION,
     scale: int = DEFAULT_SCALE,
     as_double: bool = True,
+    count_inexact: bool = False,
 ) -> DataFrame:
     """G1: ``sum(amount)`` per ``group`` over ``facts JOIN dims USING (key)``.
 
-    Returns ``(group, alias)``; ``alias`` is a double when ``as_double`` else
-    the exact decimal. Unordered: apply ``order_desc`` for the report view.
+    Returns ``(group, alias)``; ``alias`` is a double when ``as_double`` (then
+    with the amounts that are no exact decimals added to the exact total) else
+    the exact decimal total of the others. ``count_inexact`` adds
+    ``<alias>_inexact``, the joined rows whose amount is not in that decimal.
+    Unordered: apply ``order_desc`` for the report view.
     """
     sums = key_sums(facts, key, amount, precision, scale)
     copies = key_groups(dims, key, group)
-    totals = (
-        sums.join(copies, on=key, how="inner")
-        .groupBy(group)
-        .agg(F.sum(F.col("_key_total") * F.col("_copies")).alias(alias))
+    totals = sums.join(copies, on=key, how="inner").groupBy(group).agg(
+        F.sum(times_copies("_key_total", "_copies", precision)).alias("_exact"),
+        F.sum(F.col("_key_rest") * F.col("_copies")).alias("_rest"),
+        F.sum(F.col("_key_inexact") * F.col("_copies")).alias(f"{alias}_inexact"),
     )
-    total_type = T.DecimalType(38, scale)
-    out = F.col(alias).cast("double") if as_double else F.col(alias).cast(total_type)
-    return totals.select(group, out.alias(alias))
+    whole = F.col("_exact").cast(T.DecimalType(38, scale))
+    out = plus_rest(whole, F.col("_rest")) if as_double else whole
+    return totals.select(group, out.alias(alias), *([f"{alias}_inexact"] if count_inexact else []))
+
+
+def plus_rest(exact_total: Column, rest: Column) -> Column:
+    """A double total: the exact decimal part plus the double part, either of which may be NULL."""
+    part = exact_total.cast("double")
+    return F.when(rest.isNull(), part).otherwise(F.coalesce(part, F.lit(0.0)) + rest)
 
 
 def order_desc(df: DataFrame, by: str, tiebreak: str | None = None) -> DataFrame:

@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablegate.operators.contract import is_clean
-from tablegate.operators.enrich import DEFAULT_PRECISION, DEFAULT_SCALE, exact, group_totals
+from tablegate.operators.enrich import DEFAULT_PRECISION, DEFAULT_SCALE, exact, group_totals, inexact, times_copies
 from tablegate.operators.summary import DEFAULT_SAMPLE, AuditCheck, sampled_summary
 
 
+INEXACT = ("raw_inexact", "clean_inexact")
+SAME_ROWS = "same_rows"
+
+
 def raw_totals(
     raw_facts: DataFrame,
     raw_dims: DataFrame,
@@ -29,6 +33,7 @@ def raw_totals(
     precision: int = DEFAULT_PRECISION,
     scale: int = DEFAULT_SCALE,
     as_double: bool = False,
+    count_inexact: bool = False,
 ) -> DataFrame:
     """A4: ``(group, raw_total)`` over raw rows with non-NULL amount and group.
 
@@ -45,6 +50,7 @@ def raw_totals(
         precision=precision,
         scale=scale,
         as_double=as_double,
+        count_inexact=count_inexact,
     )
 
 
@@ -65,23 +71,41 @@ def compare_totals(
     Full outer join on the group, missing side as 0 (a missing group and a
     zero total are indistinguishable, as in the reference). NULL groups never
     match each other. Both inputs are one row per group, so the join is
-    between two compact, duplicate-free frames.
+    between two compact, duplicate-free frames. Where a side counts amounts that
+    are no exact decimals (``<column>_inexact``), ``raw_inexact`` and
+    ``clean_inexact`` follow.
     """
-    r = raw.select(F.col(group), _as_exact(raw_col, scale).alias("raw_total"))
-    c = clean.select(F.col(group), _as_exact(clean_col, scale).alias("clean_total"))
+
+    def side(df: DataFrame, column: str, name: str) -> DataFrame:
+        n = F.col(f"{column}_inexact") if f"{column}_inexact" in df.columns else F.lit(0)
+        return df.select(F.col(group), _as_exact(column, scale).alias(f"{name}_total"), n.cast("bigint").alias(f"{name}_inexact"))
+
     zero = F.lit(0).cast(T.DecimalType(38, scale))
-    return r.join(c, on=group, how="full_outer").select(
-        group,
-        F.coalesce("raw_total", zero).alias("raw_total"),
-        F.coalesce("clean_total", zero).alias("clean_total"),
-    )
+    none = F.lit(0).cast("bigint")
+    counted = f"{raw_col}_inexact" in raw.columns or f"{clean_col}_inexact" in clean.columns
+    both = side(raw, raw_col, "raw").join(side(clean, clean_col, "clean"), on=group, how="full_outer")
+    totals = [F.coalesce(c, zero).alias(c) for c in ("raw_total", "clean_total")]
+    counts = [F.coalesce(c, none).alias(c) for c in INEXACT] if counted else []
+    return both.select(group, *totals, *counts)
 
 
 def mismatches(comparison: DataFrame, tolerance: float = 0.0) -> DataFrame:
-    """Groups whose totals differ by more than ``tolerance`` (exact by default)."""
+    """Groups whose totals differ by more than ``tolerance`` (exact by default).
+
+    Equal decimals prove nothing about amounts that are not in them, so a group
+    with such amounts on either side is a mismatch too, unless the comparison
+    shows that both sides hold the same rows (``same_rows``).
+    """
     if tolerance == 0:
-        return comparison.filter(F.col("raw_total") != F.col("clean_total"))
-    return comparison.filter(F.abs(F.col("raw_total") - F.col("clean_total")) > F.lit(tolerance))
+        differs = F.col("raw_total") != F.col("clean_total")
+    else:
+        differs = F.abs(F.col("raw_total") - F.col("clean_total")) > F.lit(tolerance)
+    if set(INEXACT) <= set(comparison.columns):
+        unproven = (F.col("raw_inexact") > 0) | (F.col("clean_inexact") > 0)
+        if SAME_ROWS in comparison.columns:
+            unproven = unproven & ~F.col(SAME_ROWS)
+        differs = differs | unproven
+    return comparison.filter(differs)
 
 
 def deltas(comparison: DataFrame, scale: int = DEFAULT_SCALE) -> DataFrame:
@@ -115,7 +139,7 @@ def reconciliation(
     ``clean_totals`` is ``(group, clean_col)``; pass the exact decimal totals
     (``group_totals(..., as_double=False)``) so equal data compares equal.
     """
-    raw = raw_totals(raw_facts, raw_dims, key, group, amount, "raw_total", precision, scale)
+    raw = raw_totals(raw_facts, raw_dims, key, group, amount, "raw_total", precision, scale, count_inexact=True)
     comparison = compare_totals(raw, clean_totals, group, "raw_total", clean_col, scale)
     return reconciliation_from(comparison, group, tolerance, sample_size)
 
@@ -143,15 +167,21 @@ def fused_totals(
     join". Equal to ``group_totals`` on the clean halves and ``raw_totals`` on
     the raw rows, without scanning the sources a second time. ``clean_flag``
     replaces the ``_violations`` test when the outcome is already a column
-    (e.g. the partition value of a written split).
+    (e.g. the partition value of a written split). The totals hold the amounts
+    that are exact decimals; ``*_inexact`` counts the joined rows whose amount
+    is not, ``raw_nan`` those that are NaN.
     """
     ok = is_clean() if clean_flag is None else clean_flag
-    amt = exact(amount, precision, scale)
+    odd = inexact(amount, precision, scale)
+    amt = F.when(~odd, exact(amount, precision, scale))
     facts = facts_annotated.groupBy(key).agg(
         F.count_if(ok).alias("_clean_n"),
         F.sum(F.when(ok, amt)).alias("_clean_sum"),
+        F.count_if(ok & odd).alias("_clean_odd"),
         F.count_if(F.col(amount).isNotNull()).alias("_raw_n"),
         F.sum(amt).alias("_raw_sum"),
+        F.count_if(odd).alias("_raw_odd"),
+        F.count_if(odd & F.isnan(F.col(amount).try_cast("double"))).alias("_raw_nan"),
     )
     dims = dims_annotated.groupBy(key, group).agg(
         F.count_if(ok).alias("_clean_copies"),
@@ -162,10 +192,13 @@ def fused_totals(
         facts.join(dims, on=key, how="inner")
         .groupBy(group)
         .agg(
-            F.sum(F.col("_clean_sum") * F.col("_clean_copies")).cast(total).alias("clean_total"),
+            F.sum(times_copies("_clean_sum", "_clean_copies", precision)).cast(total).alias("clean_total"),
             F.sum(F.col("_clean_n") * F.col("_clean_copies")).alias("clean_pairs"),
-            F.sum(F.col("_raw_sum") * F.col("_raw_copies")).cast(total).alias("raw_total"),
+            F.sum(times_copies("_raw_sum", "_raw_copies", precision)).cast(total).alias("raw_total"),
             F.sum(F.col("_raw_n") * F.col("_raw_copies")).alias("raw_pairs"),
+            F.sum(F.col("_clean_odd") * F.col("_clean_copies")).alias("clean_inexact"),
+            F.sum(F.col("_raw_odd") * F.col("_raw_copies")).alias("raw_inexact"),
+            F.sum(F.col("_raw_nan") * F.col("_raw_copies")).alias("raw_nan"),
         )
         .filter((F.col("clean_pairs") > 0) | (F.col("raw_pairs") > 0))
     )
@@ -185,10 +218,14 @@ def fused_comparison(fused: DataFrame, group: str = "country", scale: int = DEFA
     join of the two sides.
     """
     zero = F.lit(0).cast(T.DecimalType(38, scale))
+    # Clean rows are raw rows, so as many of them are the same; NaN equals nothing, itself included.
+    same = (F.col("raw_pairs") == F.col("clean_pairs")) & (F.col("raw_nan") == 0)
     return fused.select(
         group,
         F.when(F.col("raw_pairs") > 0, F.coalesce("raw_total", zero)).otherwise(zero).alias("raw_total"),
         F.when(F.col("clean_pairs") > 0, F.coalesce("clean_total", zero)).otherwise(zero).alias("clean_total"),
+        *INEXACT,
+        same.alias(SAME_ROWS),
     )
 
 
@@ -200,8 +237,10 @@ def reconciliation_from(
 ) -> AuditCheck:
     """A5 over an existing ``(group, raw_total, clean_total)`` comparison."""
     diff = mismatches(comparison, tolerance)
-    shown = to_double(diff, ["raw_total", "clean_total"])
+    counts = [c for c in INEXACT if c in diff.columns]
+    # A count of none is null, which JSON details leave out.
+    shown = to_double(diff, ["raw_total", "clean_total"]).withColumns({c: F.nullif(F.col(c), F.lit(0)) for c in counts})
     summary = sampled_summary(
-        "reconciliation", shown, [group, "raw_total", "clean_total"], f"{group}_mismatches", sample_size
+        "reconciliation", shown, [group, "raw_total", "clean_total", *counts], f"{group}_mismatches", sample_size
     )
-    return AuditCheck("reconciliation", summary, diff)
+    return AuditCheck("reconciliation", summary, diff.drop(SAME_ROWS))

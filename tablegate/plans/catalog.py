@@ -19,32 +19,19 @@ from tablegate.sources import dirty
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Built plans (not data) per (session, folder): queries share one analysed
-# source / gate plan instead of rebuilding it through py4j each time.
-_PLANS: dict[tuple[int, str, str], tuple[SparkSession, object]] = {}
-
-
-def _plan(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], object]):
-    key = (id(spark), sf_dir, name)
-    hit = _PLANS.get(key)
-    if hit is None or hit[0] is not spark:
-        hit = (spark, build())
-        _PLANS[key] = hit
-    return hit[1]
-
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, sf_dir, "customers", lambda: dirty.dirty_customers(spark, sf_dir))
+    return dirty.dirty_customers(spark, sf_dir)
 
 
 def _transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(spark, sf_dir, "transactions", lambda: dirty.dirty_transactions(spark, sf_dir))
+    return dirty.dirty_transactions(spark, sf_dir)
 
 
 def _annotated(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return (
-        _plan(spark, sf_dir, "gate_c", lambda: contract.gate(_customers(spark, sf_dir), CUSTOMER_CONTRACT)),
-        _plan(spark, sf_dir, "gate_t", lambda: contract.gate(_transactions(spark, sf_dir), TRANSACTION_CONTRACT)),
+        contract.gate(_customers(spark, sf_dir), CUSTOMER_CONTRACT),
+        contract.gate(_transactions(spark, sf_dir), TRANSACTION_CONTRACT),
     )
 
 
@@ -180,13 +167,14 @@ def _comparison(t_raw: DataFrame, c_raw: DataFrame, t_clean: DataFrame, c_clean:
 def _fused(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean and raw totals in one pass over each gated source."""
     c, t = _annotated(spark, sf_dir)
-    return _plan(spark, sf_dir, "fused", lambda: reconcile.fused_totals(t, c))
+    return reconcile.fused_totals(t, c)
 
 
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 via ``fused_totals``: each source is scanned once for both sides."""
     cmp = reconcile.fused_comparison(_fused(spark, sf_dir))
-    return reconcile.to_double(reconcile.mismatches(cmp), ["raw_total", "clean_total"])
+    diff = reconcile.mismatches(cmp).select("country", "raw_total", "clean_total")
+    return reconcile.to_double(diff, ["raw_total", "clean_total"])
 
 
 def reconciliation_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,10 +190,34 @@ def reconciliation_passing(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, t = _annotated(spark, sf_dir)
     ok = contract.is_clean()
     fused = reconcile.fused_totals(t.filter(ok), c.filter(ok))
-    out = reconcile.to_double(reconcile.deltas(reconcile.fused_comparison(fused)), ["raw_total", "clean_total", "delta"])
+    cmp = reconcile.fused_comparison(fused).select("country", "raw_total", "clean_total")
+    out = reconcile.to_double(reconcile.deltas(cmp), ["raw_total", "clean_total", "delta"])
     return enrich.order_desc(out, "delta", "country")
 
 
+# --- amounts that are no exact decimals ------------------------------------------------
+
+
+def _inexact_fused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = contract.gate(_customers(spark, sf_dir), CUSTOMER_CONTRACT)
+    t = contract.gate(dirty.inexact_transactions(spark, sf_dir), TRANSACTION_CONTRACT)
+    return reconcile.fused_totals(t, c)
+
+
+def totals_inexact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per country: exact totals of both sides and the joined rows that are not in them."""
+    fused = _inexact_fused(spark, sf_dir)
+    out = fused.select("country", "raw_total", "clean_total", "raw_pairs", "clean_pairs", "raw_inexact", "clean_inexact", "raw_nan")
+    return reconcile.to_double(out, ["raw_total", "clean_total"])
+
+
+def reconciliation_inexact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A5 where some amounts are no exact decimals: their groups are mismatches."""
+    cmp = reconcile.fused_comparison(_inexact_fused(spark, sf_dir))
+    out = reconcile.mismatches(cmp).select("country", "raw_total", "clean_total", "raw_inexact", "clean_inexact")
+    return reconcile.to_double(out, ["raw_total", "clean_total"])
+
+
 # --- masking, summary, report, alerts (A7, A8, R1, L1-L3) -----------------------------
 
 
@@ -217,18 +229,16 @@ def masked_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audit_checks(spark: SparkSession, sf_dir: str) -> list[audit.AuditCheck]:
-    """The four reference checks over the gated dirty sources (plans built once)."""
-
-    def build() -> list[audit.AuditCheck]:
-        c, t = _clean(spark, sf_dir)
-        return [
-            _completeness(c, t),
-            audit.uniqueness(c, "email"),
-            audit.referential_integrity(t, c, "customer_id"),
-            reconcile.reconciliation_from(reconcile.fused_comparison(_fused(spark, sf_dir))),
-        ]
-
-    return _plan(spark, sf_dir, "checks", build)
+    """The four reference checks over the gated dirty sources."""
+    annotated_c, annotated_t = _annotated(spark, sf_dir)
+    c, t = contract.clean(annotated_c), contract.clean(annotated_t)
+    fused = reconcile.fused_totals(annotated_t, annotated_c)
+    return [
+        _completeness(c, t),
+        audit.uniqueness(c, "email"),
+        audit.referential_integrity(t, c, "customer_id"),
+        reconcile.reconciliation_from(reconcile.fused_comparison(fused)),
+    ]
 
 
 def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -237,10 +247,7 @@ def audit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plan(
-        spark, sf_dir, "report",
-        lambda: report.build_report(report.summaries(audit_checks(spark, sf_dir)), gate_counts(spark, sf_dir)),
-    )
+    return report.build_report(report.summaries(audit_checks(spark, sf_dir)), gate_counts(spark, sf_dir))
 
 
 def audit_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -282,6 +289,8 @@ QUERIES: dict[str, Query] = {
     "reconciliation": reconciliation,
     "reconciliation_delta": reconciliation_delta,
     "reconciliation_passing": reconciliation_passing,
+    "totals_inexact": totals_inexact,
+    "reconciliation_inexact": reconciliation_inexact,
     "masked_rejects": masked_rejects,
     "audit_summary": audit_summary,
     "audit_report": audit_report,

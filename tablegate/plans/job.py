@@ -64,7 +64,7 @@ class AuditConfig:
     mask_columns: tuple[str, ...] = ()
     write_enriched: bool = False
     rejected_files: int | None = None  # also write a compact quarantine table in this many files
-    write_violations: bool = False  # write every check's full violations under <run>/violations/<check>
+    write_violations: bool = True  # write every check's full violations under <run>/violations/<check>
     webhook_url: str = report.DEFAULT_WEBHOOK_URL
     email_to: str = report.DEFAULT_EMAIL_TO
     subject: str = report.DEFAULT_SUBJECT
@@ -82,7 +82,6 @@ class AuditRun:
     outbox: DataFrame
     overall_pass: bool
     inexact_amounts: int
-    actions: int
     jobs: int
 
 
@@ -101,6 +100,20 @@ def _check_columns(df: DataFrame, contract: Contract, needed: list[str], entity:
         raise ValueError(f"{entity}: columns {missing} are configured but not in the input or its contract")
 
 
+def _check_masking(raw_dims: DataFrame, raw_facts: DataFrame, cfg: AuditConfig) -> None:
+    """Fail before any job when a masked column is unknown or one that totals and joins need."""
+    fixed = [c for c in cfg.mask_columns if c in (cfg.key, cfg.group, cfg.amount)]
+    known = {*raw_dims.columns, *raw_facts.columns, *cfg.dims_contract.field_names, *cfg.facts_contract.field_names}
+    unknown = [c for c in cfg.mask_columns if c not in known]
+    if fixed or unknown:
+        raise ValueError(f"cannot mask {fixed} (key, group or amount) nor {unknown} (in no input)")
+
+
+def _masked(df: DataFrame, contract: Contract, columns: tuple[str, ...]) -> list[str]:
+    """Those of ``columns`` that the gated table has."""
+    return [c for c in columns if c in df.columns or c in contract.field_names]
+
+
 def run_audit(
     spark: SparkSession,
     raw_dims: DataFrame,
@@ -113,6 +126,7 @@ def run_audit(
     cfg = config or AuditConfig()
     _check_columns(raw_dims, cfg.dims_contract, [cfg.key, cfg.group, *cfg.unique_keys], cfg.dims_name)
     _check_columns(raw_facts, cfg.facts_contract, [cfg.key, cfg.amount], cfg.facts_name)
+    _check_masking(raw_dims, raw_facts, cfg)
     root = output_dir or run_folder(spark, "audit")
     group_id = f"tablegate-audit-{uuid.uuid4().hex[:8]}"
     sc = None
@@ -123,21 +137,19 @@ def run_audit(
         sc = None
     in_thread = inheritable_thread_target(spark)  # job group / tags follow the worker threads
     try:
-        # Amounts present but not summable exactly (NaN, +/-inf, beyond the
-        # decimal type) are excluded from both totals alike; count them on the
-        # same write so they are reported, not silently dropped.
-        amt = F.col(cfg.amount)
-        inexact = F.count_if(amt.isNotNull() & enrich.exact(amt, cfg.precision, cfg.scale).isNull())
+        # Amounts that are no exact decimals are counted on the same write; the
+        # reconciliation fails the groups that hold them unless nothing was removed.
+        inexact = F.count_if(enrich.inexact(cfg.amount, cfg.precision, cfg.scale))
         # The two gate writes are independent jobs: submit them together so the
         # smaller one runs on executors the larger one leaves idle.
         with ThreadPoolExecutor(max_workers=2) as pool:
             dims_job = pool.submit(in_thread(write_split),
                 gate(raw_dims, cfg.dims_contract), f"{root}/{cfg.dims_name}", cfg.dims_name,
-                cfg.completeness.get(cfg.dims_name, []), cfg.mask_columns,
+                cfg.completeness.get(cfg.dims_name, []), _masked(raw_dims, cfg.dims_contract, cfg.mask_columns),
             )
             facts_job = pool.submit(in_thread(write_split),
                 gate(raw_facts, cfg.facts_contract), f"{root}/{cfg.facts_name}", cfg.facts_name,
-                cfg.completeness.get(cfg.facts_name, []), cfg.mask_columns, [inexact.alias("inexact_amounts")],
+                cfg.completeness.get(cfg.facts_name, []), _masked(raw_facts, cfg.facts_contract, cfg.mask_columns), [inexact.alias("inexact_amounts")],
             )
             dims, facts = dims_job.result(), facts_job.result()
         if cfg.rejected_files:
@@ -149,8 +161,8 @@ def run_audit(
         inexact_amounts = facts.metrics["inexact_amounts"]
         if inexact_amounts:
             logger.warning(
-                "%d %s rows have an amount that cannot be summed exactly (NaN, infinity or beyond "
-                "decimal(%d,%d)); they are excluded from both totals",
+                "%d %s rows have an amount that is no decimal(%d,%d) (NaN, infinite, too large or with more "
+                "decimals); their groups cannot be reconciled exactly",
                 inexact_amounts, cfg.facts_name, cfg.precision, cfg.scale,
             )
 
@@ -215,8 +227,9 @@ def run_audit(
         # Written on every run (empty when the run passed), so a re-run into the
         # same folder never leaves a previous run's alerts behind.
         write_outbox(outbox, f"{root}/outbox")
-        actions = 7 + int(cfg.write_enriched) + (2 if cfg.rejected_files else 0) + (4 if cfg.write_violations else 0)
-        logger.info("Audit %s: overall_pass=%s", root, overall_pass)
+        for row in report_df.select(F.explode("audit_checks").alias("c")).where(~F.col("c.passed")).select("c.check_name", "c.violation_count").collect():
+            logger.warning("check %s failed with %d violations", row["check_name"], row["violation_count"])  # one row per check
+        logger.info("run %s ended, overall_pass=%s", root, overall_pass)
     finally:
         if sc is not None:
             sc.setLocalProperty("spark.jobGroup.id", None)
@@ -231,7 +244,6 @@ def run_audit(
         outbox=outbox,
         overall_pass=overall_pass,
         inexact_amounts=inexact_amounts,
-        actions=actions,
         jobs=_jobs_in_group(spark, group_id),
     )
 
@@ -263,7 +275,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--mask", default="", help="comma-separated PII columns to hash in outputs")
     ap.add_argument("--write-enriched", action="store_true")
     ap.add_argument("--rejected-files", type=int, help="also write a compact quarantine table in N files")
-    ap.add_argument("--write-violations", action="store_true", help="write every check's full violations")
+    ap.add_argument("--no-violations", action="store_true", help="do not write every check's full violations")
     ap.add_argument("--customers-contract", help="JSON contract spec (Contract.from_spec) for the first table")
     ap.add_argument("--transactions-contract", help="JSON contract spec for the second table")
     ap.add_argument("--key", default="customer_id")
@@ -296,7 +308,7 @@ def main(argv: list[str] | None = None) -> int:
         mask_columns=tuple(c for c in args.mask.split(",") if c),
         write_enriched=args.write_enriched,
         rejected_files=args.rejected_files,
-        write_violations=args.write_violations,
+        write_violations=not args.no_violations,
     )
     # With a contract from a file, completeness covers that contract's fields
     # (except the join key) instead of the reference's column names.

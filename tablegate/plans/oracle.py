@@ -180,7 +180,44 @@ def _by_rule(entity: str, src: str, fields: list[str]) -> str:
     )
 
 
+# Amounts that are no decimals of two places, in valid rows of customers 0 to 4 modulo 10.
+DX = f"""dx AS (
+  SELECT transaction_id, customer_id, date,
+    CASE WHEN amount IS NULL THEN NULL
+         WHEN {_m('transaction_id', d.AMOUNT_WHOLE)} THEN floor(amount)
+         WHEN customer_id % 10 >= 5 THEN amount
+         WHEN {_m('transaction_id', d.AMOUNT_THREE_DECIMALS)} THEN floor(amount) + 0.125::DOUBLE
+         WHEN {_m('transaction_id', d.AMOUNT_HUGE)} THEN {d.HUGE_AMOUNT}::DOUBLE
+         WHEN {_m('transaction_id', d.AMOUNT_NAN)} THEN 'nan'::DOUBLE
+         WHEN {_m('transaction_id', d.AMOUNT_INFINITE)} THEN 'inf'::DOUBLE
+         ELSE amount END AS amount
+  FROM dt),
+tx AS (
+  SELECT *, isnan(amount) AS nan,
+    CASE WHEN isnan(amount) OR isinf(amount) THEN true WHEN abs(amount) >= 1e16 THEN true
+         ELSE round(amount * 1000) % 10 <> 0 END AS odd,
+    transaction_id IS NOT NULL AND customer_id > 0 AND amount IS NOT NULL AND (isnan(amount) OR amount > 0)
+      AND date IS NOT NULL AND {_date('date')} AS ok
+  FROM dx),
+px AS (
+  SELECT c.country,
+    sum(CASE WHEN NOT t.odd THEN {_dec('CASE WHEN t.odd THEN 0 ELSE t.amount END')} END) AS raw_total,
+    sum(CASE WHEN NOT t.odd AND t.ok AND c.ok THEN {_dec('CASE WHEN t.odd THEN 0 ELSE t.amount END')} END) AS clean_total,
+    count(*) AS raw_pairs, count(*) FILTER (WHERE t.ok AND c.ok) AS clean_pairs,
+    count(*) FILTER (WHERE t.odd) AS raw_inexact, count(*) FILTER (WHERE t.odd AND t.ok AND c.ok) AS clean_inexact,
+    count(*) FILTER (WHERE t.nan) AS raw_nan
+  FROM tx t JOIN cg c ON t.customer_id = c.customer_id
+  WHERE t.amount IS NOT NULL AND c.country IS NOT NULL
+  GROUP BY c.country)"""
+
 ORACLE: dict[str, str] = {
+    "totals_inexact": _with(DX)
+    + "SELECT country, CAST(raw_total AS DOUBLE) AS raw_total, CAST(clean_total AS DOUBLE) AS clean_total, "
+    "raw_pairs, clean_pairs, raw_inexact, clean_inexact, raw_nan FROM px",
+    "reconciliation_inexact": _with(DX)
+    + "SELECT country, CAST(raw_total AS DOUBLE) AS raw_total, CAST(coalesce(clean_total, 0) AS DOUBLE) AS clean_total, "
+    "raw_inexact, clean_inexact FROM px WHERE raw_total <> coalesce(clean_total, 0) "
+    "OR (raw_inexact > 0 AND NOT (raw_pairs = clean_pairs AND raw_nan = 0))",
     "gate_customers_clean": _with() + "SELECT * FROM cc",
     "gate_customers_rejected": _with()
     + "SELECT customer_id, name, email, country, rejection_reason FROM cg WHERE NOT ok",

@@ -26,6 +26,12 @@ ORPHAN_OFFSET = 10_000_000
 AMOUNT_NULL = (41, 2)
 AMOUNT_NEGATIVE = (43, 3)
 DATE_WRONG_FORMAT = (47, 4)
+AMOUNT_THREE_DECIMALS = (53, 5)
+AMOUNT_WHOLE = (59, 6)
+AMOUNT_HUGE = (61, 7)
+HUGE_AMOUNT = 1e17
+AMOUNT_NAN = (67, 8)
+AMOUNT_INFINITE = (71, 9)
 EMAIL_USER_PREFIX = "user"
 EMAIL_DOMAIN = "@mail.com"
 # -----------------------------------------------------------------------------
@@ -86,6 +92,25 @@ def dirty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def inexact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``dirty_transactions`` with amounts that are no decimals of two places: three places, 1e17, NaN, infinity.
+
+    Those amounts are found in valid rows of customers 0 to 4 modulo 10 only,
+    and some whole amounts (which are exact) are among the others.
+    """
+    t = dirty_transactions(spark, sf_dir)
+    k, amount = F.col("transaction_id"), F.col("amount")
+    odd = (
+        F.when(_hit(k, AMOUNT_THREE_DECIMALS), F.floor(amount) + F.lit(0.125))
+        .when(_hit(k, AMOUNT_HUGE), F.lit(HUGE_AMOUNT))
+        .when(_hit(k, AMOUNT_NAN), F.lit(float("nan")))
+        .when(_hit(k, AMOUNT_INFINITE), F.lit(float("inf")))
+    )
+    changed = F.when(F.col("customer_id") % 10 < 5, F.coalesce(odd, amount)).otherwise(amount)
+    whole = F.when(_hit(k, AMOUNT_WHOLE), F.floor(amount).cast("double")).otherwise(changed)
+    return t.withColumn("amount", F.when(amount.isNull(), amount).otherwise(whole))
+
+
 def clean_customers_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The undirtied customer source (for the passing reconciliation variant)."""
     c = table(spark, sf_dir, "customer")

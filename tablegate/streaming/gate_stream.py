@@ -8,20 +8,22 @@ clean / rejected layout as the batch ``write_split``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablegate.operators.contract import Contract, gate, is_clean
 from tablegate.session import checkpoint_root
-from tablegate.sources.sinks import GATE_COLUMN
+from tablegate.sources.sinks import GATE_COLUMN, outcome_columns
 
 
-def gated_stream(stream: DataFrame, contract: Contract) -> DataFrame:
-    """Annotated stream with the ``_gate`` outcome column."""
+def gated_stream(stream: DataFrame, contract: Contract, mask_rejected: tuple[str, ...] = ()) -> DataFrame:
+    """Annotated stream with the ``_gate`` outcome column; masked as ``write_split`` does."""
     ann = gate(stream, contract)
     ok = is_clean()
-    cols = [F.when(~ok, F.col(c)).alias(c) if c.startswith("_raw_") else F.col(c) for c in ann.columns]
+    cols = outcome_columns(ann, mask_rejected)
     return ann.select(*cols, F.when(ok, F.lit("clean")).otherwise(F.lit("rejected")).alias(GATE_COLUMN))
 
 
@@ -31,14 +33,18 @@ def start_gate_stream(
     output_path: str,
     checkpoint_location: str | None = None,
     trigger: dict | None = None,
+    mask_rejected: tuple[str, ...] = (),
 ) -> StreamingQuery:
     """Write the gated stream as parquet under ``output_path/_gate=...``.
 
-    The stream checkpoint defaults to a folder under ``spark.checkpoint.dir``.
+    The stream checkpoint defaults to a folder under ``spark.checkpoint.dir``
+    named after the contract and the output, so that a stream with another
+    output never takes up this one's offsets.
     """
-    location = checkpoint_location or f"{checkpoint_root(stream.sparkSession)}/streams/{contract.name}"
+    name = f"{contract.name}-{hashlib.sha256(output_path.rstrip('/').encode()).hexdigest()[:16]}"
+    location = checkpoint_location or f"{checkpoint_root(stream.sparkSession)}/streams/{name}"
     writer = (
-        gated_stream(stream, contract)
+        gated_stream(stream, contract, mask_rejected)
         .writeStream.format("parquet")
         .partitionBy(GATE_COLUMN)
         .option("path", output_path)

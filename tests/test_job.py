@@ -62,9 +62,7 @@ def test_mock_report_and_outbox(mock_run):
 
 
 def test_job_count_is_bounded(mock_run):
-    # Seven actions (gate x2, totals, report, JSON, verdict, outbox); with AQE every
-    # shuffle stage runs as its own Spark job, so the job count is a plan constant.
-    assert mock_run.actions == 7
+    # With AQE every shuffle stage runs as its own Spark job; their number is set by the plan.
     assert 0 < mock_run.jobs <= 40
 
 
@@ -184,6 +182,42 @@ def test_inexact_amounts_are_counted_not_hidden(spark):
     run = run_audit(spark, c, t)
     assert run.inexact_amounts == 3
     assert [(r.country, r.total_amount) for r in run.totals.collect()] == [("X", 10.0)]
+    assert run.overall_pass is False  # NaN equals nothing, so the group cannot be reconciled
+
+
+@pytest.mark.parametrize("amount", [2e16, 0.004, float("nan"), float("inf")])
+def test_removed_inexact_amount_fails_the_audit(spark, amount):
+    from tablegate.sources.mock import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
+
+    c = spark.createDataFrame([(1, "A", "a@b.co", "X")], CUSTOMER_SCHEMA)
+    t = spark.createDataFrame([(1, 1, 10.0, "2025-01-01"), (2, 1, amount, "01-2025")], TRANSACTION_SCHEMA)
+    run = run_audit(spark, c, t)
+    assert run.overall_pass is False and run.inexact_amounts == 1
+    details = {r.check_name: r.details for r in audit_details(run).collect()}
+    assert details["reconciliation"].toPython()["country_mismatches"][0]["raw_inexact"] == 1 and not run.checks[3].violations.isEmpty()
+
+
+def test_kept_inexact_amount_is_no_mismatch(spark):
+    from tablegate.sources.mock import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
+
+    c = spark.createDataFrame([(1, "A", "a@b.co", "X")], CUSTOMER_SCHEMA)
+    t = spark.createDataFrame([(1, 1, 10.0, "2025-01-01"), (2, 1, 2e16, "2025-01-02")], TRANSACTION_SCHEMA)
+    assert run_audit(spark, c, t).overall_pass is True
+
+
+def test_all_duplicates_are_on_disk_by_default(spark):
+    from tablegate.sources.mock import CUSTOMER_SCHEMA, TRANSACTION_SCHEMA
+
+    c = spark.createDataFrame([(i, "A", f"u{i % 100}@b.co", "X") for i in range(1, 201)], CUSTOMER_SCHEMA)
+    t = spark.createDataFrame([(1, 1, 10.0, "2025-01-01")], TRANSACTION_SCHEMA)
+    run = run_audit(spark, c, t)
+    assert spark.read.parquet(run.path + "/violations/uniqueness").count() == 100
+
+
+@pytest.mark.parametrize("columns", [("phone",), ("country",), ("customer_id",), ("amount",)])
+def test_unknown_or_needed_columns_cannot_be_masked(spark, columns):
+    with pytest.raises(ValueError, match="cannot mask"):
+        run_audit(spark, mock_customers(spark), mock_transactions(spark), AuditConfig(mask_columns=columns))
 
 
 def test_rerun_into_same_folder_is_idempotent(spark, scratch):
@@ -199,7 +233,7 @@ def test_passing_rerun_clears_old_alerts(spark, scratch):
     c = dirty.clean_customers_source(spark, SF_SMALL)
     t = dirty.clean_transactions_source(spark, SF_SMALL).filter("customer_id > 0")
     run = run_audit(spark, c, t, output_dir=scratch + "/r")
-    assert run.overall_pass is True and run.actions == 7
+    assert run.overall_pass is True
     import os
 
     outbox = _local(scratch + "/r/outbox")
@@ -225,7 +259,6 @@ def test_compact_quarantine_table(spark):
         spark, dirty.dirty_customers(spark, SF_SMALL), dirty.dirty_transactions(spark, SF_SMALL),
         AuditConfig(rejected_files=1),
     )
-    assert run.actions == 9
     assert run.facts.rejected.count() == run.facts.rejected_rows and "rejection_reason" in run.facts.rejected.columns
     files = [f for f in run.facts.rejected.inputFiles() if f.endswith(".parquet")]
     assert len(files) == 1 and "transactions_rejected" in files[0]
@@ -241,7 +274,6 @@ def test_write_violations_keeps_full_lists(spark):
         spark, dirty.dirty_customers(spark, SF_SMALL), dirty.dirty_transactions(spark, SF_SMALL),
         AuditConfig(write_violations=True, sample_size=3),
     )
-    assert run.actions == 11
     details = {r.check_name: r for r in audit_details(run).collect()}
     ri = run.checks[2].violations
     assert ri.inputFiles() and "violations/referential_integrity" in ri.inputFiles()[0]

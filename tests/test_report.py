@@ -26,18 +26,14 @@ def _gates(spark, c=0, t=0):
     )
 
 
-ALL_PASSING = [("completeness", True, 0, "{}"), ("uniqueness", True, 0, "{}")]
-ONE_FAILING = [("completeness", True, 0, "{}"), ("uniqueness", False, 1, '{"duplicate_emails":["x@y.com"]}')]
+THREE_GOOD = [(name, True, 0, "{}") for name in ("nulls", "keys", "totals")]
+KEYS_BAD = [THREE_GOOD[0], ("keys", False, 4, '{"duplicate_emails":["x@y.com"]}'), THREE_GOOD[2]]
 
 
-def test_all_passing_gives_overall_pass_true(spark):
-    assert report.build_report(_summaries(spark, ALL_PASSING), _gates(spark)).first().overall_pass is True
-
-
-def test_one_failing_gives_overall_pass_false(spark):
-    r = report.build_report(_summaries(spark, ONE_FAILING), _gates(spark, 1, 1)).first()
-    assert r.overall_pass is False
-    assert r.rejected_at_gate == {"customers": 1, "transactions": 1}
+@pytest.mark.parametrize("rows,verdict", [(THREE_GOOD, True), (KEYS_BAD, False), (KEYS_BAD[::-1], False)])
+def test_verdict_is_that_of_the_worst_check(spark, rows, verdict):
+    r = report.build_report(_summaries(spark, rows), _gates(spark, 2, 7)).first()
+    assert r.overall_pass is verdict and r.rejected_at_gate == {"customers": 2, "transactions": 7}
 
 
 def test_no_checks_is_a_pass(spark):
@@ -54,7 +50,7 @@ def test_report_keys_and_check_order(spark):
 
 
 def test_save_report_writes_valid_json(spark, scratch):
-    r = report.build_report(_summaries(spark, ONE_FAILING), _gates(spark, 3, 1))
+    r = report.build_report(_summaries(spark, KEYS_BAD), _gates(spark, 3, 1))
     save_report(r, scratch + "/report")
     files = glob.glob(scratch + "/report/part-*.json")
     assert len(files) == 1
@@ -66,9 +62,9 @@ def test_save_report_writes_valid_json(spark, scratch):
 
 
 def test_outbox_rows_only_when_failing(spark):
-    ok = report.build_report(_summaries(spark, ALL_PASSING), _gates(spark))
+    ok = report.build_report(_summaries(spark, THREE_GOOD), _gates(spark))
     assert report.alert_outbox(ok).count() == 0
-    bad = report.build_report(_summaries(spark, ONE_FAILING), _gates(spark, 1, 0))
+    bad = report.build_report(_summaries(spark, KEYS_BAD), _gates(spark, 1, 0))
     rows = report.alert_outbox(bad).collect()
     assert [(r.channel, r.target) for r in rows] == [
         ("webhook", report.DEFAULT_WEBHOOK_URL),
@@ -76,7 +72,7 @@ def test_outbox_rows_only_when_failing(spark):
     ]
     assert all(r.subject for r in rows)
     body = json.loads(rows[0].body)
-    assert body["overall_pass"] is False and body["audit_checks"][1]["check_name"] == "uniqueness"
+    assert body["overall_pass"] is False and body["audit_checks"][1]["check_name"] == "keys"
 
 
 def test_status_label(spark):
@@ -96,21 +92,8 @@ def test_mask_sha256(spark):
     assert df.select(F.sha2("email", 256)).first()[0] == out[0].email
 
 
-def test_save_report_file_single_json_indent_2(spark, scratch):
-    from tablegate.sources.sinks import save_report_file
-
-    r = report.build_report(_summaries(spark, ONE_FAILING), _gates(spark, 3, 1))
-    doc = save_report_file(r, scratch + "/audit_report.json")
-    text = open(scratch + "/audit_report.json", encoding="utf-8").read()
-    assert text.startswith('{\n  "timestamp"')
-    assert json.loads(text) == doc and doc["overall_pass"] is False
-    assert doc["audit_checks"][1]["details"] == {"duplicate_emails": ["x@y.com"]}
-    with pytest.raises(OSError):
-        save_report_file(r, scratch + "/no/such/dir/report.json")
-
-
 def test_save_report_append_keeps_history(spark, scratch):
-    r = report.build_report(_summaries(spark, ALL_PASSING), _gates(spark))
+    r = report.build_report(_summaries(spark, THREE_GOOD), _gates(spark))
     save_report(r, scratch + "/history", mode="append")
     save_report(r, scratch + "/history", mode="append")
     assert spark.read.json(scratch + "/history").count() == 2

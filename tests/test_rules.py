@@ -96,7 +96,16 @@ def test_whitespace_set_matches_python():
         ("ana@email.com", True),
         ("first.last+tag@sub.example.co", True),
         ("jürgen@bücher.de", True),
-        ("user@host.test", True),
+        ("user@host.test", False),
+        ("user@mail.invalid", False),
+        ("user@a.localhost", False),
+        ("  a@b.com ", True),
+        ("a" * 64 + "@x.com", True),
+        ("a" * 65 + "@x.com", False),
+        ("a@" + "b" * 63 + ".com", True),
+        ("a@" + "b" * 64 + ".com", False),
+        ("<a@x.com>", True),
+        ("Ana <ana>", False),
         ("not-an-email", False),
         ("a@localhost", False),
         ("a..b@x.com", False),
@@ -106,8 +115,8 @@ def test_whitespace_set_matches_python():
         ("a b@x.com", False),
         ('"a"@x.com', False),
         ("a@[1.2.3.4]", False),
-        ("Ana <ana@x.com>", False),
-        ("a@x.com\n", False),
+        ("Ana <ana@x.com>", True),
+        ("a@x.com\n", True),
         ("a@x.c0m1", True),
         ("a@x.1com", False),
     ],
