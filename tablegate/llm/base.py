@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegate.session import run_folder
 
@@ -39,9 +40,12 @@ def save(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def nullable(df: DataFrame) -> DataFrame:
-    """``df`` with column types as read from Parquet; a column of NULL literals becomes a string."""
-    return df.select(*[F.col(quoted(c)).cast("string").alias(c) if t == "void" else F.col(quoted(c)) for c, t in df.dtypes])
+def mapped(df: DataFrame, run: Callable, added: list[T.StructField]) -> DataFrame:
+    """``df.mapInArrow`` of a function that adds columns, whatever the names of the others are."""
+    safe = [f"c{k}" for k in range(len(df.columns))]
+    kept = [T.StructField(c, f.dataType) for c, f in zip(safe, df.schema.fields, strict=True)]
+    out = df.toDF(*safe).mapInArrow(run, T.StructType([*kept, *added]))
+    return out.toDF(*df.columns, *[f.name for f in added])
 
 
 def quoted(name: str) -> str:

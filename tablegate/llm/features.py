@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.base import BATCH_BYTES, IS_LETTER, LOWER, SpanHash, mix, pieces, quoted, raw_column, runs, save
+from tablegate.llm.base import BATCH_BYTES, IS_LETTER, LOWER, SpanHash, mapped, mix, pieces, quoted, raw_column, runs, save
 from tablegate.llm.rules import MEASURES, measure
 
 _PREFIXES = (4, 5, 6)
@@ -147,9 +147,9 @@ def matrix(rows: DataFrame, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def scored(docs: DataFrame, text: str, chosen: np.ndarray, weights: np.ndarray, names: list[str], link: Callable) -> DataFrame:
     """``docs`` with the doubles ``names``: ``link`` of each text's sum of weights, as columns of an array."""
+    docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c not in names or c == text])
     shared = docs.sparkSession.sparkContext.broadcast((chosen, weights))  # at most some thousand features
     at = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(n, T.DoubleType()) for n in names]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chosen, weights = shared.value
@@ -164,14 +164,15 @@ def scored(docs: DataFrame, text: str, chosen: np.ndarray, weights: np.ndarray,
                 extra = [pa.array(values[:, k], pa.float64()) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, [T.StructField(n, T.DoubleType()) for n in names])
 
 
 def sampled(ids: DataFrame, docs: DataFrame, id_col: str, text: str, bound: int, path: str, seed: int) -> DataFrame:
-    """(label, text) of at most ``bound`` of ``ids(id, label)``: those of least hash that ``docs`` has, one row an id."""
+    """(label, text) of at most ``bound`` of ``ids(id, label)``: those of least hash that ``docs`` has, one row a text."""
     few = ids.where(F.col("id").isNotNull() & F.col("label").isNotNull()).orderBy(F.xxhash64("id", F.lit(seed)), "id", "label").limit(bound)
     few = save(few, f"{path}-ids")
     rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("text"))
     # At most ``bound`` ids and labels are broadcast.
     rows = rows.join(F.broadcast(few), "id").groupBy("id").agg(F.max(F.struct("text", "label")).alias("r"))
-    return save(rows.select("r.label", "r.text"), path)
+    # Copies of a text count once, else what is rare in it would look common.
+    return save(rows.groupBy("r.text").agg(F.max("r.label").alias("label")).select("label", "text"), path)

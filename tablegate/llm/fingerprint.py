@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.base import BATCH_BYTES, mix, quoted, save, workspace
+from tablegate.llm.base import BATCH_BYTES, mapped, mix, quoted, save, workspace
 
 BINS = 64
 LEVELS = (3, 4, 5)  # phrases of about 20, 60 and 170 characters
@@ -155,7 +155,6 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint")
     workspace(docs.sparkSession, "fingerprint")
     docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c != name or c == text])
     at = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -164,7 +163,7 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint")
                 found.extend(text_form(sketches(part)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.string())], [*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, [T.StructField(name, T.StringType())])
 
 
 def _parts(texts: list[str], limit: int = BATCH_BYTES // 4) -> Iterator[list[str]]:

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.base import BATCH_BYTES, quoted, remainder, save, workspace
+from tablegate.llm.base import BATCH_BYTES, mapped, quoted, remainder, save, workspace
 
 ROWS_PER_LANGUAGE = 60
 WINDOW = 400
@@ -196,7 +196,6 @@ class LanguageModel:
             return docs.withColumns({n: F.lit(v) for n, v in zip(names, (UNKNOWN, 0.0, 0.0), strict=True)})
         docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c not in names or c == text])
         at = docs.columns.index(text)
-        schema = T.StructType([*docs.schema.fields, *[T.StructField(n, t) for n, t in zip(names, kinds, strict=True)]])
         parts = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, self))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +215,7 @@ class LanguageModel:
                 extra = [pa.array(v, k) for v, k in zip(found, (pa.string(), pa.float64(), pa.float64()), strict=True)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *names])
 
-        return docs.mapInArrow(run, schema)
+        return mapped(docs, run, [T.StructField(n, t) for n, t in zip(names, kinds, strict=True)])
 
 
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROWS_PER_LANGUAGE, window: int = WINDOW) -> LanguageModel:

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.base import BATCH_BYTES, IS_SPACE, SpanHash, byte_flags, mix, pieces, quoted, raw_column, runs, workspace
+from tablegate.llm.base import BATCH_BYTES, IS_SPACE, SpanHash, byte_flags, mapped, mix, pieces, quoted, raw_column, runs, workspace
 
 WINDOW = 5
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_capitals")
@@ -120,7 +120,6 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     workspace(docs.sparkSession, "rules")
     docs = docs.select(*[F.col(quoted(c)) for c in docs.columns if c not in MEASURES or c == text])
     at = docs.columns.index(text)
-    schema = T.StructType([*docs.schema.fields, *[T.StructField(m, T.LongType()) for m in MEASURES]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,7 +129,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
                 extra = [pa.array(table[:, k]) for k in range(len(MEASURES))]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *extra], [*batch.schema.names, *MEASURES])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, [T.StructField(m, T.LongType()) for m in MEASURES])
 
 
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:

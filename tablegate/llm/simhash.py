@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.base import quoted, save, workspace
+from tablegate.llm.base import mapped, quoted, save, workspace
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -76,7 +76,6 @@ def fingerprint(raw: bytes, words: int = SHINGLE_WORDS, seed: int = SEED) -> int
 
 def with_fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_WORDS, seed: int = SEED) -> DataFrame:
     """``docs`` with its columns and a last column ``__tg_fp`` (the fingerprint as a signed long)."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(FP, T.LongType())])
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,7 +84,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", words: int = SHINGLE_
             codes = [_signed(fingerprint(x.as_py() or b"", words, seed)) for x in texts]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(codes, pa.int64())], [*batch.schema.names, FP])
 
-    return docs.mapInArrow(run, schema)
+    return mapped(docs, run, [T.StructField(FP, T.LongType())])
 
 
 def _divided(bits: list[int], parts: int) -> list[int]:
