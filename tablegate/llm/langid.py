@@ -227,6 +227,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROW
     keyed = labelled.select("lang", draw.alias("draw"), F.xxhash64("text", F.lit(1)).alias("other"))
     # About DRAW times the rows that are wanted: so few, that a language's may be ranked in one task.
     counts = labelled.groupBy(F.col("lang").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    counts = save(counts, f"{path}/counts")  # its size is then known, so rows are not shuffled by language to join it
     share = F.pmod(F.col("other"), F.lit(1 << 31)) / F.lit(float(1 << 31))
     keyed = keyed.join(counts, F.col("lang") == F.col("name")).where(share * F.col("n") < DRAW * rows).select("lang", "draw")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
