@@ -143,15 +143,14 @@ def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "customer_id") -
 def orphan_rows(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
     """A3: every child row whose key has no parent row.
 
-    Same rows as ``child LEFT ANTI JOIN parent``, planned for scale: the
-    compact set of orphan keys is found first (pre-aggregated on both
-    sides), then the child rows are semi-joined to it with a NULL-safe key
-    match (a NULL key is an orphan). Orphans are usually few, so AQE can
-    broadcast that set after measuring it and the child rows never shuffle;
-    a large set falls back to a sort-merge semi join.
+    One left anti join over one scan of the child; a NULL key matches nothing
+    and so is an orphan. The parent is not made distinct first: with no
+    aggregate between its shuffle and the join, AQE can split a child
+    partition that a hot key fills, and where the parent's keys are measured
+    to be small it broadcasts them and the child does not shuffle.
     """
-    orphans = orphan_keys(child, parent, key).withColumnRenamed(key, "_orphan_key")
-    return child.join(orphans, child[key].eqNullSafe(orphans["_orphan_key"]), "left_semi")
+    parent_keys = parent.select(F.col(key).alias("_parent_key"))
+    return child.join(parent_keys, child[key] == parent_keys["_parent_key"], "left_anti")
 
 
 def referential_integrity(

@@ -49,9 +49,12 @@ def sample_and_count(
         F.lit(None).cast(item_type).alias("_s"),
         *[F.col(src).cast("bigint").alias(f"_sum_{out}") for out, src in sums.items()],
     )
+    # The summed columns break ties, and so are read by both branches: pruned
+    # from one of them, they would make two exchanges of what is one.
+    ties = [src for src in dict.fromkeys(sums.values()) if src not in order]
     sampled = (
-        violations.select(item.alias("_s"))
-        .orderBy(*[F.col("_s." + c).asc_nulls_first() for c in order])
+        violations.select(item.alias("_s"), *ties)
+        .orderBy(*[F.col("_s." + c).asc_nulls_first() for c in order], *ties)
         .limit(sample_size)
         .select(
             F.lit(0).alias("_n"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tablegate.functions import masking, rules
 from tablegate.operators import audit, contract, enrich, reconcile, report
 from tablegate.plans.contracts import COMPLETENESS_COLUMNS, CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
+from tablegate.plans.shape_catalog import QUERIES as SHAPE_QUERIES
 from tablegate.sources import dirty
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -265,6 +266,74 @@ def alert_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.alert_outbox(_report(spark, sf_dir)).select("channel", "target", "subject")
 
 
+def audit_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every violation of the keyed checks -> ``(check_name, key, n)``; nothing is sampled."""
+    keys = {"uniqueness": ("email", F.col("n")), "referential_integrity": ("customer_id", F.col("n_rows")), "reconciliation": ("country", F.lit(1))}
+    checks = [c for c in audit_checks(spark, sf_dir) if c.name in keys]
+    return contract.union_all(
+        [
+            c.violations.select(
+                F.lit(c.name).alias("check_name"),
+                F.col(keys[c.name][0]).cast("string").alias("key"),
+                keys[c.name][1].cast("bigint").alias("n"),
+            )
+            for c in checks
+        ]
+    )
+
+
+DETAILS_TYPE = (
+    "null_counts map<string,bigint>, violation_count bigint, duplicate_rows bigint, orphan_rows bigint, "
+    "duplicate_emails array<string>, orphan_customer_ids array<bigint>, "
+    "country_mismatches array<struct<country string, raw_total double, clean_total double>>"
+)
+
+
+def audit_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the report says of each check, one row per item -> ``(check_name, item, value)``."""
+    rows = _report(spark, sf_dir).select(F.explode("audit_checks").alias("c"))
+    parsed = rows.select("c.check_name", F.from_json(F.to_json("c.details"), DETAILS_TYPE).alias("d"))
+
+    def entry(item, value):
+        return F.struct(item.alias("item"), value.cast("string").alias("value"))
+
+    def listed(name, value=lambda x: x):
+        return F.transform(F.col(f"d.{name}"), lambda x: entry(F.lit(name), value(x)))
+
+    def money(c):
+        return c.cast("decimal(18,2)").cast("string")
+
+    parts = [
+        F.transform(F.map_entries("d.null_counts"), lambda e: entry(F.concat(F.lit("null_counts."), e["key"]), e["value"])),
+        *[F.array(entry(F.lit(n), F.col(f"d.{n}"))) for n in ("violation_count", "duplicate_rows", "orphan_rows")],
+        listed("duplicate_emails"),
+        listed("orphan_customer_ids"),
+        listed("country_mismatches", lambda m: F.concat_ws("|", m["country"], money(m["raw_total"]), money(m["clean_total"]))),
+    ]
+    nothing = F.array().cast("array<struct<item:string,value:string>>")
+    items = F.concat(*[F.coalesce(p, nothing) for p in parts])
+    return parsed.select("check_name", F.explode(items).alias("i")).where("i.value IS NOT NULL").select("check_name", "i.item", "i.value")
+
+
+def alert_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the alerts' JSON bodies, one row per channel and check."""
+    body = (
+        "timestamp string, overall_pass boolean, rejected_at_gate map<string,bigint>, "
+        "audit_checks array<struct<check_name string, passed boolean, violation_count bigint>>"
+    )
+    parsed = report.alert_outbox(_report(spark, sf_dir)).select("channel", F.from_json("body", body).alias("b"))
+    return parsed.select("channel", "b", F.explode("b.audit_checks").alias("c")).select(
+        "channel",
+        F.col("b.overall_pass").alias("overall_pass"),
+        F.col("b.timestamp").isNotNull().alias("has_timestamp"),
+        F.col("b.rejected_at_gate")["customers"].alias("rejected_customers"),
+        F.col("b.rejected_at_gate")["transactions"].alias("rejected_transactions"),
+        "c.check_name",
+        "c.passed",
+        "c.violation_count",
+    )
+
+
 QUERIES: dict[str, Query] = {
     "gate_customers_clean": gate_customers_clean,
     "gate_customers_rejected": gate_customers_rejected,
@@ -295,4 +364,8 @@ QUERIES: dict[str, Query] = {
     "audit_summary": audit_summary,
     "audit_report": audit_report,
     "alert_outbox": alert_outbox,
+    "audit_violations": audit_violations,
+    "audit_details": audit_details,
+    "alert_bodies": alert_bodies,
+    **SHAPE_QUERIES,
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from tablegate.functions import rules
 from tablegate.operators.report import DEFAULT_EMAIL_TO, DEFAULT_SUBJECT, DEFAULT_WEBHOOK_URL
+from tablegate.plans.shape_oracle import ORACLE as SHAPE_ORACLE
 from tablegate.sources import dirty as d
 
 
@@ -165,6 +166,24 @@ checks AS (
   UNION ALL SELECT 3, 'reconciliation', (SELECT count(*) FROM cmp WHERE raw_total <> clean_total))"""
 
 
+# What the report says of the checks; lists hold the first 20 in order.
+DETAILS = """dupn AS (SELECT email, count(*) AS n FROM cc GROUP BY email HAVING count(*) > 1),
+details AS (
+  SELECT 'completeness' AS check_name, 'null_counts.name' AS item, CAST(count(*) FILTER (WHERE name IS NULL) AS VARCHAR) AS value FROM cc
+  UNION ALL SELECT 'completeness', 'null_counts.email', CAST(count(*) FILTER (WHERE email IS NULL) AS VARCHAR) FROM cc
+  UNION ALL SELECT 'completeness', 'null_counts.country', CAST(count(*) FILTER (WHERE country IS NULL) AS VARCHAR) FROM cc
+  UNION ALL SELECT 'completeness', 'null_counts.amount', CAST(count(*) FILTER (WHERE amount IS NULL) AS VARCHAR) FROM tc
+  UNION ALL SELECT check_name, 'violation_count', CAST(CAST(violation_count AS BIGINT) AS VARCHAR) FROM checks WHERE check_name <> 'completeness'
+  UNION ALL SELECT 'uniqueness', 'duplicate_rows', CAST(CAST(coalesce(sum(n), 0) AS BIGINT) AS VARCHAR) FROM dupn
+  UNION ALL SELECT 'uniqueness', 'duplicate_emails', email FROM (SELECT email FROM dupn ORDER BY email LIMIT 20)
+  UNION ALL SELECT 'referential_integrity', 'orphan_rows', CAST(count(*) AS VARCHAR) FROM tc WHERE customer_id IN (SELECT customer_id FROM orph)
+  UNION ALL SELECT 'referential_integrity', 'orphan_customer_ids', CAST(customer_id AS VARCHAR)
+    FROM (SELECT customer_id FROM orph ORDER BY customer_id LIMIT 20)
+  UNION ALL SELECT 'reconciliation', 'country_mismatches',
+      country || '|' || CAST(CAST(raw_total AS DECIMAL(18,2)) AS VARCHAR) || '|' || CAST(CAST(clean_total AS DECIMAL(18,2)) AS VARCHAR)
+    FROM (SELECT country, raw_total, clean_total FROM cmp WHERE raw_total <> clean_total ORDER BY country LIMIT 20))"""
+
+
 def _completeness(src_c: str, src_t: str) -> str:
     return f"""SELECT 'customers' AS entity, 'name' AS column_name, count(*) FILTER (WHERE name IS NULL) AS null_count FROM {src_c}
 UNION ALL SELECT 'customers', 'email', count(*) FILTER (WHERE email IS NULL) FROM {src_c}
@@ -274,4 +293,18 @@ ORACLE: dict[str, str] = {
     + f"SELECT ch.channel, ch.target, {_lit(DEFAULT_SUBJECT)} AS subject "
     f"FROM (VALUES ('webhook', {_lit(DEFAULT_WEBHOOK_URL)}), ('email', {_lit(DEFAULT_EMAIL_TO)})) AS ch(channel, target) "
     "WHERE EXISTS (SELECT 1 FROM checks WHERE violation_count > 0)",
+    "audit_violations": _with(RAW, CLEAN, CMP)
+    + "SELECT 'uniqueness' AS check_name, email AS key, count(*) AS n FROM cc GROUP BY email HAVING count(*) > 1\n"
+    "UNION ALL SELECT 'referential_integrity', CAST(customer_id AS VARCHAR), count(*) FROM tc t "
+    "WHERE NOT EXISTS (SELECT 1 FROM cc c WHERE c.customer_id = t.customer_id) GROUP BY customer_id\n"
+    "UNION ALL SELECT 'reconciliation', country, 1 FROM cmp WHERE raw_total <> clean_total",
+    "audit_details": _with(RAW, CLEAN, CMP, CHECKS, DETAILS) + "SELECT check_name, item, value FROM details",
+    "alert_bodies": _with(RAW, CLEAN, CMP, CHECKS, GATE_COUNTS)
+    + "SELECT ch.channel, false AS overall_pass, true AS has_timestamp, "
+    "(SELECT rejected_rows FROM gc WHERE entity = 'customers') AS rejected_customers, "
+    "(SELECT rejected_rows FROM gc WHERE entity = 'transactions') AS rejected_transactions, "
+    "k.check_name, k.violation_count = 0 AS passed, CAST(k.violation_count AS BIGINT) AS violation_count "
+    "FROM checks k, (VALUES ('webhook'), ('email')) AS ch(channel) "
+    "WHERE EXISTS (SELECT 1 FROM checks WHERE violation_count > 0)",
+    **SHAPE_ORACLE,
 }
