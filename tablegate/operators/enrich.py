@@ -17,7 +17,7 @@ are counted and summed apart as doubles: they are never dropped or rounded.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -133,3 +133,14 @@ def order_desc(df: DataFrame, by: str, tiebreak: str | None = None) -> DataFrame
     if tiebreak is not None:
         keys.append(F.col(tiebreak).asc_nulls_last())
     return df.orderBy(*keys)
+
+
+def ranked_desc(totals: DataFrame, by: str, tiebreak: str, alias: str = "position") -> DataFrame:
+    """``order_desc``'s order as a column, 1 for the first row.
+
+    One window over all rows, which one task sorts: for reports of totals, one
+    row per group, whose groups are few (countries). ``order_desc`` sorts any
+    number of them in ranges.
+    """
+    order = Window.orderBy(F.col(by).desc_nulls_last(), F.col(tiebreak).asc_nulls_last())
+    return totals.withColumn(alias, F.row_number().over(order).cast("bigint"))

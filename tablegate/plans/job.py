@@ -114,6 +114,52 @@ def _masked(df: DataFrame, contract: Contract, columns: tuple[str, ...]) -> list
     return [c for c in columns if c in df.columns or c in contract.field_names]
 
 
+def split_totals(dims: Split, facts: Split, cfg: AuditConfig) -> DataFrame:
+    """Clean and raw totals in one pass over the written splits; one row per group."""
+    return reconcile.fused_totals(
+        facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale,
+        clean_flag=clean_flag(),
+    )
+
+
+def split_checks(spark: SparkSession, dims: Split, facts: Split, fused: DataFrame, cfg: AuditConfig) -> list[AuditCheck]:
+    """The four checks over the written splits and their totals; no source is read."""
+    clean_for_checks = dims.clean
+    if cfg.mask_columns:
+        clean_for_checks = mask(dims.clean, [c for c in cfg.mask_columns if c in cfg.unique_keys])
+    observed = [
+        (name, col, split.clean_null_counts[col])
+        for name, split in ((cfg.dims_name, dims), (cfg.facts_name, facts))
+        for col in cfg.completeness.get(name, [])
+    ]
+    return [
+        audit.completeness_from_counts(spark, observed),
+        audit.uniqueness(clean_for_checks, list(cfg.unique_keys), cfg.sample_size),
+        audit.referential_integrity(facts.clean, dims.clean, cfg.key, cfg.sample_size),
+        reconcile.reconciliation_from(
+            reconcile.fused_comparison(fused, cfg.group, cfg.scale), cfg.group, cfg.tolerance, cfg.sample_size
+        ),
+    ]
+
+
+def split_counts(spark: SparkSession, dims: Split, facts: Split, cfg: AuditConfig) -> DataFrame:
+    """One row ``(entity, clean_rows, rejected_rows)`` per split, as observed on its write."""
+    return literal_rows(
+        spark,
+        T.StructType(
+            [
+                T.StructField("entity", T.StringType(), False),
+                T.StructField("clean_rows", T.LongType(), False),
+                T.StructField("rejected_rows", T.LongType(), False),
+            ]
+        ),
+        [
+            (cfg.dims_name, dims.clean_rows, dims.rejected_rows),
+            (cfg.facts_name, facts.clean_rows, facts.rejected_rows),
+        ],
+    )
+
+
 def run_audit(
     spark: SparkSession,
     raw_dims: DataFrame,
@@ -170,46 +216,15 @@ def run_audit(
         # Clean and raw totals in one pass over each written split (no second
         # scan of the sources); one row per group. The optional enriched table
         # (as large as the clean facts) is written alongside, as its own job.
-        totals_plan = reconcile.fused_totals(
-            facts.annotated, dims.annotated, cfg.key, cfg.group, cfg.amount, cfg.precision, cfg.scale,
-            clean_flag=clean_flag(),
-        )
+        totals_plan = split_totals(dims, facts, cfg)
         with ThreadPoolExecutor(max_workers=2) as pool:
             fused_job = pool.submit(in_thread(materialize), totals_plan, f"{root}/totals")
             if cfg.write_enriched:
                 enriched = pool.submit(in_thread(materialize), enriched, f"{root}/enriched").result()
             fused = fused_job.result()
         totals = reconcile.clean_side(fused, cfg.group, "total_amount")
-        clean_for_checks = dims.clean
-        if cfg.mask_columns:
-            clean_for_checks = mask(dims.clean, [c for c in cfg.mask_columns if c in cfg.unique_keys])
-        observed = [
-            (name, col, split.clean_null_counts[col])
-            for name, split in ((cfg.dims_name, dims), (cfg.facts_name, facts))
-            for col in cfg.completeness.get(name, [])
-        ]
-        checks = [
-            audit.completeness_from_counts(spark, observed),
-            audit.uniqueness(clean_for_checks, list(cfg.unique_keys), cfg.sample_size),
-            audit.referential_integrity(facts.clean, dims.clean, cfg.key, cfg.sample_size),
-            reconcile.reconciliation_from(
-                reconcile.fused_comparison(fused, cfg.group, cfg.scale), cfg.group, cfg.tolerance, cfg.sample_size
-            ),
-        ]
-        gate_rows = literal_rows(
-            spark,
-            T.StructType(
-                [
-                    T.StructField("entity", T.StringType(), False),
-                    T.StructField("clean_rows", T.LongType(), False),
-                    T.StructField("rejected_rows", T.LongType(), False),
-                ]
-            ),
-            [
-                (cfg.dims_name, dims.clean_rows, dims.rejected_rows),
-                (cfg.facts_name, facts.clean_rows, facts.rejected_rows),
-            ],
-        )
+        checks = split_checks(spark, dims, facts, fused, cfg)
+        gate_rows = split_counts(spark, dims, facts, cfg)
         built = report.build_report(report.summaries(checks), gate_rows)
         with ThreadPoolExecutor(max_workers=4) as pool:
             report_job = pool.submit(in_thread(materialize), built, f"{root}/report")

@@ -199,6 +199,10 @@ def _by_rule(entity: str, src: str, fields: list[str]) -> str:
     )
 
 
+def _place(total: str) -> str:
+    return f"row_number() OVER (ORDER BY CAST({total} AS DOUBLE) DESC NULLS LAST, country ASC NULLS LAST) AS position"
+
+
 # Amounts that are no decimals of two places, in valid rows of customers 0 to 4 modulo 10.
 DX = f"""dx AS (
   SELECT transaction_id, customer_id, date,
@@ -278,6 +282,10 @@ ORACLE: dict[str, str] = {
     "reconciliation_passing": _with(CLEAN, RAW_PASS, CMP_PASS)
     + "SELECT country, CAST(raw_total AS DOUBLE) AS raw_total, CAST(clean_total AS DOUBLE) AS clean_total, "
     "CAST(raw_total - clean_total AS DOUBLE) AS delta FROM cmpp",
+    "spend_ranking": _with(CLEAN) + f"SELECT country, CAST(clean_total AS DOUBLE) AS total_amount, {_place('clean_total')} FROM cl",
+    "raw_totals_ranking": _with(RAW) + f"SELECT country, CAST(raw_total AS DOUBLE) AS raw_total, {_place('raw_total')} FROM raw",
+    "delta_ranking": _with(RAW, CLEAN, CMP)
+    + f"SELECT country, CAST(raw_total - clean_total AS DOUBLE) AS delta, {_place('raw_total - clean_total')} FROM cmp",
     "masked_rejects": _with()
     + "SELECT customer_id, sha256(name) AS name_sha256, sha256(email) AS email_sha256, country, rejection_reason "
     "FROM cg WHERE NOT ok",

@@ -1,13 +1,15 @@
 """Session helpers: configuration, the shared checkpoint folder, lineage cuts.
 
 Library code never creates a session on import and never picks a
-machine-local folder: intermediate tables go under the folder the cluster
-names in ``spark.checkpoint.dir``. Only tests and local benches set one,
-and only when it is unset.
+machine-local folder on a cluster: intermediate tables go under the folder the
+cluster names in ``spark.checkpoint.dir``. Only tests, local benches and
+sessions on a ``local`` master set one, and only when it is unset.
 """
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,7 +78,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
 
 
 def run_folder(spark: SparkSession, name: str = "tablegate") -> str:
-    """A fresh folder for one job run under the shared checkpoint folder."""
+    """A fresh folder for one job run under the shared checkpoint folder.
+
+    A ``local`` session, whose tasks all share the driver's disk, gets a
+    temporary checkpoint folder if it has none; on a cluster that is an error.
+    """
+    try:
+        checkpoint_root(spark)
+    except RuntimeError:
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
+            raise
+        ensure_checkpoint_dir(spark, tempfile.mkdtemp(prefix="tablegate-ckpt-"))
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 

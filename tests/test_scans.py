@@ -36,6 +36,41 @@ def test_referential_integrity_counts_and_samples_in_one_scan(spark, scratch):
     assert check.summary.first().violation_count == 25
 
 
+@pytest.mark.parametrize("name", ["audit_summary", "audit_report", "alert_outbox", "audit_violations", "audit_details"])
+def test_report_queries_gate_each_source_once(spark, name, monkeypatch):
+    from tablegate.plans import catalog
+
+    gated = []
+    write = catalog.write_split
+    monkeypatch.setattr(catalog, "write_split", lambda df, path, entity, *a: gated.append(entity) or write(df, path, entity, *a))
+    plan = _final_plan(QUERIES[name](spark, SF_SMALL))
+    # The two writes read the sources; nothing after them does.
+    assert gated == ["customers", "transactions"]
+    assert _scans(plan, "o_orderkey") == 0 and _scans(plan, "c_custkey") == 0
+
+
+def test_positions_follow_the_ordered_views(spark):
+    shown = [r.country for r in QUERIES["spend_by_country"](spark, SF_SMALL).collect()]
+    ranked = {r.position: r.country for r in QUERIES["spend_ranking"](spark, SF_SMALL).collect()}
+    assert [ranked[i + 1] for i in range(len(shown))] == shown
+
+
+def test_folders_without_a_checkpoint_dir():
+    from types import SimpleNamespace
+
+    from tablegate.session import run_folder
+
+    def session(master):
+        sc = SimpleNamespace(dir=None, getCheckpointDir=lambda: sc.dir, setCheckpointDir=lambda d: setattr(sc, "dir", d))
+        conf = SimpleNamespace(get=lambda k, default=None: {"spark.master": master}.get(k, default))
+        return SimpleNamespace(sparkContext=sc, conf=conf)
+
+    local = session("local[2]")
+    assert run_folder(local).startswith(local.sparkContext.dir) and run_folder(local) != run_folder(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        run_folder(session("spark://host:7077"))
+
+
 def test_repeated_parent_keys_and_null_keys(spark):
     child = spark.createDataFrame([(1, 1), (2, None), (3, 9), (4, 9)], "t int, k int")
     parent = spark.createDataFrame([(1,), (1,), (None,)], "k int")
