@@ -10,9 +10,9 @@ characters is one blank.
 
 The automata come from a bounded sample of labelled rows: windows of
 ``WINDOW`` characters at a place given by a hash of the text, from the
-``ROWS_PER_LANGUAGE`` rows of least hash per language, among about ``DRAW``
-times as many that a second hash draws first. They are built once on
-the driver and broadcast (a few MB). Texts are parsed in numpy inside tasks:
+``ROWS_PER_LANGUAGE`` distinct texts of least hash per language, among about
+``DRAW`` times as many that a second hash draws first (all of them, if there
+are no more). They are built once on the driver and broadcast (a few MB). Texts are parsed in numpy inside tasks:
 each step moves thousands of texts by one character through a table of all
 languages' transitions. A text longer than ``LANE`` characters is parsed in
 runs of that many, all of them; a phrase ends where a run does, in every
@@ -224,15 +224,16 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROW
     labelled = docs.select(F.col(quoted(lang)).alias("lang"), F.col(quoted(text)).alias("text"))
     labelled = labelled.where(F.col("lang").isNotNull() & (F.length("text") > 0))
     draw = F.xxhash64("text")
-    keyed = labelled.select("lang", draw.alias("draw"), F.xxhash64("text", F.lit(1)).alias("other"))
-    # About DRAW times the rows that are wanted: so few, that a language's may be ranked in one task.
-    counts = labelled.groupBy(F.col("lang").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    # Repeated texts are one, also when they are counted: a language of copies keeps its few other texts.
+    keyed = labelled.select("lang", draw.alias("draw"), F.xxhash64("text", F.lit(1)).alias("other")).distinct()
+    keyed = save(keyed, f"{path}/keyed")
+    # About DRAW times the texts that are wanted: so few, that a language's may be ranked in one task.
+    counts = keyed.groupBy(F.col("lang").alias("name")).agg(F.count(F.lit(1)).alias("n"))
     counts = save(counts, f"{path}/counts")  # its size is then known, so rows are not shuffled by language to join it
     share = F.pmod(F.col("other"), F.lit(1 << 31)) / F.lit(float(1 << 31))
     keyed = keyed.join(counts, F.col("lang") == F.col("name")).where(share * F.col("n") < DRAW * rows).select("lang", "draw")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
-    # Repeated texts are one.
-    few = save(keyed.distinct().withColumn("rank", rank).where(F.col("rank") <= rows).select("lang", "draw"), f"{path}/drawn")
+    few = save(keyed.withColumn("rank", rank).where(F.col("rank") <= rows).select("lang", "draw"), f"{path}/drawn")
     room = F.greatest(F.length("text") - window, F.lit(0)) + 1
     part = F.substring("text", (F.pmod(F.xxhash64("text", F.lit(2)), room) + 1).cast("int"), F.lit(window))
     sample = labelled.select("lang", draw.alias("draw"), part.alias("part")).join(F.broadcast(few), ["lang", "draw"])

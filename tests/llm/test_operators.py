@@ -350,6 +350,14 @@ def test_phrases_are_longest_matches():
             assert got[k, j] == n
 
 
+def test_copies_do_not_starve_a_language(spark):
+    copies = spark.range(20_000).select(F.lit("x").alias("lang"), F.lit("z" * 20).alias("text"))
+    few = [(lang, f"{i:020b}".replace("0", "a").replace("1", "b")) for lang, n in (("x", 100), ("y", 10)) for i in range(n)]
+    model = langid.fit(copies.unionByName(spark.createDataFrame(few, "lang string, text string")))
+    # Windows of 20 letters with a blank between: 60 of x, all 10 of y.
+    assert dict(zip(model.languages, model.sizes, strict=True)) == {"x": 60 * 21 - 1, "y": 10 * 21 - 1}
+
+
 @pytest.fixture(scope="module")
 def big(spark):
     return spark.read.parquet(f"{SF_BIG}/documents.parquet"), spark.read.parquet(f"{SF_BIG}/labels.parquet")
