@@ -14,7 +14,8 @@ The automata come from a bounded sample of labelled rows: windows of
 ``DRAW`` times as many that a second hash draws first (all of them, if there
 are no more). They are built once on the driver and broadcast (a few MB). Texts are parsed in numpy inside tasks:
 each step moves thousands of texts by one character through a table of all
-languages' transitions. A text longer than ``LANE`` characters is parsed in
+languages' transitions; those of letters beyond the ``DENSE`` commonest are
+searched in a sorted list, so every letter of every script counts. A text longer than ``LANE`` characters is parsed in
 runs of that many, all of them; a phrase ends where a run does, in every
 language alike.
 
@@ -43,7 +44,7 @@ from tablegate.llm.base import BATCH_BYTES, mapped, quoted, remainder, save, wor
 ROWS_PER_LANGUAGE = 60
 WINDOW = 400
 DRAW = 16
-LETTERS = 62  # letters told apart; rarer ones are one class that matches nothing
+DENSE = 62  # commonest letters, which have columns in the table; transitions of all others are searched for
 LANE = 2048
 TEMPER = 16.0
 UNKNOWN = "und"
@@ -81,7 +82,7 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 
 def _letter_classes(alphabet: str) -> np.ndarray:
     """Class of every code point: 0 no letter, 1.. the letters of ``alphabet``, then one for all others."""
-    table = np.zeros(0x110000, dtype=np.uint8)
+    table = np.zeros(0x110000, dtype=np.min_scalar_type(len(alphabet) + 1))
     place = {c: i + 1 for i, c in enumerate(alphabet)}
     for point in range(0x110000):
         c = chr(point)
@@ -95,21 +96,52 @@ def _points(text: str) -> np.ndarray:
 
 
 class Parser:
-    """All languages' automata as one table; made in each worker from the broadcast parts."""
+    """All languages' automata as one table; made in each worker from the broadcast parts.
 
-    def __init__(self, languages: list[str], alphabet: str, edges: list[tuple[np.ndarray, ...]], sizes: list[int]):
+    The table has a column for each of the first ``DENSE`` letters, the transitions
+    of other letters are a sorted list of (state, class); which of both holds a
+    transition changes no result.
+    """
+
+    def __init__(self, languages: list[str], alphabet: str, edges: list[tuple[np.ndarray, ...]], sizes: list[int], dense: int = DENSE):
         """edges: per language (from, class, to) of its transitions; sizes: characters of its text."""
         self.languages = languages
         self.classes = _letter_classes(alphabet)
-        self.width = len(alphabet) + 2
+        self.n_classes = len(alphabet) + 2
+        # The last column is of all classes without one, and always empty.
+        self.width = min(dense, len(alphabet)) + 2
         states = [int(max(e[0].max(initial=0), e[2].max(initial=0))) + 1 for e in edges]
         self.root = np.concatenate(([0], np.cumsum(states)[:-1])).astype(np.int32)
         # A transition that is missing leads to the language's own root.
         self.table = np.repeat(self.root, np.array(states) * self.width).astype(np.int32)
-        for root, (a, c, b) in zip(self.root.tolist(), edges, strict=True):
-            self.table[(root + a.astype(np.int64)) * self.width + c] = root + b
+        self.first = np.repeat(self.root[:, None], self.n_classes, axis=1)  # of the roots, for every class
+        keys, to = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
+        for k, (root, (a, c, b)) in enumerate(zip(self.root.tolist(), edges, strict=True)):
+            at = root + a.astype(np.int64)
+            common = c < self.width - 1
+            self.table[at[common] * self.width + c[common]] = root + b[common]
+            self.first[k, c[a == 0]] = root + b[a == 0]
+            keys.append(at[~common] * self.n_classes + c[~common])
+            to.append((root + b[~common]).astype(np.int32))
+        keys, to = np.concatenate(keys), np.concatenate(to)
+        order = np.argsort(keys)
+        self.rare, self.rare_to = keys[order], to[order]
         self.bits = np.log2(np.maximum(2, np.array(sizes, dtype=np.float64)))
 
+    def _moved(self, now: np.ndarray, c: np.ndarray, fresh: np.ndarray) -> np.ndarray:
+        """(language, text) states after one character of each text; ``fresh`` are those after it from the roots."""
+        to = self.table[now * np.int32(self.width) + np.minimum(c, np.int32(self.width - 1))]
+        rare = np.flatnonzero(c >= self.width - 1)
+        if len(rare) and len(self.rare):
+            # A language that has the letter nowhere has no transition from its root either.
+            k, i = np.nonzero(fresh[:, rare] != self.root[:, None])
+            i = rare[i]
+            key = now[k, i] * np.int64(self.n_classes) + c[i]
+            place = np.searchsorted(self.rare, key).clip(max=len(self.rare) - 1)
+            hit = self.rare[place] == key
+            to[k[hit], i[hit]] = self.rare_to[place[hit]]
+        return to
+
     def normalized(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Classes of all texts' characters, blanks run together, and the offsets of the texts."""
         points = _points("".join(texts))
@@ -143,11 +175,11 @@ class Parser:
             m = int(active[t])
             c = codes[start[:m] + t].astype(np.int32)
             now = state[:, :m]
-            to = self.table[now * np.int32(self.width) + c]
+            fresh = self.first[:, c]
+            to = self._moved(now, c, fresh)
             ended = to == root
             if ended.any():
                 # The phrase before ends here; the character begins the next one, or is one that matches nothing.
-                fresh = np.broadcast_to(self.table[root * np.int32(self.width) + c], to.shape)
                 count[:, :m] += (ended & (now != root)).view(np.int8)
                 to = np.where(ended, fresh, to)
                 count[:, :m] += (to == root).view(np.int8)
@@ -244,16 +276,15 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", rows: int = ROW
         for c in whole:
             if c.isalpha():
                 seen[c.lower()[0]] = seen.get(c.lower()[0], 0) + 1
-    alphabet = "".join(sorted(sorted(seen, key=lambda c: (-seen[c], c))[:LETTERS]))
+    alphabet = "".join(sorted(seen, key=lambda c: (-seen[c], c)))  # all letters, the commonest first
     languages = sorted(texts)
     place = _letter_classes(alphabet)
     edges, sizes = [], []
     for name in languages:
         codes = place[_points(texts[name])]
         codes = codes[np.concatenate(([True], (codes[1:] != 0) | (codes[:-1] != 0)))]
-        # Rare letters match nothing, also not each other.
-        moves = suffix_automaton([c if c <= len(alphabet) else -1 - i for i, c in enumerate(codes.tolist())])
-        rows_ = [(a, c, b) for a, m in enumerate(moves) for c, b in m.items() if c >= 0]
+        moves = suffix_automaton(codes.tolist())
+        rows_ = [(a, c, b) for a, m in enumerate(moves) for c, b in m.items()]
         flat = np.array(rows_, dtype=np.int32).reshape(-1, 3)
         edges.append((flat[:, 0], flat[:, 1], flat[:, 2]))
         sizes.append(len(codes))

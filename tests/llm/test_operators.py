@@ -358,6 +358,28 @@ def test_copies_do_not_starve_a_language(spark):
     assert dict(zip(model.languages, model.sizes, strict=True)) == {"x": 60 * 21 - 1, "y": 10 * 21 - 1}
 
 
+SCRIPTS = {"cjk1": (0x4E00, 400), "cjk2": (0x4E00 + 300, 400), "el": (0x3B1, 17), "hy": (0x561, 38), "ka": (0x10D0, 33), "ru": (0x430, 32), "uk": (0x440, 32)}
+
+
+def script_text(rng, name, n):
+    first, letters = SCRIPTS[name]
+    vocabulary = ["".join(map(chr, w)) for w in np.random.default_rng(first).integers(first, first + letters, (150, 4))]
+    return " ".join(rng.choice(vocabulary, n))
+
+
+def test_letters_of_all_scripts_count(spark):
+    rng = np.random.default_rng(7)
+    rows = [(name, script_text(rng, name, 60)) for name in SCRIPTS for _ in range(20)]
+    model = langid.fit(spark.createDataFrame(rows, "lang string, text string"))
+    assert set(model.alphabet) == {c for _, t in rows for c in t if c.isalpha()} and len(model.alphabet) > 500
+    asked = [(name, script_text(rng, name, n)) for name in SCRIPTS for n in (5, 40) for _ in range(10)]
+    queries = [t for _, t in asked]
+    parsers = [langid.Parser(model.languages, model.alphabet, model.edges, model.sizes, dense) for dense in (0, 5, langid.DENSE, 10_000)]
+    found = [p.phrases(*p.normalized(queries)) for p in parsers]
+    assert all((f == found[0]).all() for f in found)
+    assert [name for name, _ in asked] == parsers[2].predict(queries)[0]
+
+
 @pytest.fixture(scope="module")
 def big(spark):
     return spark.read.parquet(f"{SF_BIG}/documents.parquet"), spark.read.parquet(f"{SF_BIG}/labels.parquet")
