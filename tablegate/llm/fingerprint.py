@@ -13,9 +13,14 @@ A cut depends on four symbols before it and one after, so equal substrings are
 cut alike except near their ends, wherever they stand, and share the names of
 their inner phrases on every level.
 
-A fingerprint holds ``BINS`` least names (one-permutation MinHash) of the
-phrases of ``LEVELS``, texts of fewer than ``SHORT`` characters those of the
-levels below as well. Likeness is the share of equal bins among those that either has.
+A fingerprint holds two times ``BINS`` least names (one-permutation MinHash),
+whatever the text's length: first of the inner phrases of ``LEVELS``, then of
+all phrases of the levels below. Likeness is the share of equal bins among
+those that either has. The first bins count alone where both texts fill
+``ENOUGH`` of them, the second ones alone where either text fills none (it is
+short, or periodic, and has no inner phrase), and in between both count, in
+proportion to the number that the text of fewer fills: a pair is compared by
+the same levels on either side, and no length changes them at once.
 
 The next document, for the edited text, is found by ranges of id: each range
 gets a copy of the first document of the next one, is sorted, and read once.
@@ -23,7 +28,8 @@ So texts are shuffled once, no row is numbered over the whole table, and no
 text passes the driver. The parsing is numpy inside tasks.
 
 Defined results: null and empty texts have the empty fingerprint, like
-(1.0) to each other and unlike (0.0) to all else; ids that are null come
+(1.0) to each other and unlike (0.0) to all else; a text of one symbol
+throughout has that symbol in place of phrases, so all of them are alike; ids that are null come
 first; rows of equal id follow one another by their text, and the next of
 repeated rows is the next row; a single document is its own next one; an
 empty table gives an empty result; columns other than id and text are not
@@ -45,7 +51,7 @@ from tablegate.llm.base import BATCH_BYTES, mapped, mix, quoted, save, workspace
 
 BINS = 64
 LEVELS = (3, 4, 5)  # phrases of about 20, 60 and 170 characters
-SHORT = 200  # texts of fewer characters have the phrases of the levels below as well
+ENOUGH = 16  # filled bins of LEVELS that tell two texts apart without the levels below; about 300 characters
 ROUNDS = 4
 _BYTES = 2  # of a bin; 0 stands for an empty one
 _POWER = np.array([pow(0x9E3779B97F4A7C55, k, 1 << 64) for k in range(64)], dtype=np.uint64)
@@ -111,12 +117,16 @@ def _least(names: np.ndarray, of: np.ndarray, n: int) -> np.ndarray:
 
 
 def sketches(texts: list[str]) -> np.ndarray:
-    """One row of ``BINS`` 16-bit values per text; all 0 for an empty one."""
+    """One row of ``2 * BINS`` 16-bit values per text, of ``LEVELS`` and of those below; all 0 for an empty one."""
     n = len(texts)
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=n)
     row = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
     of = np.repeat(np.arange(n), lengths)
-    names, at = [row], [of]
+    # Texts of one symbol throughout have it in place of phrases, which would be named by their lengths.
+    change = np.flatnonzero((row[1:] != row[:-1]) & (of[1:] == of[:-1]))
+    bare = np.bincount(of[change], minlength=n) == 0
+    single = np.flatnonzero(bare & (lengths > 0))
+    high, low = ([], []), ([mix(row[(np.cumsum(lengths) - lengths)[single]])], [single])
     for level in range(1, max(LEVELS) + 1):
         row, of = parse(row, of)
         if level in LEVELS:
@@ -125,29 +135,29 @@ def sketches(texts: list[str]) -> np.ndarray:
             begins[1:] = of[1:] != of[:-1]
             ends = np.ones(len(of), dtype=bool)
             ends[:-1] = begins[1:]
-            use = ~begins & ~ends
+            use, into = ~begins & ~ends, high
         else:
-            use = (lengths < SHORT)[of]
-        names.append(mix(row[use] + np.uint64(level)))
-        at.append(of[use])
-    # Texts without any phrase so far (one symbol throughout) have their symbols.
-    bare = np.bincount(np.concatenate(at[1:]), minlength=n) == 0
-    use = bare[at[0]]
-    names[0], at[0] = mix(names[0][use]), at[0][use]
-    return _least(np.concatenate(names), np.concatenate(at), n)
+            use, into = ~bare[of], low
+        into[0].append(mix(row[use] + np.uint64(level)))
+        into[1].append(of[use])
+    return np.hstack([_least(np.concatenate(names), np.concatenate(at), n) for names, at in (high, low)])
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Share of equal bins, row by row, among those that either row has."""
-    used = ((a != 0) | (b != 0)).sum(axis=1)
-    same = ((a == b) & (a != 0)).sum(axis=1)
-    return np.where(used > 0, same / np.maximum(1, used), 1.0)
+    """Share of equal bins, row by row, among those that either row has; of ``LEVELS`` as far as both have them."""
+    used = ((a != 0) | (b != 0)).reshape(len(a), 2, BINS).sum(axis=2)
+    same = ((a == b) & (a != 0)).reshape(len(a), 2, BINS).sum(axis=2)
+    filled = np.minimum((a[:, :BINS] != 0).sum(axis=1), (b[:, :BINS] != 0).sum(axis=1))
+    high = np.minimum(1.0, filled / ENOUGH)
+    weight = np.stack((high, 1.0 - high), axis=1)
+    used, same = (used * weight).sum(axis=1), (same * weight).sum(axis=1)
+    return np.where(used > 0, same / np.where(used > 0, used, 1.0), 1.0)
 
 
 def text_form(sketch: np.ndarray) -> list[str]:
     """Fingerprints as hex digits."""
     raw = sketch.astype(">u2").tobytes().hex()
-    return [raw[i : i + BINS * 4] for i in range(0, len(raw), BINS * 4)]
+    return [raw[i : i + BINS * 8] for i in range(0, len(raw), BINS * 8)]
 
 
 def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:

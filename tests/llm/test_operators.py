@@ -305,6 +305,35 @@ def test_equal_substrings_share_inner_phrases():
     assert all(len(sets[0] & s) > 0.9 * len(sets[0]) for s in sets)
 
 
+def test_near_copies_are_like_at_every_length():
+    rng = np.random.default_rng(11)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), k)) for k in rng.integers(2, 9, 400)]
+    for n in (20, 50, 100, 150, 190, 199, 210, 250, 300, 400, 1000):
+        whole = [" ".join(rng.choice(vocabulary, n)) for _ in range(40)]
+        # Each text, its near copy with two more characters, and an unrelated one of equal length.
+        one, two, other = [[t[a:b] for t in whole] for a, b in ((0, n), (0, n + 2), (n + 2, 2 * n + 2))]
+        one, two, other = map(fingerprint.sketches, (one, two, other))
+        assert fingerprint.likeness(one, two).mean() > 0.6
+        assert fingerprint.likeness(one, other).mean() < 0.2
+
+
+def test_short_edits_keep_their_likeness():
+    rng = np.random.default_rng(12)
+    vocabulary = ["".join(rng.choice(list("abcdefghijklmnop"), k)) for k in rng.integers(2, 9, 400)]
+    whole = [" ".join(rng.choice(vocabulary, 100))[:300] for _ in range(40)]
+    cut = [fingerprint.edited(t, "the next one is this") for t in whole]
+    assert {len(t) for t in cut} == {170}
+    assert fingerprint.likeness(*map(fingerprint.sketches, (whole, cut))).mean() > 0.3
+
+
+def test_periodic_texts_have_their_phrases():
+    one, more, other = "abc" * 100, "abc" * 101, "acb" * 100
+    a, b, c = fingerprint.sketches([one, more, other])[:, None]
+    assert fingerprint.likeness(a, b) > 0.4 > 0.2 > fingerprint.likeness(a, c)
+    d, e, f = fingerprint.sketches(["a" * 500, "a" * 90, "b" * 500])[:, None]
+    assert fingerprint.likeness(d, e) == 1.0 and fingerprint.likeness(d, f) == 0.0
+
+
 def test_texts_do_not_change_each_other(texts):
     some = [texts[i] for i in sorted(texts)[:40]] + ["", "a", "aaaaaaaa", "ab", "日本語テキスト"]
     alone = np.concatenate([fingerprint.sketches([t]) for t in some])
