@@ -169,9 +169,10 @@ def scored(docs: DataFrame, text: str, chosen: np.ndarray, weights: np.ndarray,
 
 def sampled(ids: DataFrame, docs: DataFrame, id_col: str, text: str, bound: int, path: str, seed: int) -> DataFrame:
     """(label, text) of at most ``bound`` of ``ids(id, label)``: those of least hash that ``docs`` has, one row a text."""
-    few = ids.where(F.col("id").isNotNull() & F.col("label").isNotNull()).orderBy(F.xxhash64("id", F.lit(seed)), "id", "label").limit(bound)
-    few = save(few, f"{path}-ids")
     rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("text"))
+    # Ids that docs has not take no place; distinct, so that an id of many rows is one before it is dealt out.
+    held = ids.where(F.col("label").isNotNull()).join(rows.select("id").distinct(), "id", "left_semi")
+    few = save(held.orderBy(F.xxhash64("id", F.lit(seed)), "id", "label").limit(bound), f"{path}-ids")
     # At most ``bound`` ids and labels are broadcast.
     rows = rows.join(F.broadcast(few), "id").groupBy("id").agg(F.max(F.struct("text", "label")).alias("r"))
     # Copies of a text count once, else what is rare in it would look common.

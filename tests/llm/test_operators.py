@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tablegate.llm import fingerprint, langid, line_dedup, mixing, packing, quality_model, rules, sharding, simhash, toxicity
+from tablegate.llm import features, fingerprint, langid, line_dedup, mixing, packing, quality_model, rules, sharding, simhash, toxicity
 from tablegate.llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SF_BIG, SF_MID, SF_SMALL
 
@@ -538,6 +538,15 @@ def test_labels_are_needed_for_nothing(spark):
     assert all(r.kept for r in quality_model.grade_documents(odd, none).collect())
 
 
+def test_labels_of_unknown_documents_take_no_place(spark, scratch):
+    docs = spark.range(30).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
+    ids = spark.range(5000).select("id", (F.col("id") % 2).cast("int").alias("label"))
+    rows = features.sampled(ids, docs, "doc_id", "text", 20, f"{scratch}/some", 1).collect()
+    assert len(rows) == 20 and {r.label for r in rows} == {0, 1}
+    rows = features.sampled(ids, docs, "doc_id", "text", 100, f"{scratch}/all", 1).collect()
+    assert {(r.label, r.text) for r in rows} == {(i % 2, f"text {i}") for i in range(30)}
+
+
 # --- lines -------------------------------------------------------------------------------
 
 
