@@ -17,7 +17,9 @@ the task's rows of that shard, so that no shard is numbered in one task.
 Defined results: null and empty texts are one group; texts with equal hashes
 share a group; repeated rows keep slots of their own; an empty table gives an
 empty result; columns other than id and text are not looked at. A group larger
-than the mean shard makes the capacity at least its own size.
+than the mean shard makes the capacity at least its own size; where it is just
+that, the group has a shard of its own, and what lies before and after it is
+cut by the same search for the shards left over, and so on.
 """
 
 from __future__ import annotations
@@ -65,6 +67,10 @@ class _Profile:
             out.append((low, high))
         return out
 
+    def needed(self, capacity: int, shards: int, side: int) -> int:
+        """How many shards the greedy cut takes, by the largest offsets (side 1) or the least; more than ``shards`` if those are too few."""
+        return next((i for i, b in enumerate(self.bounds(capacity, shards), 1) if b[side] >= self.total), shards + 1)
+
     def least(self, low: int, high: int, feasible) -> int:
         """The least capacity in [low, high] of which ``feasible`` holds; it holds of ``high``."""
         while low < high:
@@ -83,25 +89,50 @@ class _Profile:
 
 def capacity_and_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
     """The least capacity, and the last key of each shard but the last; ``groups(key, size)``, keys distinct."""
+    capacity, largest, ends = _search(groups.withColumn("part", F.lit(0)), shards)
+    least, alone = capacity, []
+    while ends and least == largest:
+        # Such a group has a shard of its own, and what lies between them is cut for the shards left over.
+        alone = sorted([*alone, *(r[0] for r in groups.where(F.col("size") == largest).select("key").collect())])
+        keys = [F.lit(k).cast("long") for k in alone]
+        part = sum([F.when(F.col("key") > k, 1).otherwise(0) for k in keys], F.lit(0))
+        between = groups.where(~F.col("key").isin(keys)).withColumn("part", part)  # one scan, however many parts
+        least, largest, ends = _search(between, shards - len(alone))
+    # The last key of a shard is its greatest possible one; keys of groups that are alone end two shards.
+    return capacity, sorted({*ends, *alone})[:-1]
+
+
+def _search(groups: DataFrame, shards: int) -> tuple[int, int, list[int]]:
+    """The least capacity of ``shards`` for ``groups(key, size, part)``, whose parts share no shard; the largest group; the last keys of all shards."""
     width = (1 << 64) // RANGES
     shift = (width.bit_length() - 1)  # RANGES is a power of two, so a range is a run of leading bits
     bucket = F.shiftrightunsigned(F.col("key").bitwiseXOR(F.lit(-(1 << 63)).cast("long")), shift)
-    first = groups.groupBy(bucket.alias("b")).agg(F.sum("size"), F.count(F.lit(1)), F.max("size")).collect()
+    last = F.max("key").alias("last")
+    first = groups.groupBy("part", bucket.alias("b")).agg(F.sum("size"), F.count(F.lit(1)), F.max("size"), last).collect()
     if not first:
-        return 0, []
-    ranges = {(r[0] * width, width): (r[1], r[2]) for r in first}
-    total = sum(r[1] for r in first)
-    low, high = max(max(r[3] for r in first), -(-total // shards)), total
+        return 0, 0, []
+    present = sorted({r["part"] for r in first})
+    ranges = [{(r[1] * width, width): (r[2], r[3]) for r in first if r["part"] == k} for k in present]
+    ends = [max(r["last"] for r in first if r["part"] == k) for k in present]
+    total, largest = sum(r[2] for r in first), max(r[4] for r in first)
+    low, high = max(largest, -(-total // shards)), total
     while True:
-        profile = _Profile(ranges)
+        profiles = [_Profile(r) for r in ranges]
         # Whatever groups the ranges hold, the least capacity lies between these two.
-        low = profile.least(low, high, lambda c: profile.bounds(c, shards)[-1][1] >= total)
-        high = profile.least(low, high, lambda c: profile.bounds(c, shards)[-1][0] >= total)
-        at = [(a, b) for (a, _), (_, b) in zip(profile.bounds(low, shards), profile.bounds(high, shards), strict=True)]
-        if low == high and all(a == b for a, b in at):
-            index = [bisect_right(profile.ends, a) for a, _ in at]
-            return low, [profile.spans[i][0] - (1 << 63) - 1 for i in index if i < len(profile.spans)]
-        ranges = _finer(groups, ranges, profile.doubtful(at))
+        low = profiles[0].least(low, high, lambda c: sum(p.needed(c, shards, 1) for p in profiles) <= shards)
+        high = profiles[0].least(low, high, lambda c: sum(p.needed(c, shards, 0) for p in profiles) <= shards)
+        at = [
+            [(a, b) for (a, _), (_, b) in zip(p.bounds(low, shards), p.bounds(high, shards), strict=True)] for p in profiles
+        ]
+        if low == high and all(a == b for x in at for a, b in x):
+            keys = list(ends)
+            for p, x in zip(profiles, at, strict=True):
+                index = [bisect_right(p.ends, a) for a, _ in x]
+                keys += [p.spans[i][0] - (1 << 63) - 1 for i in index if i < len(p.spans)]
+            return low, largest, sorted(keys)
+        for k, (p, x) in enumerate(zip(profiles, at, strict=True)):
+            if doubtful := p.doubtful(x):
+                ranges[k] = _finer(groups.where(F.col("part") == present[k]), ranges[k], doubtful)
 
 
 def _finer(groups: DataFrame, ranges: dict, doubtful: list[tuple[int, int]]) -> dict:

@@ -216,6 +216,26 @@ def test_capacity_is_the_least(spark, docs, monkeypatch, ranges, finer):
     assert all(sorted(v) == list(range(len(v))) for v in slots.values()) and len(out) == docs.count()
 
 
+def test_a_hot_group_leaves_no_shard_empty(spark):
+    rng = np.random.default_rng(4)
+    sizes = {int(k): int(n) for k, n in zip(rng.integers(-(1 << 62), 1 << 62, 400), rng.integers(10, 100, 400), strict=True)}
+    keys = sorted(sizes)
+    sizes[keys[130]], sizes[keys[290]] = 12_000, 3_000
+    groups = spark.createDataFrame(list(sizes.items()), "key long, size long")
+    capacity, cuts = sharding.capacity_and_cuts(groups, 24)
+    loads = Counter()
+    for k in keys:
+        loads[sum(k > c for c in cuts)] += sizes[k]
+    parts = [[sizes[k] for k in x] for x in (keys[:130], keys[131:290], keys[291:])]
+
+    def needed(part, room):
+        return next((n for n in range(1, 25) if plain_capacity(part, n) <= room), 99)
+
+    rest = next(c for c in range(100, 12_000) if sum(needed(p, c) for p in parts) <= 22)
+    assert capacity == 12_000 and cuts == sorted(cuts) and sorted(loads) == list(range(len(cuts) + 1))
+    assert sorted(loads.values())[-3:] == [rest, 3_000, 12_000] and len(loads) > 20
+
+
 # --- mixing ------------------------------------------------------------------------------
 
 
