@@ -68,12 +68,32 @@ class WordTokenizer:
         self._bpe = self._model.model
         names = self._model.get_vocab()
         self._kind = "H" if max(names.values()) < 1 << 16 else "I"
-        marks = set(".!?…")
         self.ends_sentence = np.zeros(max(names.values()) + 1, dtype=bool)
+        bytes_of = {name: b for b, name in enumerate(map(chr, (_BYTE_NAMES.get(b, b) for b in range(256))))}
         for name, i in names.items():
             bare = name.removesuffix("</w>")
-            if bare != name and marks & set(bare) and not any(c.isalnum() for c in bare):
-                self.ends_sentence[i] = True
+            if bare != name and all(c in bytes_of for c in bare):
+                # A piece that begins inside a character is no mark of its own, see ``_endings``.
+                text = bytes(bytes_of[c] for c in bare).decode("utf-8", "replace")
+                if _MARKS & set(text) and "\ufffd" not in text and not any(c.isalnum() for c in text):
+                    self.ends_sentence[i] = True
+        # The ids of marks of several tokens, the last one first.
+        self._endings = []
+        for mark in sorted(_MARKS):
+            ids = self._model.encode(mark, add_special_tokens=False).ids
+            if len(ids) > 1:
+                self._endings.append(ids[::-1])
+
+    def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
+        """Places after the tokens that end a sentence."""
+        ends = self.ends_sentence[np.minimum(ids, len(self.ends_sentence) - 1)]
+        for last, *before in self._endings:
+            at = np.flatnonzero(ids == last)
+            for k, i in enumerate(before, 1):
+                at = at[at >= k]
+                at = at[ids[at - k] == i]
+            ends[at] = True
+        return np.flatnonzero(ends) + 1
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self._kind, ids).tobytes()
@@ -128,6 +148,7 @@ def _byte_names() -> dict[int, int]:
 
 _BYTE_NAMES = _byte_names()
 _SIGNS = ".,!?%$&*#|;:"
+_MARKS = frozenset(".!?…。．｡！？؟۔।॥")
 
 
 def _latin(text: str) -> bool:
@@ -201,8 +222,8 @@ def best_cuts(cuts: list[int], penalty: list[int], length: int) -> list[int]:
 class _Packer:
     """Packs a stream of documents, block by block."""
 
-    def __init__(self, ends_sentence: np.ndarray, length: int, fallback: int):
-        self.ends, self.length, self.fallback = ends_sentence, length, fallback
+    def __init__(self, sentence_ends: Callable[[np.ndarray], np.ndarray], length: int, fallback: int):
+        self.ends, self.length, self.fallback = sentence_ends, length, fallback
         self.sequence = 0
         self.docs: list[tuple[object, np.ndarray, int]] = []  # id, token ids, those of them that are packed
         self.held = 0
@@ -228,7 +249,7 @@ class _Packer:
         ids = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
         ends = np.cumsum([len(p) for p in parts], dtype=np.int64)
         whole = np.array([d + len(p) == n for (_, d, n), p in zip(keys, parts, strict=True)], dtype=bool)
-        inner = np.flatnonzero(self.ends[np.minimum(ids, len(self.ends) - 1)]) + 1
+        inner = self.ends(ids)
         # The end token is a document's last; a sentence that ends right before it is no better a cut.
         cuts, penalty = candidate_cuts(len(ids), ends[whole], np.setdiff1d(inner, ends[whole] - 1), self.fallback)
         chosen = best_cuts(cuts.tolist(), penalty.tolist(), self.length) if len(ids) else []
@@ -266,7 +287,7 @@ def _pack_partition(path: str, length: int, end_id: int, fallback: int, id_type:
         from pyspark import TaskContext
 
         encode = tokenizer(path)
-        packer = _Packer(encode.ends_sentence, length, fallback)
+        packer = _Packer(encode.sentence_ends, length, fallback)
         first = TaskContext.get().partitionId() << 33
         end = np.array([end_id], dtype=np.uint32)
         rows: list[tuple] = []

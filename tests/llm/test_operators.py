@@ -158,6 +158,15 @@ def test_word_by_word_ids_are_the_whole_texts(text):
     assert packing.tokenizer(TOKENS)(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("mark", list(".!?…。．｡！？؟۔।॥"))
+def test_marks_of_all_scripts_end_sentences(mark):
+    encode = packing.tokenizer(TOKENS)
+    one, two = encode(f"日本 word{mark}"), encode("日本 word")
+    assert encode.sentence_ends(one).tolist() == [len(one)] and encode.sentence_ends(two).tolist() == []
+    both = np.concatenate((one, two, one))
+    assert encode.sentence_ends(both).tolist() == [len(one), len(both)]
+
+
 def test_cuts_are_the_cheapest():
     rng = np.random.default_rng(0)
     for _ in range(30):
