@@ -1,6 +1,6 @@
 """Contract gate: annotate, split clean from rejected, count.
 
-``gate(df, contract)`` is one narrow projection: every field is coerced to
+``gate(df, contract)`` is narrow: every field is coerced to
 its target type and checked, and the row gets ``_violations``, an array of
 ``struct<field, rule, message, reason>`` with one entry per failing field. Nothing
 shuffles and nothing leaves the executors; ``clean`` and ``rejected`` are two
@@ -135,22 +135,21 @@ def _no_violation() -> Column:
     return F.array().cast(T.ArrayType(VIOLATION_TYPE))
 
 
-def _field_check(raw: Column, typed: Column, type_ok: Column, f: Field) -> Column:
+def _field_check(raw: Column, typed: Column, f: Field, same_type: bool) -> Column:
     """One CASE per field: required -> type -> rules; an empty array when fine.
 
     Arrays of zero or one element joined with ``concat`` keep the whole gate
     in whole-stage codegen (a ``filter(array, lambda)`` would not be).
     """
-    chain = None
+    chain = F
     if f.required:
-        chain = F.when(raw.isNull(), _violation(f.name, "required", "is required"))
-    type_bad = raw.isNotNull() & ~type_ok
-    type_v = _violation(f.name, "type", f"must be of type {f.dtype.simpleString()}")
-    chain = F.when(type_bad, type_v) if chain is None else chain.when(type_bad, type_v)
+        chain = chain.when(raw.isNull(), _violation(f.name, "required", "is required"))
+    if not same_type:  # a value that cannot be coerced is NULL where the raw one is not
+        chain = chain.when(raw.isNotNull() & typed.isNull(), _violation(f.name, "type", f"must be of type {f.dtype.simpleString()}"))
     for rule in f.rules:
         bad = typed.isNotNull() & ~F.coalesce(rule(typed), F.lit(False))
         chain = chain.when(bad, _violation(f.name, rule.name, rule.message))
-    return chain.otherwise(_no_violation())
+    return _no_violation() if chain is F else chain.otherwise(_no_violation())
 
 
 def quoted(name: str) -> str:
@@ -165,6 +164,14 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
     ``_raw_<field>`` copy only where the source type differs from the target
     type (so rejected rows can show what arrived), every other input column
     unchanged, and ``_violations``.
+
+    The gate has up to two stages, each an array of one element that a generator
+    unpacks: the coerced values, then the violations. Catalyst neither merges
+    expressions into a generator nor copies what it makes into a filter above
+    it, so each coercion and each rule is evaluated once per row, whatever is
+    done with the result; filters on other columns still pass through to the
+    scan. (As plain projections, every rule, ``_violations`` and every filter on
+    it would each hold their own copy of every coercion.)
     """
     clash = [c for c in df.columns if c in RESERVED or c.startswith(RAW_PREFIX)]
     if clash:
@@ -174,23 +181,23 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
     if alike:
         raise ValueError(f"columns {alike} differ in upper and lower case only; rename them first")
     types = {f.name: f.dataType for f in df.schema.fields}
-    typed_cols: list[Column] = []
-    raw_cols: list[Column] = []
-    checks: list[Column] = []
-    for f in contract.fields:
-        if f.name in types:
-            raw = F.col(quoted(f.name))
-            typed, type_ok = coerce(raw, types[f.name], f.dtype)
-            if types[f.name] != f.dtype:
-                raw_cols.append(raw.alias(RAW_PREFIX + f.name))
-        else:  # a missing column is a NULL column: it violates ``required``
-            raw = F.lit(None)
-            typed, type_ok = F.lit(None).cast(f.dtype), F.lit(True)
-        typed_cols.append(typed.cast(f.dtype).alias(f.name))
-        checks.append(_field_check(raw, typed, type_ok, f))
     extras = [F.col(quoted(c)) for c in df.columns if c not in contract.field_names]
+    same = [f for f in contract.fields if types.get(f.name) == f.dtype]
+    other = [f for f in contract.fields if f.name in types and f not in same]
+    missing = [f for f in contract.fields if f.name not in types]
+    # A missing column is a NULL column: it violates ``required``.
+    kept = [F.col(quoted(f.name)) for f in same] + [F.lit(None).cast(f.dtype).alias(f.name) for f in missing]
+    raws = [F.col(quoted(f.name)).alias(RAW_PREFIX + f.name) for f in other]
+    typed = [coerce(F.col(quoted(f.name)), types[f.name], f.dtype)[0].cast(f.dtype).alias(f.name) for f in other]
+    coerced = df.select(*extras, *kept, *raws, *([F.inline(F.array(F.struct(*typed)))] if typed else []))
+    checks = [
+        _field_check(F.col(quoted(RAW_PREFIX + f.name if f in other else f.name)), F.col(quoted(f.name)), f, f not in other)
+        for f in contract.fields
+    ]
     violations = F.concat(*checks) if checks else _no_violation()
-    return df.select(*typed_cols, *extras, *raw_cols, violations.alias(VIOLATIONS))
+    fields = [F.col(quoted(f.name)) for f in contract.fields]
+    raw_cols = [F.col(quoted(RAW_PREFIX + f.name)) for f in other]
+    return coerced.select(*fields, *extras, *raw_cols, F.explode(F.array(violations)).alias(VIOLATIONS))
 
 
 def is_clean() -> Column:

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tablegate.functions import rules
 from tablegate.operators import contract
+from tablegate.operators.contract import Contract, Field
 from tablegate.plans.contracts import TRANSACTION_CONTRACT
 from tablegate.sources import shapes
 from tablegate.sources.sinks import outcome_columns
@@ -57,7 +59,35 @@ def masked_rejects_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LONG_CONTRACT = Contract(
+    "long",
+    (
+        Field("email", T.StringType(), (rules.email(),)),
+        Field("name", T.StringType(), (rules.not_blank(),)),
+        Field("day", T.StringType(), (rules.iso_date(),)),
+        Field("id", T.LongType()),
+        Field("amount", T.DoubleType(), (rules.positive_amount(),)),
+        Field("price", T.DecimalType(18, 2)),
+    ),
+)
+
+
+def gate_long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule and coercion of strings on values of thousands to two million characters."""
+    source = shapes.long_values(spark, sf_dir)
+    value = F.col("value")
+    fields = source.select("customer_id", F.length(value).cast("long").alias("n_chars"), *[value.alias(f) for f in LONG_CONTRACT.field_names])
+    return contract.gate(fields, LONG_CONTRACT).select(
+        "customer_id",
+        "n_chars",
+        "id",
+        F.col("price").cast("string").alias("price"),
+        F.array_join(F.col("_violations")["field"], ",").alias("bad_fields"),
+    )
+
+
 QUERIES = {
+    "gate_long_values": gate_long_values,
     "rule_email_shapes": rule_email_shapes,
     "rule_not_blank_shapes": rule_not_blank_shapes,
     "rule_iso_date_shapes": rule_iso_date_shapes,

@@ -67,7 +67,25 @@ sv AS (
   FROM st)
 """
 
+# The long values: the fields they are no good for, their integer and their decimal.
+_TEXT = "email,day,id,amount,price"
+_LONG_BAD = {i: _TEXT for i in range(len(s.LONG))} | {
+    1: "email,day,id,price",
+    2: "email,day",
+    3: "email,day",
+    4: "email,name,day,id,amount,price",
+    10: "day,id,amount,price",
+    13: "email,day,id",
+}
+_LONG_ID = {2: "7", 3: "7"}
+_LONG_PRICE = {2: "'7.00'", 3: "'7.00'", 13: "'0.50'"}
+_LONG_KIND = f"c_custkey % {len(s.LONG)}"
+_LONG_TIMES = f"CASE WHEN c_custkey % {s.LONGEST[0]} = {s.LONGEST[1]} THEN {s.LONGEST_REPEATS} ELSE {s.LONG_REPEATS} END"
+_LONG_CHARS = _chosen(_LONG_KIND, {i: f"{len(unit)} * ({_LONG_TIMES}) + {len(tail)}" for i, (unit, tail) in enumerate(s.LONG)})
+
 ORACLE: dict[str, str] = {
+    "gate_long_values": f"SELECT c_custkey AS customer_id, ({_LONG_CHARS})::BIGINT AS n_chars, ({_chosen(_LONG_KIND, _LONG_ID)})::BIGINT AS id, "
+    f"{_chosen(_LONG_KIND, _LONG_PRICE)} AS price, {_chosen(_LONG_KIND, {i: _lit(b) for i, b in _LONG_BAD.items()})} AS bad_fields FROM customer",
     "rule_email_shapes": f"SELECT c_custkey AS customer_id, {_EMAIL_TEXT} AS email, "
     f"{_good('c_custkey', s.EMAILS, GOOD_EMAILS)} AS email_valid FROM customer",
     "rule_not_blank_shapes": f"SELECT c_custkey AS customer_id, {_good('c_custkey', s.NAMES, GOOD_NAMES)} AS name_not_blank FROM customer",

@@ -104,6 +104,32 @@ AMOUNT_TEXTS = {
     16: "-inf",
     17: "INF",
 }
+# Long values: so many times the unit, then the tail.
+LONG = (
+    ("a ", ""),
+    ("1_", "1"),
+    ("0_", "7"),
+    (" ", "7"),
+    (" ", ""),
+    (".", ""),
+    ("a.", "a@mail.com"),
+    ("9", "x"),
+    ("<", ""),
+    ("a@", "mail.com"),
+    ("", "user@mail.com"),
+    ("1e", "1"),
+    ("a ", "<user@mail.com>"),
+    ("0", ".50"),
+    ("-", "1"),
+    ("a@b.", "com"),
+    ("2025-01-01", ""),
+    ("\u3000", "a"),
+    ('"', "<user@mail.com>"),
+    ("1.", "0"),
+)
+LONG_REPEATS = 2_048
+LONGEST_REPEATS = 524_288
+LONGEST = (797, 5)
 KEY_LETTER = (37, 1)
 DATE_MISSING = (47, 4)
 # -----------------------------------------------------------------------------
@@ -136,6 +162,15 @@ def shaped_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(k.alias("transaction_id"), _shaped(k, DATES).alias("date"))
 
 
+def long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(customer_id, value)``: every customer with a long value, some of up to 2 MB."""
+    k = F.col("c_custkey")
+    modulus, residue = LONGEST
+    times = F.when(k % modulus == residue, F.lit(LONGEST_REPEATS)).otherwise(F.lit(LONG_REPEATS))
+    unit, tail = (F.element_at(F.array(*[F.lit(x[i]) for x in LONG]), (k % len(LONG) + 1).cast("int")) for i in (0, 1))
+    return table(spark, sf_dir, "customer").select(k.alias("customer_id"), F.concat(F.repeat(unit, times), tail).alias("value"))
+
+
 def string_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as four strings, some of them no numbers, or numbers of unusual shape."""
     k = F.col("o_orderkey")

@@ -1,0 +1,134 @@
+"""Values of any length get a verdict, and the gate evaluates each coercion and rule once."""
+
+import re
+from collections import Counter
+
+import pytest
+import regex
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tablegate.functions import coercion, rules
+from tablegate.operators import contract
+from tablegate.operators.contract import Contract, Field
+from tablegate.plans import shape_catalog
+from tablegate.plans.catalog import QUERIES
+from tablegate.plans.check import compare
+from tablegate.plans.explain import plan_text
+from tests.conftest import SF_SMALL
+
+UNITS = ["a ", "1_", "_1", " ", ".", "a.", "9", "<", "a@", "1e", "0", "-", "a@b.", '"', "　", "0.", "<a>", "a-", "\n", "(", "\U0001d49c"]
+
+
+def test_long_shapes_equal_their_twin(spark):
+    assert compare(spark, SF_SMALL, ["gate_long_values"])["gate_long_values"]["values_match"]
+
+
+@pytest.mark.parametrize("tail", ["", "x", "1", "@mail.com", "<a@mail.com>"])
+def test_a_megabyte_of_anything_gets_a_verdict(spark, tail):
+    df = spark.createDataFrame([(u,) for u in UNITS], "u string")
+    value = F.concat(F.repeat("u", 1_000_000), F.lit(tail))
+    rows = contract.gate(df.select("u", *[value.alias(f) for f in shape_catalog.LONG_CONTRACT.field_names]), shape_catalog.LONG_CONTRACT)
+    got = rows.select("u", F.col("_violations")["field"].alias("bad")).collect()
+    assert len(got) == len(UNITS)
+    assert all("email" in r.bad and "day" in r.bad for r in got)
+
+
+def test_each_coercion_and_rule_is_in_the_plan_once(spark):
+    for name in ("gate_strings_clean", "gate_strings_rejected", "masked_rejects_typed"):
+        plan = plan_text(QUERIES[name](spark, SF_SMALL), "simple")
+        # Two integers, a float and its two special forms; the date rule; nothing else matches a pattern.
+        assert plan.count("RLIKE(") == 6, name
+        assert plan.count("try_cast(replace(") == 1 and plan.count("try_cast(substring_index(") == 2
+        assert plan.count("try_cast(date") == 1
+    plan = plan_text(QUERIES["gate_customers_clean"](spark, SF_SMALL), "simple")
+    assert plan.count("(?i:arpa") == 2  # bare and named address, in one pattern
+    assert plan.count("RLIKE(") == 3
+
+
+def generated_method_sizes(spark, df):
+    plan = df._jdf.queryExecution().executedPlan()
+    debug = getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$").__getattr__("MODULE$")
+    parts = debug.codegenStringSeq(plan)
+    return [parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())]
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    for name in ("gate_strings_clean", "gate_strings_rejected", "masked_rejects_typed", "gate_transactions_clean", "gate_long_values"):
+        sizes = generated_method_sizes(spark, QUERIES[name](spark, SF_SMALL))
+        assert sizes and max(sizes) < 8_000, name
+
+
+def test_filters_on_other_columns_reach_the_scan(spark, scratch):
+    df = spark.range(100).selectExpr("id AS customer_id", "'a' AS name", "'a@b.co' AS email", "'X' AS country", "id % 7 AS day")
+    df.write.parquet(scratch + "/t")
+    gated = contract.clean(contract.gate(spark.read.parquet(scratch + "/t"), shape_catalog.Contract("c", (Field("customer_id", T.StringType()), Field("name", T.StringType()))))).where("day = 3")
+    assert re.search(r"PushedFilters: \[[^\]]*EqualTo\(day,3\)", plan_text(gated, "formatted"))
+
+
+# The rule as separate steps, in Python.
+ADDRESS = regex.compile(rules.EMAIL_PATTERN.replace(r"\z", r"\Z"))
+NAMED = regex.compile(r"^(?:[\p{L}\p{N}_!#$%&'*+/=?^`{|}~-]+(?:[ \t\n\x0b\f\r]+[\p{L}\p{N}_!#$%&'*+/=?^`{|}~-]+)*|\"[^\"]+\")?[ \t\n\x0b\f\r]*<([^<>]+)>\Z")
+
+
+def plain_email(value):
+    bare = value.strip()
+    m = NAMED.search(bare)
+    address = (m.group(1) if m else bare).strip()
+    domain = address.rpartition("@")[2].lower()
+    return bool(
+        len(value) <= 2048
+        and len(address) <= 254
+        and ADDRESS.search(address)
+        and len(address.partition("@")[0]) <= 64
+        and not any(len(x) >= 64 for x in domain.split("."))
+        and domain.rpartition(".")[2] not in rules.SPECIAL_USE_DOMAINS
+    )
+
+
+piece = st.sampled_from(["a", "Ann", "@", ".", "-", "<", ">", '"', " ", "\t", " ", "\x1c", "com", "test", "LOCAL", "localhost", "é", "1", "_", "mail.com", "a@b.co", "a" * 64, "b" * 63, "\n", ",", "x" * 190])
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(piece, max_size=8).map("".join), min_size=40, max_size=80))
+def test_email_pattern_equals_the_steps(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = [r[0] for r in df.select(rules.email()(F.col("v"))).collect()]
+    assert got == [plain_email(v) for v in values]
+
+
+def plain_float(text):
+    s = text.strip("".join(coercion.white_space()))
+    if s.startswith("_") or s.endswith("_") or "__" in s:
+        return False
+    return bool(re.fullmatch(r"[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?", s.replace("_", "")) or re.fullmatch(r"(?i)[+-]?(nan|inf|infinity)", s))
+
+
+def plain_int(text):
+    s = text.strip("".join(coercion.white_space()))
+    return bool(re.fullmatch(r"[+-]?[0-9]+(_[0-9]+)*(\.0+)?", s)) and abs(int(s.replace("_", "").split(".")[0])) < 2**63
+
+
+digit = st.sampled_from(["1", "0", "_", ".", "-", "+", "e", "E", " ", "\t", " ", "nan", "inf", "Infinity", "x", "00", "\n", "\x1c"])
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(digit, max_size=7).map("".join), min_size=40, max_size=80))
+def test_number_patterns_equal_the_steps(spark, values):
+    df = spark.createDataFrame([(v, v, v) for v in values], "i string, f string, d string")
+    c = Contract("n", (Field("i", T.LongType()), Field("f", T.DoubleType()), Field("d", T.DecimalType(10, 2))))
+    rows = contract.gate(df, c).select("_raw_i", "i", "f", "d", F.col("_violations")["field"].alias("bad")).collect()
+    assert Counter(r[0] for r in rows) == Counter(values)
+    for r in rows:
+        assert ("i" not in r.bad) == plain_int(r["_raw_i"]) and ("f" not in r.bad) == plain_float(r["_raw_i"])
+        if r.d is not None:
+            assert abs(float(r.d) - r.f) < 1e-6
+
+
+def test_decimals_of_many_characters(spark):
+    values = ["0" * 5000 + "1.50", "1." + "0" * 5000, "9" * 5000, "1" + "0" * 900, "-" + "0" * 3000 + ".25", "0" * 3000]
+    df = spark.createDataFrame([(v,) for v in values], "d string")
+    got = [r.d for r in contract.gate(df, Contract("n", (Field("d", T.DecimalType(10, 2)),))).collect()]
+    assert [None if d is None else str(d) for d in got] == ["1.50", None, None, None, "-0.25", "0.00"]
