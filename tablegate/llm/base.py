@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,6 +48,16 @@ def mapped(df: DataFrame, run: Callable, added: list[T.StructField]) -> DataFram
     return out.toDF(*df.columns, *[f.name for f in added])
 
 
+def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with the column ``name``, evaluated once per row.
+
+    The value goes through a generator over an array of one element: Catalyst
+    copies the expression of a projected column into filters on it and into
+    lambdas that use it, where it would be evaluated again for every element.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def quoted(name: str) -> str:
     """A column name that Spark reads as one name, dots included."""
     return "`" + name.replace("`", "``") + "`"

@@ -1,0 +1,291 @@
+"""Spelling variants, decontamination and whitening against brute force, and on odd tables."""
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tablegate.llm import spelling, whitening, winnowing
+from tablegate.llm.queries import QUERIES
+from tablegate.plans.explain import plan_text
+from tests.conftest import SF_MID, SF_SMALL
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+# --- spelling variants -------------------------------------------------------------------
+
+
+def plain_variants(rows, ratio=10):
+    counts = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'null' if i is None else i}:{run}".encode())
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            if len(run) >= 7:
+                counts[run] += 1
+    words = {w: n for w, n in counts.items() if n >= 2}
+    near, cut = defaultdict(set), defaultdict(list)
+    for w in words:
+        for i in range(len(w)):
+            rest = w[:i] + w[i + 1 :]
+            cut[i, rest].append(w)
+            if rest in words:
+                near[w].add(rest)
+                near[rest].add(w)
+    for group in cut.values():
+        for w in group:
+            near[w].update(x for x in group if x != w)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        if best is not None and words[best] >= ratio * n:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (form.get(w), root(w), n, len(near[w]), words[form[w]] if w in form else None) for w, n in words.items()}
+
+
+def variants(df, **more):
+    rows = spelling.spelling_variants(df, **more).collect()
+    assert len({r.word for r in rows}) == len(rows)
+    return {r.word: tuple(r)[1:] for r in rows}
+
+
+def test_variants_equal_brute_force(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    got = variants(docs)
+    assert got == plain_variants([(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()])
+    assert any(v[0] for v in got.values())
+
+
+def test_chains_of_forms_have_one_root(spark):
+    # Each word ten times the one before: a chain through all of them.
+    chain = ["abcdefg", "abcdefgh", "abcdefghi", "abcdefghix"]
+    rows = [(i, " ".join([w] * n)) for i, (w, n) in enumerate(zip(chain, (2, 20, 200, 2000), strict=True))]
+    got = variants(spark.createDataFrame(rows, "doc_id long, text string"))
+    want = plain_variants(rows)
+    assert got == want and sum(v[1] == "abcdefghix" for v in got.values()) >= 3
+
+
+def test_variants_of_close_words(spark):
+    # Few letters, so bigrams tie, repeat and overlap, and nearly all words have near words.
+    rng = np.random.default_rng(5)
+    words = ["".join(rng.choice(list("abé"), rng.integers(7, 11))) for _ in range(700)]
+    rows = [(None if i % 5 == 0 else i, " ".join(rng.choice(words, 60)) + " AAAAAAA aaaaaaaa ababababa") for i in range(60)]
+    got = variants(spark.createDataFrame(rows, "doc_id long, text string"), ratio=2)
+    assert got == plain_variants(rows, ratio=2)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abcd", min_size=7, max_size=10), st.integers(0, 10), st.sampled_from(["ins", "del", "sub"]), st.sampled_from("abcde"))
+def test_a_pivot_key_meets_a_prefix_key(word, place, kind, letter):
+    place %= len(word)
+    other = {"ins": word[:place] + letter + word[place:], "del": word[:place] + word[place + 1 :], "sub": word[:place] + letter + word[place + 1 :]}[kind]
+    if other == word or len(other) < 7:
+        return
+    counts = Counter(w[i : i + 2] for w in (word, other) for i in range(len(w) - 1))
+
+    def keys(w):
+        order = sorted(range(len(w) - 1), key=lambda p: (counts[w[p : p + 2]], w[p : p + 2], p))
+        bound = (counts[w[order[2] : order[2] + 2]], w[order[2] : order[2] + 2])
+        prefix = [p for p in order if (counts[w[p : p + 2]], w[p : p + 2]) <= bound]
+        two = spelling.pivots(order[:3], [counts[w[p : p + 2]] for p in order[:3]])
+        assert two[1] - two[0] >= 2
+        return set(spelling.index_keys(w, prefix)), set(spelling.query_keys(w, two))
+
+    (held, asked), (other_held, other_asked) = keys(word), keys(other)
+    assert asked & other_held or other_asked & held
+
+
+def test_pivots_are_the_lightest_disjoint_pair():
+    assert spelling.pivots([0, 1, 2], [5, 1, 5]) == (0, 2)
+    assert spelling.pivots([7, 0, 4], [3, 9, 1]) == (4, 7)
+
+
+# --- decontamination ---------------------------------------------------------------------
+
+
+def plain_leaks(docs, items, window=10):
+    pattern = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    wanted = defaultdict(set)
+    for i, text in items:
+        w = pattern.findall((text or "").translate(LOWER))
+        n = min(window, len(w))
+        for k in range(len(w) - n + 1 if n else 0):
+            wanted[tuple(w[k : k + n])].add("null" if i is None else str(i))
+    lengths = sorted({len(k) for k in wanted})
+    out = []
+    for i, text in docs:
+        w = pattern.findall((text or "").translate(LOWER))
+        hit, found = set(), set()
+        for n in lengths:
+            for k in range(len(w) - n + 1):
+                if (names := wanted.get(tuple(w[k : k + n]))) is not None:
+                    hit.update(range(k, k + n))
+                    found |= names
+        sha = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+        out.append((i, len(w), len(hit), len(found), sha, bool(hit)))
+    return Counter(out)
+
+
+def leaks(docs, items, **more):
+    return Counter(tuple(r) for r in winnowing.decontaminate(docs, items, **more).collect())
+
+
+def test_leaks_equal_brute_force_with_short_and_odd_items(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    items = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet").select("item_id", "text")
+    lines = docs.where("length(text) > 400").limit(6).collect()
+    words = [r.text.split() for r in lines]
+    odd = [
+        (None, " ".join(words[0][3:16]).upper()),
+        (901, " ".join(words[1][5:9])),
+        (902, words[2][7] + "!"),
+        (902, ", ".join(words[3][2:40])),
+        (903, None),
+        (904, "... --- ..."),
+        (905, " ".join(words[4][:10])),
+        (906, " ".join(words[4][:11])),
+        (906, " ".join(words[4][:11])),
+        (907, "la " * 30),
+    ]
+    more = [(None, "la " * 12), (7_000, None), (7_000, None), (7_001, ""), (7_002, " ".join(words[4][:10]) + " " + " ".join(words[4][:10])), (7_003, "École " * 12)]
+    all_docs = docs.union(spark.createDataFrame(more, docs.schema))
+    all_items = items.union(spark.createDataFrame(odd, items.schema))
+    want = plain_leaks([tuple(r) for r in all_docs.collect()], [tuple(r) for r in all_items.collect()])
+    assert leaks(all_docs, all_items) == want
+    assert sum(n for r, n in want.items() if r[5]) > 10
+    # Other gram lengths find the same spans, a gram as long as the window too.
+    for gram in (1, 10):
+        assert leaks(all_docs, all_items, gram=gram) == want
+
+
+def test_periodic_and_shared_passages(spark):
+    passage = " ".join(f"w{k}" for k in range(60))
+    docs = [(i, f"a{i} b {passage} c{i} " + "x y " * 40) for i in range(40)] + [(i, passage) for i in range(40, 80)]
+    items = [(i, f"q{i} {passage}") for i in range(30)] + [(99, "x y " * 8)]
+    got = leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert got == plain_leaks(docs, items)
+
+
+def test_decontamination_is_native(spark):
+    plan = plan_text(QUERIES["op12_decontamination"](spark, SF_SMALL), "simple")
+    assert not re.search("Python|Arrow|Pandas|CartesianProduct|NestedLoop", plan)
+
+
+# --- whitening ---------------------------------------------------------------------------
+
+
+def whitened(df, **more):
+    return whitening.whiten(df, **more).toPandas()
+
+
+def expected(vectors, count=4):
+    """n, deviations and whitened entries by plain double arithmetic on integer rows."""
+    x = np.unique(vectors, axis=0)
+    n, s = len(x), x.sum(axis=0)
+    z = x - s / n
+    e, u = np.linalg.eigh(z.T @ z / n)
+    e, u = e[::-1][:count], u[:, ::-1][:, :count]
+    w = (vectors - s / n) @ u / np.sqrt(e)
+    return n, ((n * vectors - s) ** 2).sum(axis=1), w, e / np.trace(z.T @ z / n)
+
+
+def test_whitening_equals_plain_eigenvectors(spark):
+    df = spark.read.parquet(f"{SF_MID}/embeddings.parquet")
+    rows = df.collect()
+    x = np.floor(256 * np.array([r.embedding for r in rows], dtype=np.float64)).astype(np.int64)
+    n, deviation, w, explained = expected(x)
+    got = whitened(df).set_index(["vec_id", "component"]).sort_index()
+    assert len(got) == 4 * len(rows) and (got.n == n).all() and got.identity_error.max() < 1e-9
+    for c in range(1, 5):
+        g = got.xs(c, level="component").loc[[r.vec_id for r in rows]]
+        assert (g.deviation.to_numpy() == deviation).all()
+        sign = np.sign(w[:, c - 1] @ g.whitened.to_numpy())
+        assert np.abs(sign * w[:, c - 1] - g.whitened).max() < 1e-9
+        assert abs(g.explained.iloc[0] - explained[c - 1]) < 1e-12
+
+
+def test_copies_count_once_and_partitions_do_not_matter(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(50, 6)) * [9, 5, 3, 2, 1, 0.5]
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    once = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    more = spark.createDataFrame(rows + rows[:9] * 40, "vec_id long, embedding array<double>").repartition(7)
+    a = whitened(once).drop_duplicates(["vec_id", "component"]).sort_values(["vec_id", "component"])
+    b = whitened(more)
+    assert len(b) == 4 * (50 + 360)
+    b = b.drop_duplicates(["vec_id", "component"]).sort_values(["vec_id", "component"])
+    assert a.drop(columns="identity_error").to_numpy().tolist() == b.drop(columns="identity_error").to_numpy().tolist()
+
+
+def test_clustered_eigenvalues_are_refined():
+    rng = np.random.default_rng(7)
+    q = np.linalg.qr(rng.normal(size=(12, 12)))[0]
+    values = np.array([5.0, 5.0 + 1e-9, 5.0 + 2e-9, 5.0 + 1e-6, 4.0, 4.0, 3.0, 2.0, 1.0, 1e-3, 1e-3 + 1e-10, 1e-5])
+    a = (q * values) @ q.T
+    a = (a + a.T) / 2
+    got, x = whitening.eigenvectors(a)
+    want = np.linalg.eigvalsh(a)
+    assert np.abs(got - want).max() < 1e-13 * 5
+    assert np.abs(x.T @ x - np.eye(12)).max() < 1e-14
+    assert np.abs(a @ x - x * got).max() < 1e-14 * 5
+    # Single precision alone is far from that.
+    rough = np.linalg.eigh(a.astype(np.float32))[1].astype(np.float64)
+    assert np.abs(a @ rough - rough * np.diag(rough.T @ a @ rough)).max() > 1e-9
+
+
+@pytest.mark.parametrize("a", [np.zeros((3, 3)), np.eye(4), np.diag([1.0, 1.0, 2.0]), np.ones((5, 5)), np.array([[7.0]])])
+def test_eigenvectors_of_degenerate_matrices(a):
+    values, x = whitening.eigenvectors(a)
+    assert np.abs(x.T @ x - np.eye(len(a))).max() < 1e-14 and np.abs(a @ x - x * values).max() < 1e-13
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [1.0, 2.0, 3.0]), (2, [1.5, 2.0, 3.0]), (2, [1.0, -2.0, 3.0]), (None, [0.0, 0.0, 0.5]), (3, None), (4, []),
+        (5, [1.0, None, 3.0]), (6, [nan, 1.0, 1.0]), (7, [inf, 1.0, 1.0]), (8, [1.0, 2.0]), (9, [1.0, 2.0, 3.0]), (10, [-0.0, 0.0, 0.5]),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("component", F.lit("x")).withColumn("n", F.lit(0))
+    got = whitened(df)
+    assert sorted(got.vec_id.dropna().unique()) == [1, 2, 9, 10] and len(got) == 3 * 6 and set(got.n) == {4}
+    assert got.identity_error.max() < 1e-9
+    for empty in (df.limit(0), df.where("vec_id = 3"), df.where("vec_id = 4")):
+        assert whitening.whiten(empty).collect() == []
+    one = whitened(df.where("vec_id = 1"))
+    assert set(one.whitened) == {0.0} and set(one.deviation) == {0} and set(one.explained) == {0.0}
+
+
+def test_huge_entries(spark):
+    rows = [(1, [1e30, 1.0]), (2, [-1e30, 2.0]), (3, [5.0, 2.0])]
+    got = whitened(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert len(got) == 6 and got[got.vec_id < 3].deviation.isna().all() and np.isfinite(got.whitened).all() and got.identity_error.max() < 1e-9
+
+
+# --- odd tables --------------------------------------------------------------------------
+
+
+def test_odd_documents(spark):
+    rows = [(None, None, "x"), (1, "", "x"), (2, "a " * 60_000, None), (2, "Wörterbuch wörterbuch Wörterbücher " * 3, "x"), (2, "Wörterbuch wörterbuch Wörterbücher " * 3, "x"), (3, "\n\t 12 ..", "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, word string")
+    docs = docs.withColumns({c: F.lit(1) for c in ("n", "k1", "k2", "words", "first", "runs", "key", "a", "h", "item", "each", "`x.y`")})
+    items = spark.createDataFrame([(1, "a a a", "x"), (None, None, "x")], "item_id long, text string, doc_id string")
+    plain = [(r[0], r[1]) for r in rows]
+    assert variants(docs) == plain_variants(plain)
+    assert leaks(docs, items) == plain_leaks(plain, [(1, "a a a"), (None, None)])
+    assert variants(docs.limit(0)) == {} and leaks(docs.limit(0), items) == Counter()
+    assert leaks(docs, items.limit(0)) == plain_leaks(plain, [])
