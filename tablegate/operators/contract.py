@@ -23,6 +23,7 @@ from tablegate.functions.rules import Rule
 VIOLATIONS = "_violations"
 REASON = "rejection_reason"
 RAW_PREFIX = "_raw_"
+CORRUPT = "_corrupt_record"  # a line that its reader could not take apart
 RESERVED = (VIOLATIONS, "_gate")  # columns the gate and the split write add
 
 VIOLATION_TYPE = T.StructType(
@@ -165,6 +166,9 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
     type (so rejected rows can show what arrived), every other input column
     unchanged, and ``_violations``.
 
+    A row whose ``_corrupt_record`` (see ``tablegate.sources.text``) is not NULL
+    has that as its one violation.
+
     The gate has up to two stages, each an array of one element that a generator
     unpacks: the coerced values, then the violations. Catalyst neither merges
     expressions into a generator nor copies what it makes into a filter above
@@ -195,6 +199,10 @@ def gate(df: DataFrame, contract: Contract) -> DataFrame:
         for f in contract.fields
     ]
     violations = F.concat(*checks) if checks else _no_violation()
+    if CORRUPT in df.columns and CORRUPT not in contract.field_names:
+        # What was read of a broken line means nothing, so that is its one violation.
+        broken = _violation(CORRUPT, "corrupt", "line cannot be read")
+        violations = F.when(F.col(CORRUPT).isNotNull(), broken).otherwise(violations)
     fields = [F.col(quoted(f.name)) for f in contract.fields]
     raw_cols = [F.col(quoted(RAW_PREFIX + f.name)) for f in other]
     return coerced.select(*fields, *extras, *raw_cols, F.explode(F.array(violations)).alias(VIOLATIONS))
@@ -211,7 +219,7 @@ def _raw_fields(annotated: DataFrame) -> list[str]:
 
 def clean(annotated: DataFrame) -> DataFrame:
     """Rows with no violation, contract fields carrying their typed values."""
-    drop = [VIOLATIONS, *_raw_fields(annotated)]
+    drop = [VIOLATIONS, CORRUPT, *_raw_fields(annotated)]
     return annotated.filter(is_clean()).drop(*drop)
 
 

@@ -12,7 +12,8 @@ task in the shuffle), counts dimension copies per (key, group), joins the two
 compact frames and sums ``key_total * copies`` per group. That is exactly
 ``sum(amount)`` over the inner join, fan-out of duplicate keys included.
 Amounts that are no such decimal (NaN, infinite, out of range, more digits)
-are counted and summed apart as doubles: they are never dropped or rounded.
+are counted and summed apart, exactly too: they are never dropped, and their
+total is the same double under any partitioning.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablegate.functions import exact_sum
+from tablegate.session import materialize, run_folder
+
 DEFAULT_PRECISION = 18
 DEFAULT_SCALE = 2
 
@@ -71,15 +75,17 @@ def key_sums(
     precision: int = DEFAULT_PRECISION,
     scale: int = DEFAULT_SCALE,
 ) -> DataFrame:
-    """Per-key sums -> ``(key, _key_total, _key_rest, _key_inexact)``.
+    """Per-key sums -> ``(key, _bin, _key_total, _key_units, _key_inexact)``.
 
-    ``_key_total`` adds the amounts that are exact decimals; the others are
-    counted and added as doubles (``_key_rest``), so none is lost or rounded.
+    ``_key_total`` adds the amounts that are exact decimals, in the row whose
+    ``_bin`` is NULL; the others are counted and added as whole units of their
+    bin (``tablegate.functions.exact_sum``), so none is lost or rounded.
     """
     odd = inexact(amount, precision, scale)
-    return facts.groupBy(key).agg(
+    value = F.when(odd, F.col(amount).try_cast("double"))
+    return facts.groupBy(key, exact_sum.bin_of(value).alias("_bin")).agg(
         F.sum(F.when(~odd, exact(amount, precision, scale))).alias("_key_total"),
-        F.sum(F.when(odd, F.col(amount).try_cast("double"))).alias("_key_rest"),
+        F.sum(exact_sum.units(value)).alias("_key_units"),
         F.count_if(odd).alias("_key_inexact"),
     )
 
@@ -111,10 +117,17 @@ def group_totals(
     """
     sums = key_sums(facts, key, amount, precision, scale)
     copies = key_groups(dims, key, group)
-    totals = sums.join(copies, on=key, how="inner").groupBy(group).agg(
+    # Bins of a group are added up first: one row per group and bin, however many keys.
+    binned = sums.join(copies, on=key, how="inner").groupBy(group, "_bin").agg(
         F.sum(times_copies("_key_total", "_copies", precision)).alias("_exact"),
-        F.sum(F.col("_key_rest") * F.col("_copies")).alias("_rest"),
-        F.sum(F.col("_key_inexact") * F.col("_copies")).alias(f"{alias}_inexact"),
+        F.sum(times_copies("_key_units", "_copies", exact_sum.UNITS_PRECISION)).alias("_units"),
+        F.sum(F.col("_key_inexact") * F.col("_copies")).alias("_inexact"),
+    )
+    units = F.when(F.col("_bin").isNotNull(), F.struct(F.col("_bin").alias("bin"), F.col("_units").alias("units")))
+    totals = binned.groupBy(group).agg(
+        F.sum("_exact").alias("_exact"),
+        F.sum("_inexact").alias(f"{alias}_inexact"),
+        exact_sum.total(F.collect_list(units)).alias("_rest"),
     )
     whole = F.col("_exact").cast(T.DecimalType(38, scale))
     out = plus_rest(whole, F.col("_rest")) if as_double else whole
@@ -136,11 +149,18 @@ def order_desc(df: DataFrame, by: str, tiebreak: str | None = None) -> DataFrame
 
 
 def ranked_desc(totals: DataFrame, by: str, tiebreak: str, alias: str = "position") -> DataFrame:
-    """``order_desc``'s order as a column, 1 for the first row.
+    """``order_desc``'s order as a column, 1 for the first row, at any number of rows.
 
-    One window over all rows, which one task sorts: for reports of totals, one
-    row per group, whose groups are few (countries). ``order_desc`` sorts any
-    number of them in ranges.
+    Rows are sorted in ranges, as ``order_desc`` does, and written with their
+    place: the range and the row within it. A row's position is its place plus
+    the sizes of the ranges before, which are one number per range.
     """
-    order = Window.orderBy(F.col(by).desc_nulls_last(), F.col(tiebreak).asc_nulls_last())
-    return totals.withColumn(alias, F.row_number().over(order).cast("bigint"))
+    path = run_folder(totals.sparkSession, "ranking")
+    place = "_place"
+    rows = materialize(order_desc(totals, by, tiebreak).withColumn(place, F.monotonically_increasing_id()), path)
+    part, within = F.shiftright(place, 33), F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    numbered = rows.withColumn("_part", part).join(starts, "_part")
+    return numbered.select(*totals.columns, (F.col("_start") + within + 1).cast("bigint").alias(alias))

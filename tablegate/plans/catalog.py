@@ -236,6 +236,21 @@ def totals_inexact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.to_double(out, ["raw_total", "clean_total"])
 
 
+def totals_as_doubles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 where some amounts are no exact decimals: each country's total as a double, by name where it is no number.
+
+    ``finite`` totals leave the amounts that are NaN or infinite aside; ``all`` totals hold them.
+    """
+    c, t = _customers(spark, sf_dir), dirty.inexact_transactions(spark, sf_dir)
+    parts = []
+    for kind, facts in (("finite", t.filter(rules.finite()(F.col("amount")))), ("all", t)):
+        total = F.col("total_amount")
+        special = F.when(F.isnan(total), F.lit("nan")).when(total == float("inf"), F.lit("inf")).when(total == float("-inf"), F.lit("-inf"))
+        sums = enrich.group_totals(facts, c.filter(F.col("country").isNotNull()))
+        parts.append(sums.select(F.lit(kind).alias("kind"), "country", F.when(special.isNull(), total).alias("total"), special.alias("special")))
+    return contract.union_all(parts)
+
+
 def reconciliation_inexact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A5 where some amounts are no exact decimals: their groups are mismatches."""
     cmp = reconcile.fused_comparison(_inexact_fused(spark, sf_dir))
@@ -390,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "delta_ranking": delta_ranking,
     "totals_inexact": totals_inexact,
     "reconciliation_inexact": reconciliation_inexact,
+    "totals_as_doubles": totals_as_doubles,
     "masked_rejects": masked_rejects,
     "audit_summary": audit_summary,
     "audit_report": audit_report,

@@ -280,11 +280,13 @@ def main(argv: list[str] | None = None) -> int:
 
     from tablegate.session import build_session
     from tablegate.sources import dirty
+    from tablegate.sources.text import FORMATS, read_text
 
     ap = argparse.ArgumentParser(prog="tablegate-audit")
     ap.add_argument("--customers")
     ap.add_argument("--transactions")
-    ap.add_argument("--format", default="parquet")
+    ap.add_argument("--format", default="parquet", help="parquet, orc, ...; csv and json are read as text and typed by the gate")
+    ap.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="reader option, e.g. sep=; (may be repeated)")
     ap.add_argument("--sf-dir", help="derive dirty sources from <dir>/{customer,nation,orders}.parquet")
     ap.add_argument("--output", help="output folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--mask", default="", help="comma-separated PII columns to hash in outputs")
@@ -300,22 +302,30 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = build_session()
-    if args.sf_dir:
-        dims, facts = dirty.dirty_customers(spark, args.sf_dir), dirty.dirty_transactions(spark, args.sf_dir)
-    elif args.customers and args.transactions:
-        dims = spark.read.format(args.format).load(args.customers)
-        facts = spark.read.format(args.format).load(args.transactions)
-    else:
-        ap.error("give --sf-dir or both --customers and --transactions")
     def load(path, default):
         if not path:
             return default
         with open(path, encoding="utf-8") as fh:
             return Contract.from_spec(json.load(fh))
 
+    contracts = load(args.customers_contract, CUSTOMER_CONTRACT), load(args.transactions_contract, TRANSACTION_CONTRACT)
+    options = dict(o.split("=", 1) for o in args.option)
+
+    def source(path, contract):
+        if args.format in FORMATS:
+            return read_text(spark, path, contract, args.format, **options)
+        return spark.read.format(args.format).options(**options).load(path)
+
+    if args.sf_dir:
+        dims, facts = dirty.dirty_customers(spark, args.sf_dir), dirty.dirty_transactions(spark, args.sf_dir)
+    elif args.customers and args.transactions:
+        dims, facts = source(args.customers, contracts[0]), source(args.transactions, contracts[1])
+    else:
+        ap.error("give --sf-dir or both --customers and --transactions")
+
     cfg = AuditConfig(
-        dims_contract=load(args.customers_contract, CUSTOMER_CONTRACT),
-        facts_contract=load(args.transactions_contract, TRANSACTION_CONTRACT),
+        dims_contract=contracts[0],
+        facts_contract=contracts[1],
         key=args.key,
         group=args.group,
         amount=args.amount,

@@ -11,6 +11,7 @@ from __future__ import annotations
 from tablegate.functions import rules
 from tablegate.operators.report import DEFAULT_EMAIL_TO, DEFAULT_SUBJECT, DEFAULT_WEBHOOK_URL
 from tablegate.plans.shape_oracle import ORACLE as SHAPE_ORACLE
+from tablegate.sources import shapes as s
 from tablegate.sources import dirty as d
 
 
@@ -233,7 +234,35 @@ px AS (
   WHERE t.amount IS NOT NULL AND c.country IS NOT NULL
   GROUP BY c.country)"""
 
+# Sums of the amounts that are no decimals: whole eighths, added as integers and rounded once at the end.
+_EIGHTHS = "sum(CASE WHEN t.odd AND NOT isnan(t.amount) AND NOT isinf(t.amount) THEN CAST(t.amount * 8 AS HUGEINT) END)"
+_ROUNDED = "CAST(e // 4294967296 AS DOUBLE) * 4294967296.0::DOUBLE / 8 + CAST(e % 4294967296 AS DOUBLE) / 8"
+DOUBLES = f"""dd AS (
+  SELECT country, CASE WHEN e IS NULL THEN x WHEN x IS NULL THEN r ELSE x + r END AS total, nan, inf
+  FROM (SELECT *, CASE WHEN e IS NOT NULL THEN {_ROUNDED.replace('e //', 'abs(e) //').replace('e %', 'abs(e) %')} END * sign(e) AS r FROM (
+    SELECT c.country, CAST(sum(CASE WHEN NOT t.odd THEN {_dec('CASE WHEN t.odd THEN 0 ELSE t.amount END')} END) AS DOUBLE) AS x,
+      {_EIGHTHS} AS e, count(*) FILTER (WHERE isnan(t.amount)) AS nan, count(*) FILTER (WHERE isinf(t.amount)) AS inf
+    FROM tx t JOIN dc c ON t.customer_id = c.customer_id WHERE c.country IS NOT NULL GROUP BY c.country)))"""
+
+# CSV lines: which of them are broken, and what they are.
+LINES = f"""li AS (
+  SELECT *, CASE
+      WHEN {_m('transaction_id', s.LINE_CUT)} THEN head
+      WHEN {_m('transaction_id', s.LINE_LONG)} THEN head || ',' || tail || ',more'
+      WHEN {_m('transaction_id', s.LINE_QUOTE)} THEN head || ',"' || tail END AS line
+  FROM (SELECT *, transaction_id || ',' || customer_id AS head, coalesce(CAST({_dec('amount')} AS VARCHAR), '') || ',' || date AS tail FROM tg))"""
+
 ORACLE: dict[str, str] = {
+    "totals_as_doubles": _with(DX, DOUBLES)
+    + "SELECT 'finite' AS kind, country, total, NULL AS special FROM dd UNION ALL "
+    "SELECT 'all', country, CASE WHEN nan = 0 AND inf = 0 THEN total END, CASE WHEN nan > 0 THEN 'nan' WHEN inf > 0 THEN 'inf' END FROM dd",
+    "gate_text_clean": _with(LINES) + "SELECT transaction_id, customer_id, amount, date FROM li WHERE line IS NULL AND ok",
+    "gate_text_rejected": _with(LINES)
+    + "".join(
+        f"{'SELECT' if f == T_FIELDS[0] else ','} CASE WHEN line IS NULL THEN CAST({_dec(f) if f == 'amount' else f} AS VARCHAR) END AS {f}" for f in T_FIELDS
+    )
+    + ", line, CASE WHEN line IS NULL THEN rejection_reason ELSE '_corrupt_record: line cannot be read' END AS rejection_reason "
+    "FROM li WHERE line IS NOT NULL OR NOT ok",
     "totals_inexact": _with(DX)
     + "SELECT country, CAST(raw_total AS DOUBLE) AS raw_total, CAST(clean_total AS DOUBLE) AS clean_total, "
     "raw_pairs, clean_pairs, raw_inexact, clean_inexact, raw_nan FROM px",

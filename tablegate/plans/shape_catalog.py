@@ -10,8 +10,10 @@ from tablegate.functions import rules
 from tablegate.operators import contract
 from tablegate.operators.contract import Contract, Field
 from tablegate.plans.contracts import TRANSACTION_CONTRACT
+from tablegate.session import run_folder
 from tablegate.sources import shapes
 from tablegate.sources.sinks import outcome_columns
+from tablegate.sources.text import read_text
 
 
 def rule_email_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +88,28 @@ def gate_long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _text_gated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions written as CSV lines to the shared folder, read back as text and gated."""
+    path = f"{run_folder(spark, 'lines')}/transactions"
+    shapes.transaction_lines(spark, sf_dir).write.text(path)
+    return contract.gate(read_text(spark, path, TRANSACTION_CONTRACT, columns=TRANSACTION_CONTRACT.field_names), TRANSACTION_CONTRACT)
+
+
+def gate_text_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contract.clean(_text_gated(spark, sf_dir))
+
+
+def gate_text_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines: the fields of those that could be read, the whole line of those that could not."""
+    rows = contract.rejected(_text_gated(spark, sf_dir))
+    line = F.col(contract.CORRUPT)
+    fields = [F.when(line.isNull(), F.col(f)).alias(f) for f in TRANSACTION_CONTRACT.field_names]
+    return rows.select(*fields, line.alias("line"), "rejection_reason")
+
+
 QUERIES = {
+    "gate_text_clean": gate_text_clean,
+    "gate_text_rejected": gate_text_rejected,
     "gate_long_values": gate_long_values,
     "rule_email_shapes": rule_email_shapes,
     "rule_not_blank_shapes": rule_not_blank_shapes,

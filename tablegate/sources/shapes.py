@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablegate.sources.dirty import table
+from tablegate.sources.dirty import dirty_transactions, table
 
 # --- Fixed values: what arrives, ``{k}`` being the row's key ------------------
 EMAILS = (
@@ -130,6 +130,10 @@ LONG = (
 LONG_REPEATS = 2_048
 LONGEST_REPEATS = 524_288
 LONGEST = (797, 5)
+# Broken lines: cut after two fields, a field too many, a quote that does not end.
+LINE_CUT = (53, 7)
+LINE_LONG = (59, 8)
+LINE_QUOTE = (61, 9)
 KEY_LETTER = (37, 1)
 DATE_MISSING = (47, 4)
 # -----------------------------------------------------------------------------
@@ -171,6 +175,21 @@ def long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(k.alias("customer_id"), F.concat(F.repeat(unit, times), tail).alias("value"))
 
 
+def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(value)``: the dirty transactions as CSV lines without a header, some of them broken."""
+    t = dirty_transactions(spark, sf_dir)
+    k = F.col("transaction_id")
+    head = F.concat_ws(",", k, "customer_id")
+    tail = F.concat_ws(",", F.coalesce(F.col("amount").cast("decimal(18,2)").cast("string"), F.lit("")), "date")
+    hit = {m: k % m == r for m, r in (LINE_CUT, LINE_LONG, LINE_QUOTE)}
+    line = (
+        F.when(hit[LINE_CUT[0]], head)
+        .when(hit[LINE_LONG[0]], F.concat_ws(",", head, tail, F.lit("more")))
+        .when(hit[LINE_QUOTE[0]], F.concat(head, F.lit(',"'), tail))
+    )
+    return t.select(F.coalesce(line, F.concat_ws(",", head, tail)).alias("value"))
+
+
 def string_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as four strings, some of them no numbers, or numbers of unusual shape."""
     k = F.col("o_orderkey")

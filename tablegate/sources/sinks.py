@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tablegate.operators.contract import VIOLATIONS, gate_count_columns, is_clean, quoted, rejected
+from tablegate.operators.contract import CORRUPT, VIOLATIONS, gate_count_columns, is_clean, quoted, rejected
 
 logger = logging.getLogger(__name__)
 
@@ -107,7 +107,7 @@ def write_split(
     written = spark.read.schema(tagged.schema).parquet(path)
     # The partition value is the outcome: clean reads never touch ``_violations``.
     raw_copies = [c for c in written.columns if c.startswith("_raw_")]
-    clean_part = written.filter(F.col(GATE_COLUMN) == "clean").drop(GATE_COLUMN, VIOLATIONS, *raw_copies)
+    clean_part = written.filter(F.col(GATE_COLUMN) == "clean").drop(GATE_COLUMN, VIOLATIONS, CORRUPT, *raw_copies)
     rejected_part = written.filter(F.col(GATE_COLUMN) == "rejected").drop(GATE_COLUMN)
     logger.info("%s: %d clean, %d rejected", entity, counts["clean_rows"], counts["rejected_rows"])
     return Split(
