@@ -55,7 +55,9 @@ class WordTokenizer:
 
     The tokenizer drops white space and its pieces never cross it, so a text's
     ids are those of its words in a row. Words repeat, so their ids are kept
-    (two or four bytes an id) until there are too many and it begins anew.
+    (two or four bytes an id) until there are too many and it begins anew. Marks
+    that stand for a token of their own (``<|endoftext|>``) get its id, as in
+    the tokenizer as loaded.
     """
 
     def __init__(self, path: str):
@@ -63,6 +65,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self._model = Tokenizer.from_file(path)
+        # Marks of tokens of their own are cut out first, as they stand; words are then ordinary text.
+        self._added = {t.content: i for i, t in self._model.get_added_tokens_decoder().items()}
+        marks = sorted(self._added, key=len, reverse=True)
+        self._marks = re.compile("(" + "|".join(map(re.escape, marks)) + ")") if marks else None
         self._model.encode_special_tokens = True
         self._known: dict[str, bytes] = {}
         self._bpe = self._model.model
@@ -130,6 +136,13 @@ class WordTokenizer:
         self._known[piece] = ids
 
     def __call__(self, text: str) -> np.ndarray:
+        if self._marks is None or not self._marks.search(text):
+            return self._ids(text)
+        parts = self._marks.split(text)  # every second part is a mark
+        return np.concatenate([np.array([self._added[p]], dtype=np.uint32) if k % 2 else self._ids(p) for k, p in enumerate(parts)])
+
+    def _ids(self, text: str) -> np.ndarray:
+        """Ids of a text without marks."""
         # Lower case beforehand merges more words; done where it is letter by letter.
         words = _words(text.lower() if _latin(text) else text)
         parts = list(map(self._known.get, words))

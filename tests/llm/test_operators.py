@@ -130,7 +130,6 @@ def test_pieces_hold_every_id_once(spark):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(TOKENS)
-    plain.encode_special_tokens = True
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     ids = {r.doc_id: [*plain.encode(r.text or "", add_special_tokens=False).ids, 1] for r in docs.collect()}
     rows = packing.pack(docs, TOKENS).collect()
@@ -150,12 +149,11 @@ def test_pieces_hold_every_id_once(spark):
     assert sum(map(len, ids.values())) > 0.9 * 2048 * len(by_sequence)
 
 
-@pytest.mark.parametrize("text", ["", " ", "a b", "x\x1cy \xa0z", "İstanbul ΣΑΣ é", "<|endoftext|> hi", "don't I'LL", "日本 ﬁ ½²_y a1b2", "ẞ ß ... wh.?!"])
+@pytest.mark.parametrize("text", ["", " ", "a b", "x\x1cy \xa0z", "İstanbul ΣΑΣ é", "<|endoftext|> hi", "a <|endoftext|> b<|startoftext|>c.<|endoftext|>", "<|ENDOFTEXT|> <|endoftext|!", "don't I'LL", "日本 ﬁ ½²_y a1b2", "ẞ ß ... wh.?!"])
 def test_word_by_word_ids_are_the_whole_texts(text):
     from tokenizers import Tokenizer
 
     plain = Tokenizer.from_file(TOKENS)
-    plain.encode_special_tokens = True
     assert packing.tokenizer(TOKENS)(text).tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
@@ -571,9 +569,9 @@ def test_labels_are_needed_for_nothing(spark):
 def test_labels_of_unknown_documents_take_no_place(spark, scratch):
     docs = spark.range(30).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"))
     ids = spark.range(5000).select("id", (F.col("id") % 2).cast("int").alias("label"))
-    rows = features.sampled(ids, docs, "doc_id", "text", 20, f"{scratch}/some", 1).collect()
+    rows = features.sampled(docs, ids, "doc_id", "text", 20, f"{scratch}/some", 1).collect()
     assert len(rows) == 20 and {r.label for r in rows} == {0, 1}
-    rows = features.sampled(ids, docs, "doc_id", "text", 100, f"{scratch}/all", 1).collect()
+    rows = features.sampled(docs, ids, "doc_id", "text", 100, f"{scratch}/all", 1).collect()
     assert {(r.label, r.text) for r in rows} == {(i % 2, f"text {i}") for i in range(30)}
 
 
