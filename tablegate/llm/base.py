@@ -58,6 +58,11 @@ def computed(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+def plain_names(df: DataFrame, *named: str) -> tuple[DataFrame, ...]:
+    """``df`` with its columns named c0, c1, ..., so that no name of its own is in the way, and the new names of ``named``."""
+    return df.toDF(*[f"c{k}" for k in range(len(df.columns))]), *[f"c{df.columns.index(n)}" for n in named]
+
+
 def quoted(name: str) -> str:
     """A column name that Spark reads as one name, dots included."""
     return "`" + name.replace("`", "``") + "`"

@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tablegate.llm.base import WORD_PATTERN, quoted, save, workspace
+from tablegate.llm.base import WORD_PATTERN, plain_names, quoted, save, workspace
 
 WEIGHTS = (3, 1, 2)
 VOLUME = 1.5
@@ -136,15 +136,15 @@ def _rows(docs: DataFrame, place: Column, id_col: str, source: str, text: str, q
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     weight = F.coalesce((quality if quality is not None else text_quality(body)).cast("double"), F.lit(0.0))
     weight = F.greatest(F.when(F.isnan(weight), F.lit(0.0)).otherwise(weight), F.lit(LEAST_QUALITY))
-    # u in (0, 1]; -ln(u) / q orders as 1 - u^(1/q) does, which lies in [0, 1).
+    # u in (0, 1]; the key k = -ln(u) / q orders as k / (1 + k) does, which lies in [0, 1) and keeps large keys apart.
     u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(quoted(id_col)), body), 11) + 1) / F.lit(float(1 << 53))
     return docs.select(
         F.col(quoted(id_col)).alias("id"),
         F.col(quoted(source)).alias("source"),
         F.regexp_count(body, F.lit(WORD_PATTERN)).cast("long").alias("size"),
-        F.least(-F.expm1(F.ln(u) / weight), F.lit(1.0 - 2.0**-50)).alias("point"),
+        (-F.ln(u) / weight).alias("key"),
         place.alias("place"),
-    ).withColumn("part", F.shiftright("place", 33))
+    ).select("id", "source", "size", (F.col("key") / (1.0 + F.col("key"))).alias("point"), "place", F.shiftright("place", 33).alias("part"))
 
 
 def mix(
@@ -167,9 +167,6 @@ def mix(
     return out.select(F.col("id").alias(id_col), "size", F.col("source_size").cast("long"), "target", taken, F.col("times").cast("int"))
 
 
-PLACE, TIMES = "__tg_place", "__tg_times"
-
-
 def mixed_documents(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -183,10 +180,11 @@ def mixed_documents(
 ) -> DataFrame:
     """``docs`` with every row as often as the mix takes it."""
     path = workspace(docs.sparkSession, "mixed")
+    rows, at_id, at_source, at_text = plain_names(docs.select("*", quality.alias("quality")) if quality is not None else docs, id_col, source, text)
+    weight = F.col(rows.columns[-1]) if quality is not None else None
     # Written with the rows' numbers, so that these do not change when a task is run again.
-    kept = save(docs.withColumn(PLACE, F.monotonically_increasing_id()), f"{path}/docs")
-    rows = save(_rows(kept, F.col(PLACE), id_col, source, text, quality, seed), f"{path}/rows")
-    times = _mixed(rows, path, weights, volume, max_epochs).where(F.col("times") > 0)
-    times = times.select(F.col("place").alias(PLACE), F.col("times").cast("int").alias(TIMES))
-    out = kept.join(times, PLACE).withColumn(TIMES, F.explode(F.sequence(F.lit(1), F.col(TIMES))))
-    return out.select(*[F.col(quoted(c)) for c in docs.columns])
+    kept = save(rows.withColumn("place", F.monotonically_increasing_id()), f"{path}/docs")
+    sized = save(_rows(kept, F.col("place"), at_id, at_source, at_text, weight, seed), f"{path}/rows")
+    times = _mixed(sized, path, weights, volume, max_epochs).where(F.col("times") > 0).select("place", F.col("times").cast("int"))
+    out = kept.join(times, "place").withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    return out.select(*rows.columns[: len(docs.columns)]).toDF(*docs.columns)

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.llm.base import mapped, quoted, save, workspace
+from tablegate.llm.base import mapped, plain_names, quoted, save, workspace
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -325,10 +325,10 @@ def keep_one(
     """``docs`` with one row of every class: that of the least id, ids that are null last, one of repeated rows."""
     path = workspace(docs.sparkSession, "simhash-keep")
     # The row number is written with the row, so it does not change when a task is run again.
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
-    prints = save(with_fingerprints(numbered, text, words), f"{path}/prints")
-    order = F.struct(F.col(quoted(id_col)).isNull(), F.col(quoted(id_col)).alias("id"), F.col(ROW).alias("row"))
+    rows, at_id, at_text = plain_names(docs, id_col, text)
+    prints = save(with_fingerprints(rows.withColumn(ROW, F.monotonically_increasing_id()), at_text, words), f"{path}/prints")
+    order = F.struct(F.col(at_id).isNull(), F.col(at_id).alias("id"), F.col(ROW).alias("row"))
     least = prints.groupBy(FP).agg(F.min(order).alias("least"))
     classes = least.join(_classes(prints.select(FP), path, radius, limit), F.col(FP) == F.col("fp"))
     best = classes.groupBy("root").agg(F.min("least").alias("best")).select(F.col("best.row").alias(ROW))
-    return prints.join(save(best, f"{path}/kept"), ROW, "left_semi").select(*[F.col(quoted(c)) for c in docs.columns])
+    return prints.join(save(best, f"{path}/kept"), ROW, "left_semi").select(*rows.columns).toDF(*docs.columns)
