@@ -167,13 +167,22 @@ def scored(docs: DataFrame, text: str, chosen: np.ndarray, weights: np.ndarray,
     return mapped(docs, run, [T.StructField(n, T.DoubleType()) for n in names])
 
 
-def sampled(ids: DataFrame, docs: DataFrame, id_col: str, text: str, bound: int, path: str, seed: int) -> DataFrame:
-    """(label, text) of at most ``bound`` of ``ids(id, label)``: those of least hash that ``docs`` has, one row a text."""
+def sampled(docs: DataFrame, labels: DataFrame | None, id_col: str, text: str, bound: int, path: str, seed: int) -> DataFrame:
+    """(label, text) of at most ``bound`` documents: those of least id hash among the ids that ``labels(id, label)`` and ``docs`` have.
+
+    Without labels, of all documents, with label 0. An id takes one place
+    however many rows it has; of its labels, and of its texts if they differ,
+    the greatest counts. Rows whose id is null have no place.
+    """
     rows = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text)).alias("text"))
-    # Ids that docs has not take no place; distinct, so that an id of many rows is one before it is dealt out.
-    held = ids.where(F.col("label").isNotNull()).join(rows.select("id").distinct(), "id", "left_semi")
-    few = save(held.orderBy(F.xxhash64("id", F.lit(seed)), "id", "label").limit(bound), f"{path}-ids")
-    # At most ``bound`` ids and labels are broadcast.
+    held = rows.where(F.col("id").isNotNull()).select("id").distinct()
+    if labels is None:
+        known = held.select("id", F.lit(0).alias("label"))
+    else:
+        known = labels.where(F.col("label").isNotNull()).groupBy("id").agg(F.max("label").alias("label"))
+        known = known.join(held, "id", "left_semi")  # ids that docs has not take no place
+    few = save(known.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(bound), f"{path}-ids")
+    # At most ``bound`` ids and labels are broadcast; each joins its rows once.
     rows = rows.join(F.broadcast(few), "id").groupBy("id").agg(F.max(F.struct("text", "label")).alias("r"))
     # Copies of a text count once, else what is rare in it would look common.
     return save(rows.groupBy("r.text").agg(F.max("r.label").alias("label")).select("label", "text"), path)

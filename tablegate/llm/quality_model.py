@@ -118,7 +118,7 @@ def fit(
     of = (grade if grade is not None else label_grade()).cast("int").alias("label")
     known = ratings.select(F.col(quoted(id_col)).alias("id"), of).where(F.col("id").isNotNull() & F.col("label").isNotNull())
     known = known.groupBy("id").agg(F.max("label").alias("label"))
-    rows = sampled(known, docs, id_col, text, rated, f"{path}/rated", SEED)
+    rows = sampled(docs, known, id_col, text, rated, f"{path}/rated", SEED)
     sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
     if len(sizes) < 2:
         only = next(iter(sizes), grades - 1)

@@ -15,7 +15,9 @@ numbers at most). No shuffle of texts.
 
 Defined results: null and empty texts have no feature and get the score of
 the intercept; labels that are null or of unknown ids are not used; an id
-labelled twice is toxic if one label says so; repeated rows get equal scores;
+labelled twice is toxic if one label says so, and of the rows of one id one text
+is learned from; repeated rows get equal scores; a column of the input that is
+named as the score is replaced;
 without positives or without unlabelled text every score is the prior (0
 without labels); an empty table gives an empty result.
 """
@@ -99,9 +101,8 @@ def fit(
     known = known.where(F.col("id").isNotNull() & F.col("label").isNotNull()).groupBy("id").agg(F.max("label").alias("label"))
     share = known.agg(F.avg(F.when(F.col("label") == 1, 1.0).otherwise(0.0))).first()[0]
     prior = float(share or 0.0)
-    p = sampled(known.where(F.col("label") == 1), docs, id_col, text, positives, f"{path}/positive", SEED)
-    ids = docs.select(F.col(quoted(id_col)).alias("id"), F.lit(0).alias("label"))
-    u = sampled(ids, docs, id_col, text, unlabelled, f"{path}/unlabelled", SEED + 1)
+    p = sampled(docs, known.where(F.col("label") == 1), id_col, text, positives, f"{path}/positive", SEED)
+    u = sampled(docs, None, id_col, text, unlabelled, f"{path}/unlabelled", SEED + 1)
     n_p, n_u = p.count(), u.count()
     nothing = np.zeros(0, np.uint64)
     if not n_p or not n_u or not 0 < prior < 1:
