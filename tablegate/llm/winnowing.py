@@ -96,10 +96,10 @@ def fingerprints(texts: DataFrame, gram: int, window: int) -> DataFrame:
     return computed(rows, "runs", runs).select(*keys, F.inline("runs"))
 
 
-def _windows(texts: DataFrame, found: DataFrame, keys: list[str], window: int) -> DataFrame:
+def _windows(bodies: DataFrame, found: DataFrame, keys: list[str], window: int, path: str) -> DataFrame:
     """Fingerprints extended to the windows they stand for: ``(*keys, first, n, words)``, n the window's length in words."""
-    # A text has no more fingerprints than words.
-    runs = found.groupBy(*keys).agg(F.collect_set(F.struct("first", "n")).alias("runs"))
+    # A text has no more fingerprints than words. Written, so that its size is known when it is joined to the texts.
+    runs = save(found.groupBy(*keys).agg(F.collect_set(F.struct("first", "n")).alias("runs")), f"{path}/fingerprints")
     each = F.flatten(
         F.transform(
             "runs",
@@ -108,7 +108,7 @@ def _windows(texts: DataFrame, found: DataFrame, keys: list[str], window: int) -
             ),
         )
     )
-    rows = computed(texts.join(runs, keys), "each", each)
+    rows = computed(_worded(bodies.join(runs, keys), "body"), "each", each)
     return rows.select(*keys, F.inline("each")).withColumn("n", F.lit(window))
 
 
@@ -150,9 +150,10 @@ def decontaminate(
     table, hashes, lengths = item_windows(items, item_id, item_text, gram, window, path)
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     keys = {"k1": F.xxhash64(body), "k2": F.xxhash64(F.lit(window), body)}
-    texts = _worded(docs.select(*[c.alias(k) for k, c in keys.items()], body.alias("body")), "body")
+    bodies = docs.select(*[c.alias(k) for k, c in keys.items()], body.alias("body"))
+    texts = _worded(bodies, "body")
     found = fingerprints(texts, gram, window).join(hashes, "h", "left_semi").select(*keys, "first", "n")
-    seen = _windows(texts, save(found.distinct(), f"{path}/fingerprints"), list(keys), window)
+    seen = _windows(bodies, found, list(keys), window, path)
     for n in lengths:
         seen = seen.unionByName(_whole(texts, list(keys), n))
     known = table.select("n", "words").distinct()
