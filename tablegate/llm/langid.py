@@ -15,9 +15,13 @@ The automata come from a bounded sample of labelled rows: windows of
 are no more). They are built once on the driver and broadcast (a few MB). Texts are parsed in numpy inside tasks:
 each step moves thousands of texts by one character through a table of all
 languages' transitions; those of letters beyond the ``DENSE`` commonest are
-searched in a sorted list, so every letter of every script counts. A text longer than ``LANE`` characters is parsed in
-runs of that many, all of them; a phrase ends where a run does, in every
-language alike.
+searched in a sorted list, so every letter of every script counts. Long texts are parsed in lanes of ``LANE``
+characters side by side. A lane begins in the state the one before ends in, so
+phrases cross lanes: all lanes are first parsed from the start state, then again
+from the state that is true, until they have the states they had before. Where
+that never happens a lane is parsed three times at most. With many languages
+the table has fewer columns, so that it takes ``TABLE_BYTES`` at most; the list
+of the other transitions takes 12 bytes each.
 
 Defined results: ``und`` with score 0 for texts that are null or without a
 letter, and for all texts if nothing could be learned; letters that no
@@ -46,6 +50,8 @@ WINDOW = 400
 DRAW = 16
 DENSE = 62  # commonest letters, which have columns in the table; transitions of all others are searched for
 LANE = 2048
+STRIDE = 128  # characters between two looks whether a lane's states are those it had
+TABLE_BYTES = 64 << 20  # of the table of common letters in a worker
 TEMPER = 16.0
 UNKNOWN = "und"
 
@@ -108,9 +114,10 @@ class Parser:
         self.languages = languages
         self.classes = _letter_classes(alphabet)
         self.n_classes = len(alphabet) + 2
-        # The last column is of all classes without one, and always empty.
-        self.width = min(dense, len(alphabet)) + 2
         states = [int(max(e[0].max(initial=0), e[2].max(initial=0))) + 1 for e in edges]
+        # The last column is of all classes without one, and always empty.
+        room = max(0, TABLE_BYTES // (4 * sum(states)) - 2)
+        self.width = min(dense, room, len(alphabet)) + 2
         self.root = np.concatenate(([0], np.cumsum(states)[:-1])).astype(np.int32)
         # A transition that is missing leads to the language's own root.
         self.table = np.repeat(self.root, np.array(states) * self.width).astype(np.int32)
@@ -156,23 +163,13 @@ class Parser:
         sums = np.concatenate(([0], np.cumsum(keep, dtype=np.int64)))
         return codes[keep], sums[np.concatenate(([0], ends))]
 
-    def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Number of phrases per text and language."""
-        lengths = np.diff(offsets)
-        n_lanes = -(-lengths // LANE)
-        of = np.repeat(np.arange(len(lengths)), n_lanes)
-        first = np.repeat(np.cumsum(n_lanes) - n_lanes, n_lanes)
-        start = np.repeat(offsets[:-1], n_lanes) + (np.arange(len(of)) - first) * LANE
-        size = np.minimum(offsets[of + 1] - start, LANE)
-        order = np.argsort(-size, kind="stable")
-        start, size, of = start[order], size[order], of[order]
-        k = len(self.languages)
+    def _advance(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray, state: np.ndarray, count: np.ndarray, low: int, high: int) -> None:
+        """Characters ``low`` to ``high`` of lanes in falling order of size; changes ``state`` and ``count``."""
         root = self.root[:, None]
-        state = np.repeat(root, len(of), axis=1)
-        count = np.zeros((k, len(of)), dtype=np.int32)
-        active = np.searchsorted(-size, -np.arange(1, LANE + 1), side="right")
-        for t in range(int(size.max(initial=0))):
-            m = int(active[t])
+        active = np.searchsorted(-size, -np.arange(low + 1, high + 1), side="right")
+        for t, m in zip(range(low, high), active.tolist(), strict=True):
+            if not m:
+                break
             c = codes[start[:m] + t].astype(np.int32)
             now = state[:, :m]
             fresh = self.first[:, c]
@@ -184,9 +181,61 @@ class Parser:
                 to = np.where(ended, fresh, to)
                 count[:, :m] += (to == root).view(np.int8)
             state[:, :m] = to
-        count += (state != root).view(np.int8)
-        out = np.zeros((len(lengths), k), dtype=np.int64)
-        for j in range(k):
+
+    def phrases(self, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Number of phrases per text and language."""
+        lengths = np.diff(offsets)
+        n_lanes = -(-lengths // LANE)
+        of = np.repeat(np.arange(len(lengths)), n_lanes)
+        number = np.arange(len(of)) - np.repeat(np.cumsum(n_lanes) - n_lanes, n_lanes)
+        start = offsets[of] + number * LANE
+        size = np.minimum(offsets[of + 1] - start, LANE)
+        order = np.argsort(-size, kind="stable")
+        place = np.empty(len(order), dtype=np.int64)
+        place[order] = np.arange(len(order))
+        before = np.where(number > 0, np.roll(place, 1), -1)[order]
+        start, size, of, number = start[order], size[order], of[order], number[order]
+        root = self.root[:, None]
+        begin = np.repeat(root, len(of), axis=1)  # the state in which a lane was parsed
+        state, count = begin.copy(), np.zeros((len(self.root), len(of)), dtype=np.int32)
+        later = before >= 0  # lanes that are not a text's first
+        column, marks = np.cumsum(later) - 1, []  # of these lanes, every STRIDE characters: states and phrases so far
+        for low in range(0, int(size.max(initial=0)), STRIDE):
+            self._advance(codes, start, size, state, count, low, low + STRIDE)
+            marks.append((state[:, later], count[:, later]))
+        # A lane begins in the state that the one before ends in; from where it has the states it had, all else stays.
+        first_time = True
+        while True:
+            todo = np.flatnonzero(later & (begin != state[:, before]).any(axis=0))
+            if not len(todo):
+                break
+            if not first_time:
+                # Of each text the first: what it begins in is final, so a lane is parsed three times at most.
+                by_text = todo[np.lexsort((number[todo], of[todo]))]
+                todo = np.sort(by_text[np.unique(of[by_text], return_index=True)[1]])
+            first_time = False
+            now = state[:, before[todo]]
+            begin[:, todo] = now
+            counted = np.zeros(now.shape, dtype=np.int32)
+            for k, (states, counts) in enumerate(marks):
+                self._advance(codes, start[todo], size[todo], now, counted, k * STRIDE, (k + 1) * STRIDE)
+                at = column[todo]
+                more = counted - counts[:, at]
+                met = (now == states[:, at]).all(axis=0)
+                states[:, at], counts[:, at] = now, counted
+                if met.any():
+                    for _, after in marks[k + 1 :]:
+                        after[:, at[met]] += more[:, met]
+                    count[:, todo[met]] += more[:, met]
+                    todo, now, counted = todo[~met], now[:, ~met], counted[:, ~met]
+                    if not len(todo):
+                        break
+            state[:, todo], count[:, todo] = now, counted
+        last = np.ones(len(of), dtype=bool)
+        last[before[later]] = False
+        count += (state != root) & last
+        out = np.zeros((len(lengths), len(self.root)), dtype=np.int64)
+        for j in range(len(self.root)):
             out[:, j] = np.bincount(of, weights=count[j], minlength=len(lengths))
         return out
 
@@ -232,6 +281,7 @@ class LanguageModel:
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parser = None
+            limit = 4 * BATCH_BYTES * 8 // max(8, len(self.languages))
             for batch in batches:
                 if parser is None:
                     parser = _parser(*parts.value)
@@ -240,7 +290,7 @@ class LanguageModel:
                 sizes = [len(x.as_py() or b"") for x in texts.cast(pa.large_binary())]
                 for high, n in enumerate(sizes, 1):
                     size += n
-                    if size >= 4 * BATCH_BYTES or high == len(sizes):
+                    if size >= limit or high == len(sizes):
                         for into, got in zip(found, parser.predict([x or "" for x in texts[low:high].to_pylist()]), strict=True):
                             into.extend(got)
                         low, size = high, 0

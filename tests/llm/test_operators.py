@@ -407,6 +407,54 @@ def test_phrases_are_longest_matches():
             assert got[k, j] == n
 
 
+def toy_parser(learned, alphabet, **kw):
+    place = langid._letter_classes(alphabet)
+    edges = []
+    for t in learned:
+        moves = langid.suffix_automaton(place[langid._points(t)].tolist())
+        edges.append(tuple(np.array([(s, c, to) for s, m in enumerate(moves) for c, to in m.items()], dtype=np.int32).T))
+    return langid.Parser([str(k) for k in range(len(learned))], alphabet, edges, [len(t) for t in learned], **kw)
+
+
+def plain_phrases(text, learned):
+    n, at = 0, 0
+    while at < len(text):
+        size = 1
+        while at + size < len(text) and text[at : at + size + 1] in learned:
+            size += 1
+        n, at = n + 1, at + size
+    return n
+
+
+def test_phrases_cross_lanes(monkeypatch):
+    rng = np.random.default_rng(21)
+    # The third never meets the states of a parse from elsewhere: phrases of 7 or of 13 equal letters.
+    learned = ["".join(rng.choice(list("abc "), 300)), "".join(rng.choice(list("abd "), 200)), "a" * 7 + "b", "a" * 13 + "c"]
+    parser = toy_parser(learned, "abcd")
+    queries = ["".join(rng.choice(list("abcd "), n)).strip() + "a" for n in (1, 2047, 2048, 2049, 5000, 9000)]
+    queries += ["a" * 5000, "a" * 4099 + "b" * 3000, "abd" * 3000, learned[0].strip() * 40, "d" * 4096]
+    queries = [" ".join(q.split()) for q in queries]
+    want = [[plain_phrases(q, t) for t in learned] for q in queries]
+    for lane, stride in ((2048, 128), (50, 7), (64, 64), (10_000, 128)):
+        monkeypatch.setattr(langid, "LANE", lane)
+        monkeypatch.setattr(langid, "STRIDE", stride)
+        assert parser.phrases(*parser.normalized(queries)).tolist() == want
+        assert parser.phrases(*parser.normalized(queries[::-1])).tolist() == want[::-1]
+
+
+def test_tables_of_many_languages_are_bounded(monkeypatch):
+    rng = np.random.default_rng(22)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    learned = ["".join(rng.choice(list(letters[k % 9 : k % 9 + 12]), 300)) for k in range(200)]
+    queries = ["".join(rng.choice(list(letters), n)) for n in (3, 80, 2500)] + [learned[150], learned[7]]
+    whole = toy_parser(learned, letters)
+    monkeypatch.setattr(langid, "TABLE_BYTES", whole.table.nbytes // 4)
+    small = toy_parser(learned, letters)
+    assert small.table.nbytes <= langid.TABLE_BYTES < whole.table.nbytes and len(small.rare) > len(whole.rare)
+    found = [p.phrases(*p.normalized(queries)) for p in (whole, small)]
+    assert (found[0] == found[1]).all() and small.predict(queries)[0][3:] == ["150", "7"]
+
+
 def test_copies_do_not_starve_a_language(spark):
     copies = spark.range(20_000).select(F.lit("x").alias("lang"), F.lit("z" * 20).alias("text"))
     few = [(lang, f"{i:020b}".replace("0", "a").replace("1", "b")) for lang, n in (("x", 100), ("y", 10)) for i in range(n)]
