@@ -22,10 +22,13 @@ short, or periodic, and has no inner phrase), and in between both count, in
 proportion to the number that the text of fewer fills: a pair is compared by
 the same levels on either side, and no length changes them at once.
 
-The next document, for the edited text, is found by ranges of id: each range
-gets a copy of the first document of the next one, is sorted, and read once.
-So texts are shuffled once, no row is numbered over the whole table, and no
-text passes the driver. The parsing is numpy inside tasks.
+The next document, for the edited text, is found by ranges of id and of the
+first ``HEAD`` characters of the text: each range gets a copy of the first
+document of the next one, is sorted, and read once. The ranges are Spark's, of
+a table of these keys; a row finds its own by a search in halves. So ids of any
+ordered type will do, an id of many rows is divided, texts are shuffled once,
+no row is numbered over the whole table, and no text passes the driver. The
+parsing is numpy inside tasks.
 
 Defined results: null and empty texts have the empty fingerprint, like
 (1.0) to each other and unlike (0.0) to all else; a text of one symbol
@@ -43,7 +46,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +56,7 @@ BINS = 64
 LEVELS = (3, 4, 5)  # phrases of about 20, 60 and 170 characters
 ENOUGH = 16  # filled bins of LEVELS that tell two texts apart without the levels below; about 300 characters
 ROUNDS = 4
+HEAD = 64  # characters of a text by which rows of one id are divided
 _BYTES = 2  # of a bin; 0 stands for an empty one
 _POWER = np.array([pow(0x9E3779B97F4A7C55, k, 1 << 64) for k in range(64)], dtype=np.uint64)
 
@@ -196,6 +200,7 @@ def edited(text: str, following: str) -> str:
 
 
 _TYPES = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _COLUMNS = [x.split()[0] for x in _TYPES.split(", ")]
 
 
@@ -244,29 +249,30 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     id_type = docs.schema[id_col].dataType
     rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text)).alias("text"))
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The ranges' bounds: n - 1 numbers.
-    bounds = rows.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10_000)).first()[0] or []
-    bounds = sorted(set(bounds)) if n > 1 else []
-    if bounds:
-        over = F.array(*[F.lit(b).cast(id_type) for b in bounds])
-        place = F.coalesce(F.size(F.filter(over, lambda b: b <= F.col("doc_id"))), F.lit(0))
-    else:
-        place = F.lit(0)
-    rows = rows.withColumn("range", F.when(F.col("doc_id").isNull(), 0).otherwise(place).cast("int"))
-    # The first row of every range that has rows: one id a range, then one text a range.
-    known = F.col("doc_id").isNotNull().alias("known")
-    heads = rows.groupBy("range").agg(F.min(F.struct(known, "doc_id")).alias("h"))
-    heads = save(heads.select(F.col("range").alias("of"), F.col("h.doc_id").alias("head")), f"{path}/heads")
-    matches = (F.col("range") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("head"))
+    # Ranges of ids and of the beginnings of texts, so that rows of one id are divided too; nulls come first.
+    # Strings as hex digits have the same order.
     body = F.coalesce("text", F.lit(""))
-    copies = rows.join(F.broadcast(heads), matches).groupBy("range").agg(F.first("doc_id").alias("doc_id"), F.min(body).alias("text"))
+    ordered = F.hex("doc_id") if isinstance(id_type, T.StringType) else F.col("doc_id")
+    rows = rows.withColumn("key", F.struct(ordered.alias("id"), F.hex(F.substring(body, 1, HEAD)).alias("head")))
+    # The first key of every range of keys, found without the texts: a row a range, and no range without rows.
+    keys = save(rows.select("key"), f"{path}/keys")
+    parts = keys.repartitionByRange(n, "key").select("key", F.spark_partition_id().alias("part"))
+    first = parts.groupBy("part").agg(F.min("key").alias("key")).agg(F.sort_array(F.collect_list("key")).alias("keys"))
+    # One value of n keys, as a constant of the plan.
+    found = first.select(F.to_json("keys", _EXACT)).first()[0]
+    starts = F.from_json(F.lit(found), first.schema["keys"].dataType, _EXACT)
+    # A search in halves for the last range that begins at or before the row.
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(max(1, (n - 1).bit_length())))])
+
+    def further(at: Column, step: Column) -> Column:
+        return F.when((at + step < F.size(starts)) & (F.get(starts, at + step) <= F.col("key")), at + step).otherwise(at)
+
+    rows = rows.withColumn("range", F.aggregate(steps, F.lit(0), further))
+    # A copy of a range's first row goes to the range before, that of the first range to the last.
+    firsts = rows.where(F.col("key") == F.get(starts, F.col("range")))
+    copies = firsts.groupBy("range").agg(F.first("doc_id").alias("doc_id"), F.min(body).alias("text"))
     copies = save(copies, f"{path}/copies")
-    present = sorted(r[0] for r in heads.select("of").collect())
-    if not present:
-        return spark.createDataFrame([], f"doc_id {id_type.simpleString()}, {_TYPES}")
-    # The copy of a range's first row goes to the range before, that of the first range to the last.
-    before = F.create_map(*[F.lit(x) for k, r in enumerate(present) for x in (r, present[k - 1])])
-    copies = copies.select("doc_id", "text", F.element_at(before, F.col("range")).alias("range"), F.lit(True).alias("copy"))
-    whole = rows.withColumn("copy", F.lit(False)).unionByName(copies)
+    copies = copies.withColumn("range", F.pmod(F.col("range") - 1, F.size(starts))).withColumn("copy", F.lit(True))
+    whole = rows.drop("key").withColumn("copy", F.lit(False)).unionByName(copies)
     ranged = whole.repartitionById(n, F.col("range")).sortWithinPartitions("range", "copy", F.asc_nulls_first("doc_id"), F.coalesce("text", F.lit("")))
     return ranged.select("doc_id", "text", "copy").mapInArrow(_edited_rows(to_arrow_type(id_type)), f"doc_id {id_type.simpleString()}, {_TYPES}")
