@@ -56,7 +56,7 @@ BINS = 64
 LEVELS = (3, 4, 5)  # phrases of about 20, 60 and 170 characters
 ENOUGH = 16  # filled bins of LEVELS that tell two texts apart without the levels below; about 300 characters
 ROUNDS = 4
-HEAD = 64  # characters of a text by which rows of one id are divided
+HEAD = 16  # characters of a text by which rows of one id are divided
 _BYTES = 2  # of a bin; 0 stands for an empty one
 _POWER = np.array([pow(0x9E3779B97F4A7C55, k, 1 << 64) for k in range(64)], dtype=np.uint64)
 
@@ -250,10 +250,10 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.col(quoted(text)).alias("text"))
     n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Ranges of ids and of the beginnings of texts, so that rows of one id are divided too; nulls come first.
-    # Strings as hex digits have the same order.
+    # Strings as bytes have the same order, and come back from JSON as they were.
     body = F.coalesce("text", F.lit(""))
-    ordered = F.hex("doc_id") if isinstance(id_type, T.StringType) else F.col("doc_id")
-    rows = rows.withColumn("key", F.struct(ordered.alias("id"), F.hex(F.substring(body, 1, HEAD)).alias("head")))
+    ordered = F.col("doc_id").cast("binary") if isinstance(id_type, T.StringType) else F.col("doc_id")
+    rows = rows.withColumn("key", F.struct(ordered.alias("id"), F.substring(body, 1, HEAD).cast("binary").alias("head")))
     # The first key of every range of keys, found without the texts: a row a range, and no range without rows.
     keys = save(rows.select("key"), f"{path}/keys")
     parts = keys.repartitionByRange(n, "key").select("key", F.spark_partition_id().alias("part"))
