@@ -93,6 +93,20 @@ def completeness_from_counts(spark: SparkSession, counts: list[tuple[str, str, i
     return _completeness_check(long, [c for _, c, _ in counts])
 
 
+def completeness_of_counts(tables: list[tuple[str, DataFrame, list[str]]]) -> AuditCheck:
+    """A1 from frames ``(column_name, n)`` of counts kept elsewhere, one row per column of the list."""
+    frames, base = [], 0
+    for entity, counts, columns in tables:
+        place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column_name")) + (base - 1)
+        frames.append(
+            counts.select(
+                F.lit(entity).alias("entity"), place.cast("int").alias("ordinal"), "column_name", F.col("n").alias("null_count")
+            )
+        )
+        base += len(columns)
+    return _completeness_check(union_all(frames), [c for _, _, columns in tables for c in columns])
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """A2 core: key values occurring more than once -> ``(*keys, n)``.
 
@@ -106,7 +120,11 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 def uniqueness(df: DataFrame, keys: list[str] | str = "email", sample_size: int = DEFAULT_SAMPLE) -> AuditCheck:
     """A2: pass iff no key value repeats; details list repeated values."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    dups = duplicate_keys(df, keys)
+    return uniqueness_from(duplicate_keys(df, keys), keys, sample_size)
+
+
+def uniqueness_from(dups: DataFrame, keys: list[str], sample_size: int = DEFAULT_SAMPLE) -> AuditCheck:
+    """A2 over the repeated keys ``(*keys, n)``."""
     sample_key = "duplicate_" + "_".join(keys) + "s"
     summary = sampled_summary(
         "uniqueness", dups, keys, sample_key, sample_size,
@@ -125,14 +143,13 @@ def orphan_key_counts(child: DataFrame, parent: DataFrame, key: str = "customer_
     shuffle every raw child key whenever the join is not broadcast. A NULL
     child key never matches and is reported as an orphan.
     """
-    parent_keys = parent.select(key).distinct().select(F.col(key), F.lit(True).alias("_has_parent"))
-    return (
-        child.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-        .join(parent_keys, on=key, how="left")
-        .filter(F.col("_has_parent").isNull())
-        .select(key, "n_rows")
-    )
+    return keys_without(child.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")), parent.select(key).distinct(), key)
+
+
+def keys_without(counts: DataFrame, parent_keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``(key, n_rows)`` whose key is none of the distinct ``parent_keys``."""
+    found = parent_keys.select(F.col(key), F.lit(True).alias("_has_parent"))
+    return counts.join(found, on=key, how="left").filter(F.col("_has_parent").isNull()).select(key, "n_rows")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, key: str = "customer_id") -> DataFrame:
@@ -164,7 +181,11 @@ def referential_integrity(
     Details: distinct orphan keys (``violation_count``), orphan child rows
     (``orphan_rows``) and a bounded sample of keys. Violations: ``(key, n_rows)``.
     """
-    orphans = orphan_key_counts(child, parent, key)
+    return integrity_from(orphan_key_counts(child, parent, key), key, sample_size)
+
+
+def integrity_from(orphans: DataFrame, key: str = "customer_id", sample_size: int = DEFAULT_SAMPLE) -> AuditCheck:
+    """A3 over the orphan keys ``(key, n_rows)``."""
     summary = sampled_summary(
         "referential_integrity", orphans, [key], f"orphan_{key}s", sample_size,
         flatten=key, sums={"orphan_rows": "n_rows"},

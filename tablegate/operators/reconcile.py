@@ -171,10 +171,23 @@ def fused_totals(
     that are exact decimals; ``*_inexact`` counts the joined rows whose amount
     is not, ``raw_nan`` those that are NaN.
     """
+    facts = fact_sums(facts_annotated, key, amount, precision, scale, clean_flag)
+    return totals_of(facts, dim_copies(dims_annotated, key, group, clean_flag), key, group, precision, scale)
+
+
+def fact_sums(
+    facts_annotated: DataFrame,
+    key: str = "customer_id",
+    amount: str = "amount",
+    precision: int = DEFAULT_PRECISION,
+    scale: int = DEFAULT_SCALE,
+    clean_flag: Column | None = None,
+) -> DataFrame:
+    """The facts' half of ``fused_totals``, one row per key; halves of parts of the facts add up."""
     ok = is_clean() if clean_flag is None else clean_flag
     odd = inexact(amount, precision, scale)
     amt = F.when(~odd, exact(amount, precision, scale))
-    facts = facts_annotated.groupBy(key).agg(
+    return facts_annotated.groupBy(key).agg(
         F.count_if(ok).alias("_clean_n"),
         F.sum(F.when(ok, amt)).alias("_clean_sum"),
         F.count_if(ok & odd).alias("_clean_odd"),
@@ -183,10 +196,28 @@ def fused_totals(
         F.count_if(odd).alias("_raw_odd"),
         F.count_if(odd & F.isnan(F.col(amount).try_cast("double"))).alias("_raw_nan"),
     )
-    dims = dims_annotated.groupBy(key, group).agg(
+
+
+def dim_copies(
+    dims_annotated: DataFrame, key: str = "customer_id", group: str = "country", clean_flag: Column | None = None
+) -> DataFrame:
+    """The dimensions' half of ``fused_totals``, one row per key and group; halves of parts add up."""
+    ok = is_clean() if clean_flag is None else clean_flag
+    return dims_annotated.groupBy(key, group).agg(
         F.count_if(ok).alias("_clean_copies"),
         F.count_if(F.col(group).isNotNull()).alias("_raw_copies"),
     )
+
+
+def totals_of(
+    facts: DataFrame,
+    dims: DataFrame,
+    key: str = "customer_id",
+    group: str = "country",
+    precision: int = DEFAULT_PRECISION,
+    scale: int = DEFAULT_SCALE,
+) -> DataFrame:
+    """``fused_totals`` of its two halves, whole or added up."""
     total = T.DecimalType(38, scale)
     return (
         facts.join(dims, on=key, how="inner")

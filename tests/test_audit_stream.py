@@ -1,0 +1,147 @@
+"""Audits of streams equal the batch's, after restarts, repeated batches and late parents."""
+
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tablegate.operators import audit as batch_audit
+from tablegate.operators.contract import clean, gate
+from tablegate.operators.reconcile import fused_comparison, fused_totals, reconciliation_from
+from tablegate.plans.contracts import COMPLETENESS_COLUMNS, CUSTOMER_CONTRACT, TRANSACTION_CONTRACT
+from tablegate.sources import dirty
+from tablegate.streaming.audit_stream import AuditState, audit, orphan_stream
+
+from .conftest import SF_SMALL
+
+pytestmark = pytest.mark.integration
+
+
+def states(spark, scratch, every):
+    customers = AuditState(
+        spark, scratch + "/customers", CUSTOMER_CONTRACT, group="country", unique=("email",),
+        null_columns=tuple(COMPLETENESS_COLUMNS["customers"]), compact_every=every,
+    )
+    transactions = AuditState(
+        spark, scratch + "/transactions", TRANSACTION_CONTRACT, amount="amount",
+        null_columns=tuple(COMPLETENESS_COLUMNS["transactions"]), compact_every=every,
+    )
+    return customers, transactions
+
+
+def batch_checks(customers, transactions):
+    dims, facts = gate(customers, CUSTOMER_CONTRACT), gate(transactions, TRANSACTION_CONTRACT)
+    tables = [(n, clean(a), COMPLETENESS_COLUMNS[n]) for n, a in (("customers", dims), ("transactions", facts))]
+    return [
+        batch_audit.completeness(tables),
+        batch_audit.uniqueness(clean(dims)),
+        batch_audit.referential_integrity(clean(facts), clean(dims)),
+        reconciliation_from(fused_comparison(fused_totals(facts, dims))),
+    ]
+
+
+def content(checks):
+    out = []
+    for c in checks:
+        rows = c.violations.select(*sorted(c.violations.columns)).collect()
+        out.append((c.name, c.summary.collect(), sorted(map(repr, rows))))
+    return out
+
+
+def parts_of(df, key, n):
+    return [df.where(F.pmod(F.xxhash64(key), F.lit(n)) == k) for k in range(n)]
+
+
+def run_stream(spark, state, src, schema):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    query = state.start(stream, state.path + "-ckpt")
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def test_state_after_batches_and_a_restart_equals_the_batch(spark, scratch):
+    customers, transactions = dirty.dirty_customers(spark, SF_SMALL), dirty.inexact_transactions(spark, SF_SMALL)
+    want = content(batch_checks(customers, transactions))
+    pair = states(spark, scratch, every=3)
+    for state, df, key in zip(pair, (customers, transactions), ("customer_id", "transaction_id"), strict=True):
+        src = state.path + "-in"
+        pieces = parts_of(df, key, 5)
+        for piece in pieces[:3]:
+            piece.coalesce(1).write.mode("append").parquet(src)
+        run_stream(spark, state, src, df.schema)
+        early = state.version()
+        for piece in pieces[3:]:
+            piece.coalesce(1).write.mode("append").parquet(src)
+        run_stream(spark, state, src, df.schema)
+        assert (early, state.version()) == (2, 4)
+    assert content(audit(pair[1], pair[0])) == want
+    # Earlier versions can still be read: after one batch, and before and after the first sum of batches.
+    sizes = [pair[1].part("totals", v).agg(F.sum("_clean_n")).first()[0] for v in range(5)]
+    assert sizes == sorted(set(sizes))
+
+
+def test_a_batch_that_runs_again_counts_once(spark, scratch):
+    customers, transactions = dirty.dirty_customers(spark, SF_SMALL), dirty.dirty_transactions(spark, SF_SMALL)
+    want = content(batch_checks(customers, transactions))
+    dims, facts = states(spark, scratch, every=2)
+    dims.update(customers, 0)
+    empty, *rest = [transactions.limit(0), *parts_of(transactions, "transaction_id", 2)]
+    for k, batch in enumerate([empty, *rest]):
+        facts.update(batch, k)
+        if k < 2:
+            # A driver that is lost after it wrote a part, before the version: the next one has not been counted.
+            gate(rest[-1], TRANSACTION_CONTRACT).limit(3).write.mode("overwrite").parquet(f"{facts.path}/totals/batch={k + 1}")
+            assert facts.version() == k
+        facts.update(batch, k)
+    assert content(audit(facts, dims)) == want
+
+
+def test_states_say_what_they_are(spark, scratch):
+    with pytest.raises(ValueError):
+        AuditState(spark, scratch, CUSTOMER_CONTRACT)
+    with pytest.raises(ValueError):
+        AuditState(spark, scratch, CUSTOMER_CONTRACT, amount="a", compact_every=0)
+
+
+def test_parents_that_come_late_but_in_time(spark, scratch):
+    at = datetime.datetime(2025, 1, 1)
+    minute = datetime.timedelta(minutes=1)
+    kid, known = "id long, parent long, at timestamp", "parent long, since timestamp"
+
+    def put(folder, rows, schema):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(scratch + folder)
+
+    def tick(n):
+        put("/kids", [(-n, 1, at + n * minute)], kid)
+        put("/parents", [(1, at + n * minute)], known)
+
+    children = [(1, 10, at), (2, 20, at), (3, 30, at), (4, None, at), (5, 10, at), (6, 40, at)]
+    put("/kids", children, kid)
+    put("/parents", [(10, at - 500 * minute), (1, at)], known)
+    source = {
+        "kids": spark.readStream.schema(kid).option("maxFilesPerTrigger", 1).parquet(scratch + "/kids"),
+        "parents": spark.readStream.schema(known).option("maxFilesPerTrigger", 1).parquet(scratch + "/parents"),
+    }
+    out = orphan_stream(source["kids"], source["parents"], "parent", "at", "since", "60 minutes", "10 minutes")
+
+    def run():
+        writer = out.writeStream.format("parquet").option("path", scratch + "/out").option("checkpointLocation", scratch + "/ckpt")
+        query = writer.start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        return sorted(r.id for r in spark.read.schema(kid).parquet(scratch + "/out").where("id > 0").collect())
+
+    assert run() == []
+    tick(65)  # the watermark, 55 minutes, has not passed the children's hour
+    put("/parents", [(20, at + 59 * minute), (40, at + 61 * minute)], known)  # 20 in time, 40 too late
+    assert run() == []
+    tick(90)
+    tick(200)
+    assert run() == [3, 4, 6]
+    late = spark.read.schema(kid).parquet(scratch + "/kids").where("id > 0")
+    in_time = spark.read.schema(known).parquet(scratch + "/parents").where(F.col("since") <= F.lit(at + 60 * minute))
+    assert sorted(r.id for r in batch_audit.orphan_rows(late, in_time, "parent").collect()) == [3, 4, 6]
