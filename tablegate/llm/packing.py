@@ -89,17 +89,25 @@ class WordTokenizer:
             ids = self._model.encode(mark, add_special_tokens=False).ids
             if len(ids) > 1:
                 self._endings.append(ids[::-1])
+        # Of every id whether it ends a sentence (1), or may with those before it (2); the last entry is of all ids beyond.
+        self._mark_of = np.append(self.ends_sentence, False).astype(np.uint8)
+        for ending in self._endings:
+            self._mark_of[ending[0]] |= 2
 
     def sentence_ends(self, ids: np.ndarray) -> np.ndarray:
         """Places after the tokens that end a sentence."""
-        ends = self.ends_sentence[np.minimum(ids, len(self.ends_sentence) - 1)]
-        for last, *before in self._endings:
-            at = np.flatnonzero(ids == last)
-            for k, i in enumerate(before, 1):
-                at = at[at >= k]
-                at = at[ids[at - k] == i]
-            ends[at] = True
-        return np.flatnonzero(ends) + 1
+        marks = np.take(self._mark_of, ids, mode="clip")
+        some = np.flatnonzero(marks)
+        marks = marks[some]
+        ends, last = (marks & 1).astype(bool), some[marks > 1]
+        if len(last):
+            for first, *before in self._endings:
+                at = last[ids[last] == first]
+                for k, i in enumerate(before, 1):
+                    at = at[at >= k]
+                    at = at[ids[at - k] == i]
+                ends[np.searchsorted(some, at)] = True
+        return some[ends] + 1
 
     def _packed(self, ids: list[int]) -> bytes:
         return array(self._kind, ids).tobytes()
@@ -144,7 +152,7 @@ class WordTokenizer:
     def _ids(self, text: str) -> np.ndarray:
         """Ids of a text without marks."""
         # Lower case beforehand merges more words; done where it is letter by letter.
-        words = _words(text.lower() if _latin(text) else text)
+        words = _words(text.lower(), _ODD_LATIN) if _latin(text) else _words(text)
         parts = list(map(self._known.get, words))
         if None in parts:
             for i, known in enumerate(parts):
@@ -172,15 +180,16 @@ def _latin(text: str) -> bool:
         return False
 
 
-def _words(text: str) -> list[str]:
-    """Words between ASCII white space."""
-    if _ODD_SPACE.search(text):
+def _words(text: str, odd: str | None = None) -> list[str]:
+    """Words between ASCII white space; ``odd``: all odd spaces that the text may have, where they are few."""
+    if any(c in text for c in odd) if odd else _ODD_SPACE.search(text):
         return [w for w in text.translate(_TO_SPACE).split(" ") if w]
     return text.split()
 
 
 # str.split() also parts at these, which the tokenizer may not take as white space.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_ODD_LATIN = "\x1c\x1d\x1e\x1f\x85\xa0"  # those below U+0100
 _TO_SPACE = dict.fromkeys((9, 10, 11, 12, 13), " ")
 
 _tokenizers: dict[str, WordTokenizer] = {}
