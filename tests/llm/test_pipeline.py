@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tablegate.llm.base import save, workspace
 from tests.conftest import SF_MID
-from tests.llm.test_operators import plain_budgets, plain_classes, plain_fingerprint, words
+from tests.llm.test_operators import ODD, ODD_ROWS, plain_budgets, plain_classes, plain_fingerprint, words
 
 
 @pytest.fixture(scope="module")
@@ -87,3 +87,33 @@ def test_run_gives_the_last_stage(spark, steps):
     same = ["doc_id", "doc_tokens"]
     total = F.sum("length").alias("n")
     assert Counter(rows(run.groupBy(*same).agg(total))) == Counter(rows(steps[5].groupBy(*same).agg(total)))
+
+
+def odd_folder(spark, scratch, docs, labels):
+    docs.write.parquet(f"{scratch}/documents.parquet")
+    labels.write.parquet(f"{scratch}/labels.parquet")
+    return scratch
+
+
+def test_odd_tables_run_through(spark, scratch):
+    schema = f"{ODD}, n_chars long, __tg_row long, __tg_place long"
+    rows_ = [(*r, *["x"] * 6, k, k + 100, k + 200) for k, r in enumerate(ODD_ROWS)]
+    rows_ += [(50, "long words " * 60_000, "en", "s", *["x"] * 6, 0, 1, 101)]
+    labels = spark.createDataFrame([(5, 1, 0), (6, 0, 1), (None, 0, 1), (7, None, None)], "doc_id long, quality int, toxic int")
+    folder = odd_folder(spark, scratch, spark.createDataFrame(rows_, schema), labels)
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        out = save(stage(spark, docs, folder), f"{folder}/{k}")
+        if k < 4:
+            assert out.columns == docs.columns
+            docs = out
+            # The columns that are only carried along keep their values.
+            assert all(r["__tg_place"] == r["__tg_row"] + 100 for r in docs.collect())
+    pieces = out.collect()
+    assert {r.doc_id for r in pieces} == {r.doc_id for r in docs.collect()} and 50 in {r.doc_id for r in pieces}
+
+
+def test_empty_tables_run_through(spark, scratch):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet").limit(0)
+    folder = odd_folder(spark, scratch, docs, spark.read.parquet(f"{SF_MID}/labels.parquet").limit(0))
+    assert corpus_pipeline.run(spark, folder).collect() == []
