@@ -5,6 +5,12 @@ to source weights, packing. Each stage gets what the one before kept, written
 as Parquet in the shared folder and read again, so a lost executor costs a
 stage's tasks, not the run. All but the last return the columns of documents;
 after mixing a document stands as often as the mix takes it.
+
+Defined results: texts that are null or empty go through as their stages say
+(no lines, the zero fingerprint, no words, the end token alone); rows without an
+id are documents like others; columns that no stage works on keep their values,
+whatever their names; empty documents give an empty result, and with no labels
+the classifier keeps every document.
 """
 
 from __future__ import annotations
