@@ -30,7 +30,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tablegate.functions.rules import whitespace_chars
+from tablegate.functions.rules import members, whitespace_chars
 
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
@@ -64,7 +64,7 @@ def _strip(raw: Column) -> Column:
 
 def _is(raw: Column, grammar: str) -> Column:
     """Whether a value is of a grammar, white space around it aside."""
-    space = "[" + "".join("\\x{%x}" % ord(c) for c in white_space()) + "]*+"
+    space = "[" + members(white_space()) + "]*+"
     return raw.rlike(rf"\A{space}{grammar}{space}\z")
 
 

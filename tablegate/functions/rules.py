@@ -54,10 +54,18 @@ def whitespace_chars() -> str:
     return "".join(c for c in map(chr, range(0x110000)) if c.isspace())
 
 
+def members(chars: str) -> str:
+    """The characters as the inside of a regex class, neighbours as one range: a character is held against each part in turn."""
+    points = sorted(map(ord, chars))
+    firsts = [p for p in points if p - 1 not in points]
+    lasts = [p for p in points if p + 1 not in points]
+    return "".join("\\x{%x}" % a if a == b else "\\x{%x}-\\x{%x}" % (a, b) for a, b in zip(firsts, lasts, strict=True))
+
+
 @lru_cache(maxsize=1)
 def not_blank_pattern() -> str:
     """Regex that finds one character outside the whitespace set."""
-    return "[^" + "".join("\\x{%x}" % ord(c) for c in whitespace_chars()) + "]"
+    return "[^" + members(whitespace_chars()) + "]"
 
 
 @dataclass(frozen=True)

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablegate.session import materialize, run_folder
 from tablegate.sources.dirty import dirty_transactions, table
 
 # --- Fixed values: what arrives, ``{k}`` being the row's key ------------------
@@ -166,13 +167,27 @@ def shaped_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(k.alias("transaction_id"), _shaped(k, DATES).alias("date"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The same rows in enough partitions for all cores.
+
+    A scan is divided by the bytes of its files. Keys that become values a thousand times as long are still one
+    task then, and all work on the values with them. So they are dealt into files, of which Spark reads some in each core.
+    """
+    spark = df.sparkSession
+    files = 4 * spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= files:
+        return df
+    return materialize(df.repartition(files), f"{run_folder(spark, 'spread')}/rows")
+
+
 def long_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(customer_id, value)``: every customer with a long value, some of up to 2 MB."""
     k = F.col("c_custkey")
     modulus, residue = LONGEST
     times = F.when(k % modulus == residue, F.lit(LONGEST_REPEATS)).otherwise(F.lit(LONG_REPEATS))
     unit, tail = (F.element_at(F.array(*[F.lit(x[i]) for x in LONG]), (k % len(LONG) + 1).cast("int")) for i in (0, 1))
-    return table(spark, sf_dir, "customer").select(k.alias("customer_id"), F.concat(F.repeat(unit, times), tail).alias("value"))
+    keys = spread(table(spark, sf_dir, "customer").select("c_custkey"))
+    return keys.select(k.alias("customer_id"), F.concat(F.repeat(unit, times), tail).alias("value"))
 
 
 def transaction_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

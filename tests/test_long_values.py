@@ -17,6 +17,7 @@ from tablegate.plans import shape_catalog
 from tablegate.plans.catalog import QUERIES
 from tablegate.plans.check import compare
 from tablegate.plans.explain import plan_text
+from tablegate.sources import shapes
 from tests.conftest import SF_SMALL
 
 UNITS = ["a ", "1_", "_1", " ", ".", "a.", "9", "<", "a@", "1e", "0", "-", "a@b.", '"', "　", "0.", "<a>", "a-", "\n", "(", "\U0001d49c"]
@@ -26,6 +27,25 @@ def test_long_shapes_equal_their_twin(spark):
     assert compare(spark, SF_SMALL, ["gate_long_values"])["gate_long_values"]["values_match"]
 
 
+def test_long_values_are_dealt_to_all_cores(spark):
+    # A table of one file and one row group: the keys are small, the values made of them are not.
+    parts = shapes.long_values(spark, SF_SMALL).rdd.glom().map(len).collect()
+    assert len(parts) >= spark.sparkContext.defaultParallelism and min(parts) > 0
+    assert sum(parts) == spark.read.parquet(f"{SF_SMALL}/customer.parquet").count()
+
+
+def test_no_keys_are_dealt_to_no_values(spark, scratch):
+    spark.read.parquet(f"{SF_SMALL}/customer.parquet").limit(0).write.parquet(f"{scratch}/customer.parquet")
+    assert shape_catalog.gate_long_values(spark, scratch).count() == 0
+
+
+def test_classes_of_characters_hold_each_of_them_and_no_other():
+    for chars in (rules.whitespace_chars(), coercion.white_space(), "a", "abd", "ba-^]"):
+        inside = re.compile("[" + re.sub(r"\\x\{([0-9a-f]+)\}", lambda m: "\\U%08x" % int(m[1], 16), rules.members(chars)) + "]")
+        assert {c for c in map(chr, range(0x110000)) if inside.match(c)} == set(chars)
+    assert rules.not_blank_pattern().count(r"\x") < 20
+
+
 @pytest.mark.parametrize("tail", ["", "x", "1", "@mail.com", "<a@mail.com>"])
 def test_a_megabyte_of_anything_gets_a_verdict(spark, tail):
     df = spark.createDataFrame([(u,) for u in UNITS], "u string")
