@@ -289,3 +289,16 @@ def test_odd_documents(spark):
     assert leaks(docs, items) == plain_leaks(plain, [(1, "a a a"), (None, None)])
     assert variants(docs.limit(0)) == {} and leaks(docs.limit(0), items) == Counter()
     assert leaks(docs, items.limit(0)) == plain_leaks(plain, [])
+
+
+def test_words_are_divided_without_patterns(spark):
+    parts = [*map(chr, range(128)), "\x00\x00", " ", "É", "İ", "\U0001d49c", "�"]
+    texts = ["aB".join(parts), "".join(parts), *(f"{p}x{p}{p}Y{p}" for p in parts), "", " ", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id int, text string")
+    items = spark.createDataFrame([("i", "none of these")], "item_id string, text string")
+    out = winnowing.decontaminate(df, items)
+    plain = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) for t in texts]
+    got = df.select("doc_id", winnowing.words_of(F.col("text")).alias("w")).orderBy("doc_id").collect()
+    assert [r.w for r in got] == plain
+    assert {r.doc_id: r.n_words for r in out.collect()} == {i: len(w) for i, w in enumerate(plain)}
+    assert "regexp" not in plan_text(out, "simple")
